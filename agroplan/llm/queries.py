@@ -5,21 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .line_dedup import dedup_lines
 from .ngram_join import ngram_components
+from .packing import pack_documents
+from .suffix_dedup import repeated_spans
+from .token_binary import read_token_files, write_token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """A file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks, table = write_token_files(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return read_token_files(spark, blocks, table)
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_token_binary": op3_token_binary,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+        "op9_packing": op9_packing,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
