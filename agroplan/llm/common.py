@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _GAMMA = 0x9E3779B97F4A7C15
 _RADIX = 0xD1342543DE82EF95
@@ -41,6 +42,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers each that a join may broadcast; a larger side is shuffled instead.
+SMALL_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` (a written table of few narrow columns), to be broadcast if its counted rows are few."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

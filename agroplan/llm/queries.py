@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contamination
+from .license_scan import scan, train
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_components
 from .packing import pack_documents
+from .quality_ledger import BASE, LEDGER_SQL, ledger, passes
 from .suffix_dedup import repeated_spans
 from .token_binary import read_token_files, write_token_files
+from .url_filter import URL_SQL, judge_urls
+from .warc import capture_runs, merge_runs, write_archives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,11 +30,33 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = scan(docs, train(docs))
+    return found.select("doc_id", "n_paragraphs", "n_predicted", "n_confirmed", F.array_join("families", ",").alias("families"), F.round("score", 3).alias("score"))
+
+
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(_table(spark, sf_dir, "pages"))
+    index = merge_runs(capture_runs(archives))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "rank")
+
+
 def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks, table = write_token_files(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return read_token_files(spark, blocks, table)
 
 
+def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.col("failed").bitwiseAND(F.lit(BASE).cast("long")) != 0
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return ledger(_table(spark, sf_dir, "documents")).select(*columns, base.alias("base_failed"), passes("v2").alias("kept"))
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -38,6 +65,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("items")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -49,13 +80,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": op1_license_scan,
+        "op2_warc_index": op2_warc_index,
         "op3_token_binary": op3_token_binary,
+        "op4_quality_ledger": op4_quality_ledger,
+        "op5_url_rules": op5_url_rules,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+        "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,
         "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_quality_ledger": LEDGER_SQL, "op5_url_rules": URL_SQL}
