@@ -18,9 +18,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _load() -> None:
+    from . import q_joins, q_scalar, q_sequences  # noqa: F401
+
+
 def queries() -> dict:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)
