@@ -113,7 +113,8 @@ def corr_table(df: DataFrame, y: str, xs: list[str], min_n: int = 20) -> DataFra
 
     ranked = long.withColumns({"rx": average_rank("x"), "ry": average_rank(y)})
     n = F.count(F.lit(1))
-    return ranked.groupBy("feature").agg(n.alias("n"), F.when(n >= min_n, F.corr("x", y)).alias("pearson"), F.when(n >= min_n, F.corr("rx", "ry")).alias("spearman"))
+    corr = lambda a, b: F.when(n >= min_n, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))  # noqa: E731  null for a constant
+    return ranked.groupBy("feature").agg(n.alias("n"), corr("x", y).alias("pearson"), corr("rx", "ry").alias("spearman"))
 
 
 def decile_profile(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:

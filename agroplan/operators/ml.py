@@ -144,7 +144,7 @@ def gate_two_stage(df: DataFrame, num: list[str], cat: list[str], label: str, gr
 def zero_inflated(df: DataFrame, num: list[str], cat: list[str], label: str, seed: int = 1) -> Callable[[DataFrame], DataFrame]:
     """Probability of a positive value times the expectation of positive ones."""
     rows = df.where(F.col(label).isNotNull()).withColumn("__y", (F.col(label) > 0).cast("double"))
-    chance = feature_pipeline(num, cat, GBTClassifier(labelCol="__y", maxIter=15, maxDepth=3, seed=seed, probabilityCol="__prob", rawPredictionCol="__raw", predictionCol="__cls")).fit(rows)
+    chance = feature_pipeline(num, cat, GBTClassifier(labelCol="__y", maxIter=15, maxDepth=3, seed=seed, predictionCol="__cls").setProbabilityCol("__prob").setRawPredictionCol("__raw")).fit(rows)
     positive = rows.where("__y > 0")
     size = feature_pipeline(num, cat, GBTRegressor(labelCol=label, maxIter=15, maxDepth=3, seed=seed, predictionCol="__size")).fit(rows if positive.isEmpty() else positive)
     helpers = ("features", *(f"{c}_i" for c in num), *(f"{c}_{t}" for c in cat for t in "xv"))
@@ -224,7 +224,7 @@ def feature_f_test(df: DataFrame, ys: list[str], xs: list[str]) -> DataFrame:
     """``(target, feature, n, r, f, near_constant)`` with F = r^2 / (1 - r^2) (n - 2)."""
     long = df.select(*ys, F.inline(F.array(*(F.struct(F.lit(x).alias("feature"), F.col(x).cast("double").alias("x")) for x in xs))))
     long = long.select("feature", "x", F.inline(F.array(*(F.struct(F.lit(y).alias("target"), F.col(y).cast("double").alias("y")) for y in ys)))).where("x is not null and y is not null")
-    stats = long.groupBy("target", "feature").agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("r"), (F.coalesce(F.var_pop("x"), F.lit(0.0)) < 1e-12).alias("near_constant"))
+    stats = long.groupBy("target", "feature").agg(F.count(F.lit(1)).alias("n"), F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"), (F.coalesce(F.var_pop("x"), F.lit(0.0)) < 1e-12).alias("near_constant"))
     r2 = F.col("r") * F.col("r")
     return stats.withColumn("f", F.when((r2 < 1) & (F.col("n") > 2), r2 / (1 - r2) * (F.col("n") - 2)))
 
