@@ -36,42 +36,60 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionAll(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
 
 
-def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], cross: Callable[[DataFrame], DataFrame] | None = None, name: str = "links", rounds: int = 2) -> DataFrame:
+def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], cross: Callable[[DataFrame], DataFrame] | None = None, name: str = "links", rounds: int = 1, carry: tuple[str, ...] = (), fits: str = "true") -> DataFrame:
     """Components of items that share a bucket and pass ``verify``; returns ``(node, component)``.
 
     ``postings`` has ``(bucket, item, ...)``; ``verify`` takes distinct pairs ``(a, b)`` with a < b and
-    returns those that are links. A bucket never emits all of its pairs: in each star round its items
-    are compared with the bucket's first and last item (in another order each round), and only then
-    are the pairs compared whose items are still in different components, so no link between
-    components is lost. ``cross`` may build those remaining pairs from the postings (with a column
-    ``component``) to apply an operator's own candidate filter.
+    returns those that are links. A bucket never emits all of its pairs. In each star round the items
+    of a bucket are compared with one of them: first with the hub, the item with the most bucket
+    mates over all (the original of a group of copies), then with others. Buckets whose items are all
+    in one component are done. Once the pairs left between components are fewer than the postings, or
+    a round finds no link, those pairs are compared, so that no link between components is lost.
+    ``cross`` may find those links from the postings (with a column ``component``) by an operator's
+    own candidate filter. ``fits`` is a cheap, symmetric test of star pairs over the postings' columns
+    ``carry``, which it sees as ``<name>_a`` and ``<name>_b``.
     """
+    sizes = postings.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
+    posted = postings.join(sizes, "bucket")
+    hubs = posted.groupBy("item").agg(F.sum("mates").alias("weight"))
+    posted = written(posted.drop("mates").join(hubs, "item").withColumn("component", F.col("item")), name)
     links, components = None, None
     for turn in range(rounds):
-        key = F.col("item") if turn == 0 else F.xxhash64(F.lit(turn), "item")
-        posted = postings if components is None else _mixed(postings, components)
-        order = F.struct(key.alias("k"), F.col("item").alias("item"))
-        ends = posted.groupBy("bucket").agg(F.min(order).alias("lo"), F.max(order).alias("hi")) if turn else posted.groupBy("bucket").agg(F.min("item").alias("lo"), F.max("item").alias("hi"))
-        ends = ends.select("bucket", F.col("lo.item").alias("lo"), F.col("hi.item").alias("hi")) if turn else ends
-        star = posted.select("bucket", "item").join(ends.where("lo <> hi"), "bucket").select("item", F.explode(F.array("lo", "hi")).alias("center"))
-        pairs = star.where("item <> center").select(F.least("item", "center").alias("a"), F.greatest("item", "center").alias("b")).distinct()
-        found = verify(pairs).select("a", "b")
-        links = written(found if links is None else links.unionAll(found), name)
-        components = written(connected_components(links, name), name)
-    posted = _mixed(postings, components)
+        order = F.struct("weight", "item") if turn % 2 == 0 else F.struct(F.xxhash64(F.lit(turn), "item"), "item")
+        # later hubs come from the items that the bucket's hub so far has not drawn in
+        center = F.struct("item", "component", *carry)
+        centers = posted.groupBy("bucket").agg(F.max_by(center, order).alias("c"))
+        if turn and turn % 2 == 0:
+            away = posted.join(centers, "bucket").where("component <> c.component").drop("c")
+            centers = away.groupBy("bucket").agg(F.max_by(center, order).alias("c"))
+        star = posted.select("bucket", "item", "component", *carry).join(centers, "bucket").where("component <> c.component")
+        star = star.withColumns({f"{c}_a": F.col(c) for c in carry} | {f"{c}_b": F.col(f"c.{c}") for c in carry}).where(fits)
+        pairs = star.select(F.least("item", "c.item").alias("a"), F.greatest("item", "c.item").alias("b")).distinct()
+        found = written(verify(pairs).select("a", "b"), name)
+        new = found.count()
+        links = found if links is None else links.unionAll(found)
+        if new:
+            components = written(connected_components(links, name), name)
+            posted = written(_mixed(posted, components), name)
+        if turn + 1 == rounds:
+            break
+        per = posted.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+        all_, own = (per.groupBy("bucket").agg(F.sum("n").cast("double").alias("n"), F.sum(F.col("n") * F.col("n").cast("double")).alias("s")).agg(F.sum((F.col("n") * F.col("n") - F.col("s")) / 2), F.sum("n")).first())
+        if not new or (all_ or 0) <= (own or 0):
+            break
     if cross is None:
         one, two = (posted.select("bucket", F.col("item").alias(i), F.col("component").alias(c)) for i, c in (("x", "cx"), ("y", "cy")))
-        pairs = one.join(two, "bucket").where("x < y and cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+        found = verify(one.join(two, "bucket").where("x < y and cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
     else:
-        pairs = cross(posted)
-    found = written(verify(pairs).select("a", "b"), name)
-    if found.isEmpty():
-        return components
-    return connected_components(links.unionAll(found), name)
+        found = cross(posted)
+    found = written(found.select("a", "b"), name)
+    if components is None or not found.isEmpty():
+        components = connected_components(links.unionAll(found), name)
+    return components
 
 
 def _mixed(postings: DataFrame, components: DataFrame) -> DataFrame:
     """The postings, with each item's component, of the buckets that hold more than one component."""
-    with_component = postings.join(components.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
+    with_component = postings.drop("component").join(components.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
     open_ = with_component.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
     return with_component.join(open_, "bucket", "left_semi")

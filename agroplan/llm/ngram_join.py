@@ -112,15 +112,16 @@ def shared_shingles(docs: DataFrame, text_col: str, n: int, partitions: int) ->
 
 
 def adaptive_prefixes(sets: DataFrame, percent: int, max_matches: int = MAX_MATCHES, verify_cost: float = 20.0) -> DataFrame:
-    """``(bucket, item, n, matches, level)``: the prefix shingles of each class of ``(signature, n, shingles, frequencies)``.
+    """``(bucket, item, n, m, matches, place, level)``: the prefix shingles of each class of ``(signature, n, shingles, frequencies)``.
 
     ``level`` is the smallest number of matches whose prefix holds the shingle; ``matches`` is the
-    number that the class chose.
+    number that the class chose; ``m`` of its shingles are shared at all, and ``place`` is the
+    shingle's among those, from the rarest.
     """
 
     def run(batches):
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
+            rows: list[list] = [[] for _ in range(7)]
             for signature, n, tokens, frequencies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens, frequencies = np.array(tokens, dtype=np.int64), np.array(frequencies, dtype=np.int64)
                 order = np.lexsort((tokens, frequencies))
@@ -134,12 +135,13 @@ def adaptive_prefixes(sets: DataFrame, percent: int, max_matches: int = MAX_MATC
                 matches = 1 + int(np.argmin(costs))
                 inside = level <= matches
                 rows[0].append(tokens[inside])
-                rows[4].append(level[inside].astype(np.int32))
-                for i, x in ((1, signature), (2, n), (3, matches)):
+                rows[5].append(np.flatnonzero(inside))
+                rows[6].append(level[inside])
+                for i, x in ((1, signature), (2, n), (3, len(tokens)), (4, matches)):
                     rows[i].append(np.full(int(inside.sum()), x, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in zip(rows, ("i8", "i8", "i8", "i4", "i4"), strict=True)], ["bucket", "item", "n", "matches", "level"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in rows], ["bucket", "item", "n", "m", "matches", "place", "level"])
 
-    return sets.select("signature", "n", "shingles", "frequencies").mapInArrow(run, "bucket long, item long, n long, matches int, level int")
+    return sets.select("signature", "n", "shingles", "frequencies").mapInArrow(run, "bucket long, item long, n long, m long, matches long, place long, level long")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
@@ -152,20 +154,26 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets = written(shared.where(F.size("shingles") * 100 >= percent * F.col("n")), "sets")
     postings = written(adaptive_prefixes(sets, percent), "postings")
 
+    # two sets need this much overlap, and have at most what both share with any other set
+    need = f"{percent} * (n_a + n_b) <= {100 + percent} *"
+    sizes_fit = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+
     def verify(pairs: DataFrame) -> DataFrame:
         one, two = (sets.select(F.col("signature").alias(k), F.col("n").alias(f"n{k}"), F.col("shingles").alias(f"s{k}")) for k in "ab")
-        lengths = sets.select("signature", "n")
-        near = pairs.join(lengths.toDF("a", "la"), "a").join(lengths.toDF("b", "lb"), "b").where(F.expr(f"100 * least(la, lb) >= {percent} * greatest(la, lb)")).select("a", "b")
-        both = near.join(one, "a").join(two, "b").withColumn("c", F.size(F.array_intersect("sa", "sb")))
+        both = pairs.join(one, "a").join(two, "b").withColumn("c", F.size(F.array_intersect("sa", "sb")))
         return both.where(F.col("c") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b")
 
     def cross(posted: DataFrame) -> DataFrame:
-        one, two = (posted.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("item", "component", "n", "matches", "level"))) for k in "ab")
-        met = one.join(two, "bucket").where("item_a < item_b and component_a <> component_b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        met = met.withColumn("need", F.least("matches_a", "matches_b")).where("level_a <= need and level_b <= need")
-        return met.groupBy(F.col("item_a").alias("a"), F.col("item_b").alias("b")).agg(F.count(F.lit(1)).alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
-
-    groups = link_buckets(postings, verify, cross, "ngram")
+        prefixes = postings.groupBy("item").agg(F.collect_list("bucket").alias("prefix"))
+        listed = posted.join(prefixes, "item")
+        one, two = (listed.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("item", "component", "n", "m", "matches", "place", "prefix"))) for k in "ab")
+        bound = f"{need} (least(place_a, place_b) + least(m_a - place_a, m_b - place_b))"  # may match before this shingle, and from it on
+        shared = F.array_intersect("prefix_a", "prefix_b")
+        once = (F.size(shared) >= F.least("matches_a", "matches_b")) & (F.array_min(shared) == F.col("bucket"))  # a pair comes from one of its buckets
+        met = one.join(two, "bucket").where("item_a < item_b and component_a <> component_b").where(sizes_fit).where(bound).where(once)
+        return verify(met.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")))
+
+    groups = link_buckets(postings, verify, cross, "ngram", carry=("n", "m"), fits=f"{sizes_fit} and {need} least(m_a, m_b)")
     roots = sizes.join(groups.withColumnRenamed("node", "signature"), "signature", "left").withColumn("component", F.coalesce("component", "signature"))
     first = roots.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     known = roots.join(first, "component").select("signature", "component_id")
