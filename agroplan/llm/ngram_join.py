@@ -164,7 +164,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return both.where(F.col("c") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b")
 
     def cross(posted: DataFrame) -> DataFrame:
-        prefixes = postings.groupBy("item").agg(F.collect_list("bucket").alias("prefix"))
+        # a bucket that items of two components share is open, so the open ones count all their matches
+        prefixes = posted.groupBy("item").agg(F.collect_list("bucket").alias("prefix"))
         listed = posted.join(prefixes, "item")
         one, two = (listed.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("item", "component", "n", "m", "matches", "place", "prefix"))) for k in "ab")
         bound = f"{need} (least(place_a, place_b) + least(m_a - place_a, m_b - place_b))"  # may match before this shingle, and from it on
