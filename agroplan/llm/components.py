@@ -40,8 +40,7 @@ def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     """Components of items that share a bucket and pass ``verify``; returns ``(node, component)``.
 
     ``postings`` has ``(bucket, item, ...)``; ``verify`` takes distinct pairs ``(a, b)`` with a < b and
-    returns those that are links. A bucket never emits all of its pairs. In each star round the items
-    of a bucket are compared with one of them: first with the hub, the item with the most bucket
+    returns those that are links. In each star round the items of a bucket are compared with one of them: first with the hub, the item with the most bucket
     mates over all (the original of a group of copies), then with others. Buckets whose items are all
     in one component are done. Once the pairs left between components are fewer than the postings, or
     a round finds no link, those pairs are compared, so that no link between components is lost.
