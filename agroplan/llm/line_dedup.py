@@ -1,7 +1,8 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions only.
 
 A line is a ``\\n``-separated piece of a text with at least one word; its set holds, for each of its
-words, the 16 characters that start there (fewer at the line's end). Lines whose sets have a Jaccard
+words, the 16 characters that start there (fewer at the line's end), and for each character of a
+longer word those that start at it, so that every character is in a set. Lines whose sets have a Jaccard
 similarity of ``percent`` / 100 or more are linked, and each connected component of lines keeps one
 occurrence in the whole corpus: the first one in the document with the smallest id.
 
@@ -34,7 +35,9 @@ def _masks() -> list[int]:
 
 
 def _shingles(line):
-    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=([^\x20\x09-\x0D].{{0,{CHARS - 1}}}))[^\x20\x09-\x0D]+"), F.lit(1))
+    word = r"[^\x20\x09-\x0D]"
+    step = rf"(?<!{word}){word}{{1,{CHARS}}}+(?!{word})|{word}"  # over a word at its start, over one character in a longer one
+    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=({word}.{{0,{CHARS - 1}}}))(?:{step})"), F.lit(1))
 
 
 def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -312,6 +312,19 @@ def test_op1_finds_licences(spark):
     assert got == {0: [], 1: [], 2: ["MIT"], 3: ["GPL"], 4: [], 5: ["CC-BY-NC"]}
 
 
+def test_op10_long_words(spark):
+    draw = random.Random(9)
+    unspaced = ["".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(90)) for _ in range(3)]
+    unspaced = [*unspaced, unspaced[0][:16] + unspaced[1][16:], unspaced[2][:89] + "x", "q" + unspaced[2]]
+    urls = [f"https://www.example.com/{a}" for a in ("a", "b", "news/today", "news/2024/index.html")]
+    texts = [*unspaced, *urls, "see https://www.example.com/a now", "d41d8cd98f00b204e9800998ecf8427e", "d41d8cd98f00b2040000000000000000"]
+    sets = [{x[i : i + 16] for m in re.finditer(r"\S+", x) for i in (range(*m.span()) if len(m[0]) > 16 else m.span()[:1])} for x in texts]
+    near = lambda i: any(4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]) for j in range(i))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed}
+    assert got == {i for i in range(len(texts)) if near(i)} == {5}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
