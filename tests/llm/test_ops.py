@@ -325,6 +325,18 @@ def test_op10_long_words(spark):
     assert got == {i for i in range(len(texts)) if near(i)} == {5}
 
 
+def test_op10_recall(spark):
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=16))
+    lines = []
+    for _ in range(3000):
+        shared = [word() for _ in range(6)]
+        lines += [" ".join([*shared, word()]) for _ in range(2)]  # 6 of 8 words in common
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = line_dedup.dedup_lines(docs).agg(F.sum("n_removed")).first()[0]
+    assert 0.993 * 3000 <= found <= 3000
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
