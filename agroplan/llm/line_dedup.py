@@ -2,12 +2,15 @@
 
 A line is a ``\\n``-separated piece of a text with at least one word; its set holds, for each of its
 words, the 16 characters that start there (fewer at the line's end), and for each character of a
-longer word those that start at it, so that every character is in a set. Lines whose sets have a Jaccard
+longer word those that start at it, so that every character is in a set. With ``chars`` given, it holds
+instead the ``chars`` characters that start at each position of the line, blanks included (a shorter
+line is its own set); one changed word then costs a smaller part of the set. Lines whose sets have a Jaccard
 similarity of ``percent`` / 100 or more are linked, and each connected component of lines keeps one
 occurrence in the whole corpus: the first one in the document with the smallest id.
 
 Signatures are minima of a 31-bit shingle hash under independent linear permutations modulo a prime;
-``BANDS`` bands of ``ROWS`` minima propose candidates (99.8 % of the pairs at a similarity of 0.75, nearly all beyond 0.8; pairs that
+``BANDS`` bands of ``ROWS`` minima propose candidates (99.8 % of the pairs at a similarity of 0.75,
+nearly all beyond 0.8; pairs that
 share no band are not found), and the sets of the proposed lines are compared exactly (as 32-bit hashes of their
 shingles). Equal lines always meet: a line is known by a 64-bit hash of its characters.
 
@@ -28,6 +31,7 @@ from .components import link_buckets
 
 BANDS, ROWS, CHARS = 16, 4, 16
 PRIME = (1 << 31) - 1
+PIECE = 64
 
 
 def _permutations() -> list[tuple[int, int]]:
@@ -46,18 +50,43 @@ def _shingles(line):
     return F.regexp_extract_all(line, F.lit(rf"(?s)(?=({word}.{{0,{CHARS - 1}}}))(?:{step})"), F.lit(1))
 
 
+def _pieces(line, chars: int):
+    """Overlapping pieces with ``PIECE`` shingle starts each, so that no position is sought through a long line."""
+    starts = F.sequence(F.lit(0), F.greatest(F.length(line) - chars, F.lit(0)), F.lit(PIECE))
+    return F.transform(starts, lambda i: F.substr(line, i + 1, F.lit(PIECE + chars - 1)))
+
+
+def _starts(piece, chars: int):
+    return F.sequence(F.lit(1), F.greatest(F.length(piece) - (chars - 1), F.lit(1)))
+
+
+def _exploded(seen: DataFrame, chars: int | None) -> DataFrame:
+    """``(item, first_doc, s)``: every shingle of every line."""
+    if chars is None:
+        return seen.select("item", "first_doc", F.explode(_shingles(F.col("line"))).alias("s"))
+    pieces = seen.select("item", "first_doc", F.explode(_pieces(F.col("line"), chars)).alias("piece"))
+    placed = pieces.select("item", "first_doc", "piece", F.explode(_starts(F.col("piece"), chars)).alias("at"))
+    return placed.select("item", "first_doc", F.substr("piece", F.col("at"), F.lit(chars)).alias("s"))
+
+
+def _set(line, chars: int | None):
+    """The distinct 32-bit hashes of the line's shingles."""
+    if chars is None:
+        return F.array_distinct(F.transform(_shingles(line), lambda x: F.hash(x)))
+    return F.array_distinct(F.flatten(F.transform(_pieces(line, chars), lambda p: F.transform(_starts(p, chars), lambda i: F.hash(F.substr(p, i, F.lit(chars)))))))
+
+
 def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(doc_id, pos, line, item)`` for every line with a word; ``item`` is the line's hash."""
     lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
     return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("item", F.xxhash64("line"))
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, chars: int | None = None) -> DataFrame:
     """``(doc_id, removed)``: the positions (from 0) of the lines to remove, for documents that lose any."""
     lines = text_lines(docs, id_col, text_col)
     seen = lines.groupBy("item").agg(F.min("doc_id").alias("first_doc"), F.first("line").alias("line"))
-    shingled = seen.select("item", "first_doc", F.explode(_shingles(F.col("line"))).alias("s"))
-    hashed = shingled.select("item", "first_doc", F.xxhash64("s").bitwiseAND(F.lit(PRIME).cast("long")).alias("h"))
+    hashed = _exploded(seen, chars).select("item", "first_doc", F.xxhash64("s").bitwiseAND(F.lit(PRIME).cast("long")).alias("h"))
     minima = hashed.groupBy("item", "first_doc").agg(*_minima(F.col("h")))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
     signed = written(minima.select("item", "first_doc", bands.alias("bands")), "signatures")
@@ -68,8 +97,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = written(postings.select("item").distinct().join(signed.select("item", "first_doc"), "item"), "near")
     homes = small_side(written(near.select(F.col("first_doc").alias("doc_id")).distinct(), "homes"))
     at_home = text_lines(docs.join(homes, docs[id_col].cast("long") == homes["doc_id"], "left_semi"), id_col, text_col)
-    hashed = F.array_distinct(F.transform(_shingles(F.first("line")), lambda x: F.hash(x)))
-    sets = at_home.join(near.select("item", F.col("first_doc").alias("doc_id")), ["item", "doc_id"]).groupBy("item").agg(hashed.alias("s"))
+    sets = at_home.join(near.select("item", F.col("first_doc").alias("doc_id")), ["item", "doc_id"]).groupBy("item").agg(F.first("line").alias("line")).select("item", _set(F.col("line"), chars).alias("s"))
     sets = written(sets, "sets")
     shared = F.size(F.array_intersect("sa", "sb"))
     alike = F.expr(f"100 * least(size(sa), size(sb)) >= {percent} * greatest(size(sa), size(sb))") & ((100 + percent) * shared >= percent * (F.size("sa") + F.size("sb")))
@@ -93,9 +121,9 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, chars: int | None = None) -> DataFrame:
     """``docs`` with the removed lines taken out of the text, and the columns ``n_lines`` and ``n_removed``."""
-    gone = small_side(written(removed_lines(docs, id_col, text_col, percent), "removed")).withColumnsRenamed({"doc_id": "__id", "removed": "__removed"})
+    gone = small_side(written(removed_lines(docs, id_col, text_col, percent, chars), "removed")).withColumnsRenamed({"doc_id": "__id", "removed": "__removed"})
     lines = F.split(F.col(text_col), "\n", -1)
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__removed")), lambda i: F.get("__lines", i))
     with_lines = docs.withColumn("__lines", lines).join(gone, F.col(id_col).cast("long") == F.col("__id"), "left")

@@ -74,7 +74,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedup_lines(_table(spark, sf_dir, "documents"))
+    kept = dedup_lines(_table(spark, sf_dir, "documents"), chars=5)
     return kept.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one of each group of near lines in the corpus; drops documents that have no other words."""
-    kept = dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    kept = dedup_lines(docs, chars=5).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

@@ -337,6 +337,31 @@ def test_op10_recall(spark):
     assert 0.993 * 3000 <= found <= 3000
 
 
+def test_op10_every_position(spark):
+    docs, rows = documents(spark)
+    prose = "the harvest of roses began late this year because of cold nights"
+    rows = [*rows, (20_000, prose), (20_001, prose.replace("late", "lat")), (20_002, "abcd"), (20_003, "abce"), (20_004, "x" + prose[1:] * 40), (20_005, prose[1:] * 40 + "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shingles = lambda x: {x[i : i + 5] for i in range(max(1, len(x) - 4))}
+    places = sorted((i, p, x) for i, t in rows for p, x in enumerate((t or "").split("\n")) if re.search(r"[^\x20\x09-\x0D]", x))
+    known = sorted({x for _, _, x in places})
+    sets, parent = [shingles(x) for x in known], dict(enumerate(range(len(known))))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if 3 * max(len(s), len(sets[j])) <= 4 * min(len(s), len(sets[j])) and 4 * len(s & sets[j]) >= 3 * len(s | sets[j]):
+                parent[find(parent, i)] = find(parent, j)
+    number, kept, removed = {x: i for i, x in enumerate(known)}, set(), collections.Counter()
+    for i, _, x in places:
+        c = find(parent, number[x])
+        removed[i] += c in kept
+        kept.add(c)
+    assert removed[20_001] == removed[20_005] == 1 and removed[20_003] == 0
+    out = line_dedup.dedup_lines(docs, chars=5).collect()
+    assert {r.doc_id: r.n_removed for r in out} == {i: removed[i] for i, _ in rows}
+    query = queries.op10_line_dedup(spark, DATA).select("doc_id", "n_removed").collect()
+    assert {r.doc_id: r.n_removed for r in query} == {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.read.parquet(f"{DATA}/documents.parquet"), chars=5).collect()}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
