@@ -2,21 +2,26 @@
 
 Features are hashed word 1-grams and 2-grams (A-Z lower-cased, words of letters, digits and all beyond
 ASCII), counts over the square root of their number. A multinomial logistic regression is trained on
-noisy copies of the families' notices and, as ``unknown``, on at most ``sample`` paragraphs of the
-corpus and on sentences that use licence words otherwise. On held-out rows the scores get a
-temperature (least log loss), and the threshold is set so that at most ``false_rate`` of the unknown
-rows pass it; a paragraph below it is unknown. A predicted family is confirmed when the paragraph and
-one of the family's notices share enough word pairs.
-
-A paragraph is a line with a word. All paragraphs of all texts are scored, in vectorised steps with
-the weights (``BUCKETS`` times families, a fixed size) broadcast. Null, empty and wordless texts have
-no paragraph and get no family; repeated rows get equal results; other columns are not looked at.
+noisy, embedded and cut copies of the families' notices and, as ``unknown``, on at most ``sample``
+paragraphs of the corpus, windows of them, and sentences that use licence words otherwise. On held-out
+rows the scores get a temperature (least log loss), and the threshold is set so that at most
+``false_rate`` of the unknown rows pass it.
+
+Scored are every paragraph (a line with a word) and word windows of the lengths ``WINDOWS`` at every
+quarter of their length over each whole text, so that neither line breaks (nor the marks of comments)
+nor the text around a notice matter. Windows over the threshold that overlap make a region. In a region
+and ``REACH`` words around it a family is confirmed where enough word pairs of one of its notices lie
+close together, half of those that tell it from all other families among them; of overlapping places the one
+counts whose pairs fit the notice best. The classifier counts the ``VARIETIES`` of a family as the family.
+
+All texts are scored, in vectorised steps with the weights (``BUCKETS`` times families, a fixed size)
+broadcast. Null, empty and wordless texts have no paragraph and get no family; repeated rows get equal
+results; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import random
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import alnum_words, as_bytes, steps, window_hashes, word_hashes
 
 BUCKETS = 1 << 18
+WINDOWS, REACH = (4, 8, 16, 32), 48
 UNKNOWN = "unknown"
 #: Notices by family, as their licences word them or as they are commonly abridged. Fixed values.
 NOTICES = {
@@ -40,6 +46,18 @@ NOTICES = {
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Released under the Mozilla Public License 2.0."],
     "reserved": ["All rights reserved.", "Copyright (c) the authors. All rights reserved.", "No part of this publication may be reproduced without written permission of the publisher."],
 }
+#: Licences that differ from a family by a word or two: the family that the classifier takes them for, and their notices.
+VARIETIES = {
+    "LGPL": ("GPL", ["This work is licensed under the GNU Lesser General Public License, version 3.", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.", "Released under the GNU LGPL v3.", "SPDX-License-Identifier: LGPL-3.0-or-later"]),
+    "AGPL": ("GPL", ["This work is licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.", "Released under the GNU AGPL v3.", "SPDX-License-Identifier: AGPL-3.0-or-later"]),
+    **{
+        f"CC-{short}": (family, [f"Licensed under CC {short} 4.0.", f"This work is licensed under a Creative Commons Attribution-{name} 4.0 International License."])
+        for family, short, name in (("CC-BY", "BY-SA", "ShareAlike"), ("CC-BY", "BY-ND", "NoDerivatives"), ("CC-BY-NC", "BY-NC-SA", "NonCommercial-ShareAlike"), ("CC-BY-NC", "BY-NC-ND", "NonCommercial-NoDerivatives"))
+    },
+}
+#: Also confirmed and trained on: earlier versions of the Creative Commons licences.
+EARLIER = {family: [n.replace("4.0 International", "3.0 Unported").replace("4.0", "3.0") for n in notices] for family, notices in [*NOTICES.items(), *((v, n) for v, (_, n) in VARIETIES.items())] if family.startswith("CC")}
+WORDED = {family: notices + EARLIER.get(family, []) for family, notices in [*NOTICES.items(), *((v, n) for v, (_, n) in VARIETIES.items())]}
 OTHERWISE = [
     "The new version was released under pressure from the public.", "He lost his driving license in general traffic.", "Work is licensed by the city and permitted on weekends.", "The rights of the people are reserved for the court to decide.",
     "She was granted permission to copy the documents.", "The license fee rose by two percent.", "All seats are reserved for members.", "A public foundation for creative work in common.", "Version two of the software was free.",
@@ -70,29 +88,73 @@ def _vectors(lines: list[bytes]) -> list[SparseVector]:
     return out
 
 
-def _scores(model: dict, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Calibrated probabilities by line and class, and the number of words."""
-    buckets, bounds, words = features(lines)
+def _calibrated(model: dict, sums: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Probabilities by row and class from the summed weights of the rows' ``n`` features."""
+    logits = (sums / np.sqrt(np.maximum(1, n))[:, None] + model["bias"]) / model["temperature"]
+    if len(logits):
+        logits = np.exp(logits - logits.max(axis=1, keepdims=True))
+        logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
+def _scores(model: dict, lines: list[bytes]) -> np.ndarray:
+    """Calibrated probabilities by line and class."""
+    buckets, bounds, _ = features(lines)
     sums = np.zeros((len(buckets) + 1, model["weights"].shape[1]))
     np.cumsum(model["weights"][buckets], axis=0, out=sums[1:])
-    size = np.sqrt(np.maximum(1, np.diff(bounds)))[:, None]
-    logits = ((sums[bounds[1:]] - sums[bounds[:-1]]) / size + model["bias"]) / model["temperature"]
-    e = np.exp(logits - logits.max(axis=1, keepdims=True)) if len(lines) else logits
-    return e / e.sum(axis=1, keepdims=True) if len(lines) else e, words
+    return _calibrated(model, sums[bounds[1:]] - sums[bounds[:-1]], np.diff(bounds))
+
+
+def _windows(bounds: np.ndarray):
+    """``(start, end)`` of the word windows of texts with the words [bounds[i], bounds[i+1]); no window is empty."""
+    first, last = bounds[:-1][np.diff(bounds) > 0], bounds[1:][np.diff(bounds) > 0]
+    at = np.arange(bounds[-1])
+    rel, left = at - np.repeat(first, last - first), np.repeat(last, last - first) - at
+    for size in WINDOWS:
+        inner = at[(rel % (size // 4) == 0) & (left >= size)]
+        yield np.concatenate([inner, np.maximum(first, last - size)]), np.concatenate([inner + size, last])
+
+
+def _hits(model: dict, words: np.ndarray, pairs: np.ndarray, lines: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Rows (start, end, class, score) of the lines and windows over the threshold, by start."""
+    width = model["weights"].shape[1]
+    one, two = np.zeros((len(words) + 1, width)), np.zeros((len(pairs) + 1, width))
+    np.cumsum(model["weights"][(words % np.uint64(BUCKETS)).astype(np.int64)], axis=0, out=one[1:])
+    np.cumsum(model["weights"][(pairs % np.uint64(BUCKETS)).astype(np.int64)], axis=0, out=two[1:])
+    hits = []
+    full = np.diff(lines) > 0
+    for start, end in [(lines[:-1][full], lines[1:][full]), *_windows(texts)]:
+        p = _calibrated(model, one[end] - one[start] + two[end - 1] - two[start], 2 * (end - start) - 1)
+        top = p[:, :-1].max(axis=1)
+        over = np.flatnonzero(top >= model["threshold"])
+        hits.append(np.stack([start[over], end[over], p[over, :-1].argmax(axis=1), top[over]], axis=1))
+    hits = np.concatenate(hits)
+    return hits[np.lexsort((hits[:, 1], hits[:, 0]))]
 
 
 def training_rows(negatives: list[str], copies: int = 40, seed: int = 7) -> list[tuple[str, str]]:
-    """``(family, paragraph)``: the notices with words lost, added and put around, and the unknown rows."""
+    """``(family, paragraph)``: the notices with words lost, added and put around, cut to windows, and the unknown rows."""
     draw, rows = random.Random(seed), []
     fillers = [w for text in negatives[:500] for w in text.split()[:6]] or ["the"]
-    for family, notices in NOTICES.items():
+    taken_for = {family: family for family in NOTICES} | {variety: family for variety, (family, _) in VARIETIES.items()}
+    for worded, notices in WORDED.items():
+        family = taken_for[worded]
         for notice in notices:
             rows.append((family, notice))
-            for _ in range(copies):
+            for copy in range(copies):
                 words = [w for w in notice.split() if draw.random() > 0.08]
-                words = [*draw.choices(fillers, k=draw.randrange(4)), *words, *draw.choices(fillers, k=draw.randrange(4))]
+                around = len(words) if copy % 2 else 3
+                if copy % 4 == 3:
+                    size = draw.choice([size for size in WINDOWS if size >= min(16, len(words) // 2)])
+                    at = draw.randrange(max(1, len(words) - size + 1))
+                    words, around = words[at : at + size], max(0, size - len(words)) // 2
+                words = [*draw.choices(fillers, k=draw.randrange(around + 1)), *words, *draw.choices(fillers, k=draw.randrange(around + 1))]
                 rows.append((family, " ".join(words)))
     rows += [(UNKNOWN, text) for text in [*negatives, *OTHERWISE * (copies // 4)]]
+    for text in negatives:
+        words, size = text.split(), draw.choice(WINDOWS)
+        at = draw.randrange(max(1, len(words) - size + 1))
+        rows.append((UNKNOWN, " ".join(words[at : at + size])))
     return rows
 
 
@@ -101,8 +163,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     spark: SparkSession = docs.sparkSession
     lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line")).where(F.length(F.trim("line")) > 0)
     negatives = [r["line"][:2000] for r in lines.orderBy(F.xxhash64("line"), "line").limit(sample).collect()]
-    known = {_key(n) for notices in NOTICES.values() for n in notices}
-    negatives = [n for n in negatives if not any(k <= _key(n) for k in known)]
+    negatives = [n for n in negatives if not confirmed(n)]
     classes = [*NOTICES, UNKNOWN]
     rows = training_rows(negatives)
     random.Random(1).shuffle(rows)
@@ -114,10 +175,10 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     held, truth = [t.encode() for _, t in rows[cut:]], np.array([classes.index(c) for c, _ in rows[cut:]])
     losses = {}
     for temperature in np.geomspace(0.25, 4, 17):
-        p, _ = _scores(model | {"temperature": temperature}, held)
+        p = _scores(model | {"temperature": temperature}, held)
         losses[temperature] = -np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean()
     model["temperature"] = min(losses, key=losses.get)
-    p, _ = _scores(model, held)
+    p = _scores(model, held)
     false = np.sort(p[truth == len(classes) - 1, :-1].max(axis=1))
     model["threshold"] = max(0.5, float(false[min(len(false) - 1, int(len(false) * (1 - false_rate)))])) if len(false) else 0.5
     picked = np.where(p[:, :-1].max(axis=1) >= model["threshold"], p[:, :-1].argmax(axis=1), len(classes) - 1)
@@ -125,15 +186,99 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     return model
 
 
-def _key(text: str) -> frozenset:
-    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
-    return frozenset(zip(words, [*words[1:], ""], strict=True) if len(words) == 1 else zip(words, words[1:], strict=False))
+def _pairs(texts: list[str]) -> list[list[int]]:
+    words, bounds = word_hashes([t.encode() for t in texts], alnum_words())
+    return [window_hashes(words[a:b], 2).tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _notices() -> tuple[list[tuple], dict[int, list[int]]]:
+    """``(family, pairs, own pairs, longest span)`` of every notice, and the notices of every word pair.
+
+    Own pairs have a word that no other family's notice has; where there are none, no other family's notice has the pair.
+    """
+    flat = [(family, notice) for family, notices in WORDED.items() for notice in notices]
+    words, bounds = word_hashes([notice.encode() for _, notice in flat], alnum_words())
+    listed, families = [], {}
+    for (family, _), a, z in zip(flat, bounds[:-1], bounds[1:], strict=True):
+        listed.append((family, dict(zip(window_hashes(words[a:z], 2).tolist(), zip(words[a:z].tolist(), words[a + 1 : z].tolist(), strict=False), strict=True))))
+    holders: dict[int, list[int]] = {}
+    for i, (family, pairs) in enumerate(listed):
+        for pair, two in pairs.items():
+            holders.setdefault(pair, []).append(i)
+            for key in (pair, *two):
+                families.setdefault(key, set()).add(family)
+    table = []
+    for family, pairs in listed:
+        named = frozenset(p for p, two in pairs.items() if any(len(families[w]) == 1 for w in two))
+        own = named or frozenset(p for p in pairs if len(families[p]) == 1)
+        table.append((family, frozenset(pairs), own, len(pairs) + len(pairs) // 2 + 2))
+    return table, holders
+
+
+TABLE, HOLDERS = _notices()
+
+
+def matches(pairs: list[int], least: float = 0.6) -> list[tuple[str, int, int, float]]:
+    """``(family, first, last, fit)``: where at least ``least`` of a notice's word pairs lie close together.
+
+    ``fit`` is the Jaccard similarity of the notice's pairs and those of the place; it decides between places that overlap.
+    """
+    places: dict[int, list[tuple[int, int]]] = {}
+    for at, pair in enumerate(pairs):
+        for i in HOLDERS.get(pair, ()):
+            places.setdefault(i, []).append((at, pair))
+    found = []
+    for i, seen in places.items():
+        family, all_, own, span = TABLE[i]
+        held: dict[int, int] = {}
+        low, best = 0, {}
+        for at, pair in seen:
+            held[pair] = held.get(pair, 0) + 1
+            while at - seen[low][0] >= span or held[seen[low][1]] > 1:
+                old = seen[low][1]
+                held[old] -= 1
+                if not held[old]:
+                    del held[old]
+                low += 1
+            if len(held) >= least * len(all_) and 2 * sum(p in held for p in own) >= len(own):
+                first = seen[low][0]
+                fit = len(held) / (len(all_) + at - first + 1 - len(held))
+                if first not in best or fit >= best[first][3]:
+                    best[first] = (family, first, at, fit)
+        found += best.values()
+    taken: list[tuple[str, int, int, float]] = []
+    for match in sorted(found, key=lambda m: (-m[3], m[1] - m[2], m[1], m[0])):
+        if all(match[2] < t[1] or match[1] > t[2] for t in taken):
+            taken.append(match)
+    return sorted(taken, key=lambda m: m[1])
+
+
+def confirmed(text: str) -> list[str]:
+    """The families with a confirmed notice in the text."""
+    return sorted({family for family, *_ in matches(_pairs([text])[0])})
 
 
-def confirmed(family: str, paragraph: str, least: float = 0.6) -> bool:
-    """Whether the paragraph has at least ``least`` of the word pairs of one of the family's notices."""
-    own = _key(paragraph)
-    return any(len(own & pairs) >= least * len(pairs) for pairs in map(_key, NOTICES[family]))
+def _found(model: dict, hits: np.ndarray, pairs: np.ndarray, text: tuple[int, int]) -> list[tuple]:
+    """``(word, family, score, confirmed)`` of each confirmed notice, and of each region without one."""
+    regions: list[list] = []
+    for start, end, kind, score in hits.tolist():
+        if regions and start < regions[-1][1]:
+            last = regions[-1]
+            last[1] = max(last[1], end)
+            last[2:] = max((last[3], last[2]), (score, kind))[::-1]
+        else:
+            regions.append([start, end, kind, score])
+    found, sure = [], set()
+    for start, end, kind, score in regions:
+        low, high = max(text[0], int(start) - REACH), min(text[1], int(end) + REACH)
+        near = [(family, low + a, low + z) for family, a, z, _ in matches(pairs[low : max(low, high - 1)].tolist()) if low + a < end and low + z >= start - 1]
+        for family, a, z in near:
+            if (family, a, z) not in sure:
+                sure.add((family, a, z))
+                found.append((a, family, score, True))
+        if not near:
+            found.append((int(start), model["classes"][int(kind)], score, False))
+    return found
 
 
 def scan(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,21 +288,18 @@ def scan(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         m = shared.value
         for batch in steps(batches, limit=1 << 20):
-            texts = as_bytes(batch.column(1))
-            split = [t.split(b"\n") for t in texts]
-            lines = [x for s in split for x in s]
-            p, words = _scores(m, lines)
-            best, top = p[:, :-1].argmax(axis=1), p[:, :-1].max(axis=1)
-            hit = (words > 0) & (top >= m["threshold"])
-            at, rows = 0, []
-            for doc, s in zip(batch.column(0).to_pylist(), split, strict=True):
-                found = []
-                for i in np.flatnonzero(hit[at : at + len(s)]):
-                    family, line = m["classes"][best[at + i]], lines[at + i].decode()
-                    found.append({"line": int(i), "family": family, "score": float(top[at + i]), "confirmed": confirmed(family, line)})
+            split = [t.split(b"\n") for t in as_bytes(batch.column(1))]
+            words, lines = word_hashes([x for s in split for x in s], alnum_words())
+            first = np.concatenate([[0], np.cumsum([len(s) for s in split])])
+            texts, full = lines[first], np.diff(lines) > 0
+            pairs = window_hashes(words, 2) if len(words) > 1 else np.empty(0, np.uint64)
+            hits = _hits(m, words, pairs, lines, texts)
+            at, rows = np.searchsorted(hits[:, 0], texts), []
+            for i, doc in enumerate(batch.column(0).to_pylist()):
+                places = _found(m, hits[at[i] : at[i + 1]], pairs, (int(texts[i]), int(texts[i + 1])))
+                found = [{"line": int(np.searchsorted(lines, word, side="right")) - 1 - int(first[i]), "family": family, "score": score, "confirmed": sure} for word, family, score, sure in places]
                 sure = [f for f in found if f["confirmed"]]
-                rows.append({"doc_id": doc, "n_paragraphs": int((words[at : at + len(s)] > 0).sum()), "n_predicted": len(found), "n_confirmed": len(sure), "families": sorted({f["family"] for f in sure}), "score": max((f["score"] for f in sure), default=None), "found": found})
-                at += len(s)
+                rows.append({"doc_id": doc, "n_paragraphs": int(full[first[i] : first[i + 1]].sum()), "n_predicted": len(found), "n_confirmed": len(sure), "families": sorted({f["family"] for f in sure}), "score": max((f["score"] for f in sure), default=None), "found": found})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     one = pa.struct([("line", pa.int64()), ("family", pa.string()), ("score", pa.float64()), ("confirmed", pa.bool_())])

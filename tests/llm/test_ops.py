@@ -362,6 +362,35 @@ def test_op10_every_position(spark):
     assert {r.doc_id: r.n_removed for r in query} == {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.read.parquet(f"{DATA}/documents.parquet"), chars=5).collect()}
 
 
+def test_op1_wrapped_and_embedded(spark):
+    docs, _ = documents(spark)
+    model = license_scan.train(docs, sample=400)
+    prose = " ".join(["The harvest began late and the boxes were packed by hand before noon"] * 30)
+    gpl = "This program is free software: you can redistribute it and/or modify\n{0}it under the terms of the GNU {1}General Public License as published by\n{0}the Free Software Foundation, either version 3 of the License, or\n{0}(at your option) any later version."
+    cases = {
+        gpl.format("", ""): ["GPL"],
+        "int x;\n * " + gpl.format(" * ", "") + "\n */\nint y;": ["GPL"],
+        gpl.format("# ", "Lesser "): ["LGPL"],
+        gpl.format("", "Affero "): ["AGPL"],
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n": ["BSD"],
+        "Permission is hereby granted, free of charge, to any person obtaining a\ncopy of this software and associated documentation files (the Software)": ["MIT"],
+        f"{prose}. Released under the MIT License. {prose}": ["MIT"],
+        f"{prose} This work is licensed under the GNU General Public License, version 3. {prose}": ["GPL"],
+        f"{prose} Licensed under the Apache License,\nVersion 2.0. {prose}": ["Apache-2.0"],
+        "Released under the MIT License.\nThe pictures: Licensed under CC BY 4.0.": ["CC-BY", "MIT"],
+        "Licensed under CC BY 3.0.": ["CC-BY"],
+        "Licensed under CC BY-SA 4.0.": ["CC-BY-SA"],
+        "Licensed under CC BY-NC-ND 4.0.": ["CC-BY-NC-ND"],
+        "Released under the GNU LGPL v3.": ["LGPL"],
+        "SPDX-License-Identifier: Zlib": [],
+        "This project is released under the Foo 2.0 license.": [],
+        prose: [],
+    }
+    odd = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r.families for r in license_scan.scan(odd, model).collect()}
+    assert [(list(cases)[i], f) for i, f in sorted(got.items())] == list(cases.items())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
