@@ -162,16 +162,22 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     """Weights, bias, temperature, threshold and class names; ``sample`` bounds the corpus rows used."""
     spark: SparkSession = docs.sparkSession
     lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line")).where(F.length(F.trim("line")) > 0)
-    negatives = [r["line"][:2000] for r in lines.orderBy(F.xxhash64("line"), "line").limit(sample).collect()]
+    heads = lines.select(F.xxhash64("line").alias("h"), F.substring("line", 1, 2000).alias("line"))
+    negatives = [r["line"] for r in heads.orderBy("h", "line").limit(sample).collect()]
     negatives = [n for n in negatives if not confirmed(n)]
     classes = [*NOTICES, UNKNOWN]
     rows = training_rows(negatives)
     random.Random(1).shuffle(rows)
     cut = len(rows) * 4 // 5
-    vectors = _vectors([t.encode() for _, t in rows])
-    frame = spark.createDataFrame([(float(classes.index(c)), v) for (c, _), v in zip(rows[:cut], vectors[:cut], strict=True)], ["label", "features"]).repartition(4)
+    vectors = _vectors([t.encode() for _, t in rows[:cut]])
+    seen = np.unique(np.concatenate([v.indices for v in vectors]))  # the weights of all other buckets would stay 0
+    vectors = [SparseVector(len(seen), np.searchsorted(seen, v.indices), v.values) for v in vectors]
+    frame = spark.createDataFrame([(float(classes.index(c)), v) for (c, _), v in zip(rows[:cut], vectors, strict=True)], ["label", "features"]).repartition(4)
+    del vectors
     fitted = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, standardization=False).fit(frame)
-    model = {"weights": np.ascontiguousarray(fitted.coefficientMatrix.toArray().T), "bias": fitted.interceptVector.toArray(), "temperature": 1.0, "classes": classes}
+    weights = np.zeros((BUCKETS, len(classes)))
+    weights[seen] = fitted.coefficientMatrix.toArray().T
+    model = {"weights": weights, "bias": fitted.interceptVector.toArray(), "temperature": 1.0, "classes": classes}
     held, truth = [t.encode() for _, t in rows[cut:]], np.array([classes.index(c) for c, _ in rows[cut:]])
     losses = {}
     for temperature in np.geomspace(0.25, 4, 17):
