@@ -1,136 +1,127 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions only.
 
-A line is a ``\\n``-separated piece of a text with at least one word; its set holds, for each of its
-words, the 16 characters that start there (fewer at the line's end), and for each character of a
-longer word those that start at it, so that every character is in a set. With ``chars`` given, it holds
-instead the ``chars`` characters that start at each position of the line, blanks included (a shorter
-line is its own set); one changed word then costs a smaller part of the set. Lines whose sets have a Jaccard
-similarity of ``percent`` / 100 or more are linked, and each connected component of lines keeps one
-occurrence in the whole corpus: the first one in the document with the smallest id.
-
-Signatures are minima of a 31-bit shingle hash under independent linear permutations modulo a prime;
-``BANDS`` bands of ``ROWS`` minima propose candidates (99.8 % of the pairs at a similarity of 0.75,
-nearly all beyond 0.8; pairs that
-share no band are not found), and the sets of the proposed lines are compared exactly (as 32-bit hashes of their
-shingles). Equal lines always meet: a line is known by a 64-bit hash of its characters.
-
-Null and empty texts have no lines; wordless lines stay; rows with the same id count as one document;
-ties go to the earlier line; other columns pass through :func:`dedup_lines` untouched.
+A line is a ``\\n``-separated piece of a text with at least one word; its set holds the ``CHARS``
+characters (UTF-16 units) that start at each position, blanks included; a shorter line is its own set.
+Lines whose sets have a Jaccard similarity of ``percent`` / 100 or more are linked, and each connected
+component of lines keeps one occurrence in the whole corpus: the first one in the document with the
+smallest id.
+
+Signatures are MinHash with one permutation: every shingle of the whole line is hashed once, falls into
+one of ``BANDS`` x ``ROWS`` bins, and each bin keeps its least hash. Only hashes that can be minima are
+looked at further: the least ``SAMPLE`` of a line's on average. A line with fewer shingles hashes them
+under more seeds, so that its bins fill as well. Lines that agree in all bins of a band are candidates;
+pairs that share no band are not found. Of the candidates, those whose bitmaps of the same hashes are
+unlike (``SLACK`` below the threshold) go, and the sets of the others are compared exactly, as 32-bit
+hashes of their shingles. Equal lines always meet: a line is known by 64 bits of one hash and 32 of
+another; lines of which only the first hash is equal stay as they are.
+
+Null and empty texts have no lines; wordless lines stay; rows with the same id count as one document,
+rows with a null id stay as they are and are not compared; ties go to the earlier line; an empty table
+gives an empty one; other columns pass through :func:`dedup_lines` untouched, whatever their names.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .common import small_side, written
+from .common import shuffle_partitions, small_side, written
 from .components import link_buckets
 
-BANDS, ROWS, CHARS = 16, 4, 16
-PRIME = (1 << 31) - 1
-PIECE = 64
-
-
-def _permutations() -> list[tuple[int, int]]:
-    draw = random.Random(20)
-    return [(draw.randrange(1, PRIME), draw.randrange(PRIME)) for _ in range(BANDS * ROWS)]
-
-
-def _minima(h) -> list:
-    """The least value of the 31-bit hashes ``h`` under each permutation; products stay below 2^63."""
-    return [F.min((h * F.lit(a).cast("long") + F.lit(b).cast("long")) % F.lit(PRIME).cast("long")).alias(f"m{i}") for i, (a, b) in enumerate(_permutations())]
-
-
-def _shingles(line):
-    word = r"[^\x20\x09-\x0D]"
-    step = rf"(?<!{word}){word}{{1,{CHARS}}}+(?!{word})|{word}"  # over a word at its start, over one character in a longer one
-    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=({word}.{{0,{CHARS - 1}}}))(?:{step})"), F.lit(1))
-
-
-def _pieces(line, chars: int):
-    """Overlapping pieces with ``PIECE`` shingle starts each, so that no position is sought through a long line."""
-    starts = F.sequence(F.lit(0), F.greatest(F.length(line) - chars, F.lit(0)), F.lit(PIECE))
-    return F.transform(starts, lambda i: F.substr(line, i + 1, F.lit(PIECE + chars - 1)))
-
+BANDS, ROWS, SAMPLE, CHARS = 16, 5, 112, 5
+#: Words of the bitmap, and by how much of a hundred its similarity may fall short of the sets'.
+WORDS, SLACK = 4, 25
 
-def _starts(piece, chars: int):
-    return F.sequence(F.lit(1), F.greatest(F.length(piece) - (chars - 1), F.lit(1)))
-
-
-def _exploded(seen: DataFrame, chars: int | None) -> DataFrame:
-    """``(item, first_doc, s)``: every shingle of every line."""
-    if chars is None:
-        return seen.select("item", "first_doc", F.explode(_shingles(F.col("line"))).alias("s"))
-    pieces = seen.select("item", "first_doc", F.explode(_pieces(F.col("line"), chars)).alias("piece"))
-    placed = pieces.select("item", "first_doc", "piece", F.explode(_starts(F.col("piece"), chars)).alias("at"))
-    return placed.select("item", "first_doc", F.substr("piece", F.col("at"), F.lit(chars)).alias("s"))
 
+def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, pos, line, item, check)`` for every line with a word; ``item`` and ``check`` are the line's hashes."""
+    lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line")).where("doc_id is not null")
+    return lines.where(F.ltrim("line", F.lit(" \t\x0b\x0c\r")) != "").withColumns({"item": F.xxhash64("line"), "check": F.hash("line")})
+
+
+def _units(lines: DataFrame) -> DataFrame:
+    """``(item, units, n)``: a line's UTF-16 units in two bytes each, and the number of its shingles."""
+    return lines.select("item", F.encode("line", "UTF-16BE").alias("units")).withColumn("n", F.expr(f"greatest(shiftright(length(units), 1) - {CHARS - 1}, 1)"))
+
+
+def line_signatures(lines: DataFrame) -> DataFrame:
+    """``(item, bands, w0 .. w3)`` of the lines of ``(item, line)``, each item once: the bands, and a bitmap of the shingles they come from."""
+    seeded = _units(lines).withColumn("seed", F.explode(F.expr(f"sequence(0, cast({SAMPLE} div n as int))")))
+    # of the seed's hashes, those below the limit are looked at: SAMPLE of a line over all its seeds
+    limited = seeded.withColumn("most", F.expr(f"cast(least(1D, {SAMPLE} / n - seed) * {2**31 - 1} as int)"))
+    hashed = limited.withColumn("at", F.explode(F.expr("sequence(1, 2 * n - 1, 2)"))).selectExpr("item", "most", f"hash(substring(units, at, {2 * CHARS}), seed) & {2**31 - 1} as h").where("h < most")
+    row = f"h div {BANDS} % {ROWS}"
+    least = [F.min(F.expr(f"if({row} = {i}, h, null)")).alias(f"m{i}") for i in range(ROWS)]
+    bits = F.expr(f"bit_or(shiftleft(1L, cast(h div {BANDS * ROWS} % 64 as int)))").alias("bits")
+    minima = hashed.groupBy("item", F.expr(f"h % {BANDS}").alias("band")).agg(*least, bits)
+    named = minima.select("item", "band", "bits", F.xxhash64("band", *(f"m{i}" for i in range(ROWS))).alias("bucket"))
+    words = [F.expr(f"bit_or(if(band % {WORDS} = {i}, bits, 0L))").alias(f"w{i}") for i in range(WORDS)]
+    buckets = [F.max(F.expr(f"if(band = {i}, bucket, null)")).alias(f"b{i}") for i in range(BANDS)]
+    one = named.groupBy("item").agg(*words, *buckets)
+    return one.select("item", F.array_compact(F.array(*(f"b{i}" for i in range(BANDS)))).alias("bands"), *(f"w{i}" for i in range(WORDS)))
+
+
+def line_sets(lines: DataFrame) -> DataFrame:
+    """``(item, s)``: the distinct 32-bit hashes of each line's shingles."""
+    return _units(lines).selectExpr("item", f"array_distinct(transform(sequence(1, 2 * n - 1, 2), i -> hash(substring(units, i, {2 * CHARS})))) as s")
+
+
+def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
+    """``(item, component)`` of the lines of ``(item, line)`` that are linked with another one; ``texts(items)`` gives a few of them again."""
+    signed = written(line_signatures(seen), "signatures")
+    words = [f"w{i}" for i in range(WORDS)]
+    dealt = signed.select("item", F.explode("bands").alias("bucket")).repartition(shuffle_partitions(seen.sparkSession), "bucket")
+    met = dealt.groupBy("bucket").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).where("lo <> hi").select("bucket")
+    postings = written(dealt.join(met.hint("shuffle_hash"), "bucket", "left_semi"), "met").join(signed.select("item", *words), "item")
+    both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words) for sign in "&|")
+    fits = f"100 * ({both}) >= {percent - SLACK} * ({any_})"
+    alike = F.expr(f"{100 + percent} * size(array_intersect(s_a, s_b)) >= {percent} * (size(s_a) + size(s_b))")
 
-def _set(line, chars: int | None):
-    """The distinct 32-bit hashes of the line's shingles."""
-    if chars is None:
-        return F.array_distinct(F.transform(_shingles(line), lambda x: F.hash(x)))
-    return F.array_distinct(F.flatten(F.transform(_pieces(line, chars), lambda p: F.transform(_starts(p, chars), lambda i: F.hash(F.substr(p, i, F.lit(chars)))))))
+    def verify(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs, "pairs")
+        items = pairs.select(F.col("a").alias("item")).unionAll(pairs.select(F.col("b").alias("item"))).distinct()
+        sets = written(line_sets(texts(items)), "sets")
+        return pairs.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b").where(alike).select("a", "b")
 
+    def cross(posted: DataFrame) -> DataFrame:
+        one, two = (posted.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("item", "component", *words))) for k in "ab")
+        pairs = one.join(two, "bucket").where("item_a < item_b and component_a <> component_b").where(fits)
+        return verify(pairs.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")).distinct())
 
-def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, pos, line, item)`` for every line with a word; ``item`` is the line's hash."""
-    lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
-    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("item", F.xxhash64("line"))
+    return link_buckets(postings, verify, cross, "lines", carry=tuple(words), fits=fits).withColumnRenamed("node", "item")
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, chars: int | None = None) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """``(doc_id, removed)``: the positions (from 0) of the lines to remove, for documents that lose any."""
     lines = text_lines(docs, id_col, text_col)
-    seen = lines.groupBy("item").agg(F.min("doc_id").alias("first_doc"), F.first("line").alias("line"))
-    hashed = _exploded(seen, chars).select("item", "first_doc", F.xxhash64("s").bitwiseAND(F.lit(PRIME).cast("long")).alias("h"))
-    minima = hashed.groupBy("item", "first_doc").agg(*_minima(F.col("h")))
-    bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    signed = written(minima.select("item", "first_doc", bands.alias("bands")), "signatures")
-
-    exploded = signed.select("item", F.explode("bands").alias("bucket"))
-    met = exploded.groupBy("bucket").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).where("lo <> hi").select("bucket")
-    postings = written(exploded.join(small_side(written(met, "bands")), "bucket", "left_semi"), "postings")
-    near = written(postings.select("item").distinct().join(signed.select("item", "first_doc"), "item"), "near")
-    homes = small_side(written(near.select(F.col("first_doc").alias("doc_id")).distinct(), "homes"))
-    at_home = text_lines(docs.join(homes, docs[id_col].cast("long") == homes["doc_id"], "left_semi"), id_col, text_col)
-    sets = at_home.join(near.select("item", F.col("first_doc").alias("doc_id")), ["item", "doc_id"]).groupBy("item").agg(F.first("line").alias("line")).select("item", _set(F.col("line"), chars).alias("s"))
-    sets = written(sets, "sets")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    alike = F.expr(f"100 * least(size(sa), size(sb)) >= {percent} * greatest(size(sa), size(sb))") & ((100 + percent) * shared >= percent * (F.size("sa") + F.size("sb")))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        return pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").where(alike).select("a", "b")
-
-    def cross(posted: DataFrame) -> DataFrame:
-        listed = posted.join(sets, "item").join(signed.select("item", "bands"), "item")
-        one, two = (listed.select("bucket", *(F.col(c).alias(f"{c}{k}") for c in ("item", "component", "bands", "s"))) for k in "ab")
-        once = F.array_min(F.array_intersect("bandsa", "bandsb")) == F.col("bucket")  # a pair comes from one of its buckets
-        return one.join(two, "bucket").where("itema < itemb and componenta <> componentb").where(once).where(alike).select(F.col("itema").alias("a"), F.col("itemb").alias("b"))
-
-    groups = link_buckets(postings, verify, cross, "lines").withColumnRenamed("node", "item")
-    member = signed.select("item", "first_doc").join(groups, "item", "left").withColumn("component", F.coalesce("component", "item"))
-    keeper = member.groupBy("component").agg(F.min("first_doc").alias("keeper"))
-    known = member.join(keeper, "component").select("item", "component", "keeper")
-    placed = lines.select("doc_id", "pos", "item").join(known, "item")
-    turn = F.dense_rank().over(W.partitionBy("doc_id", "component").orderBy("pos"))
-    gone = placed.withColumn("turn", turn).where("doc_id <> keeper or turn > 1")
+    placed = written(lines.select("doc_id", "pos", "item", "check"), "lines")
+    seen = placed.groupBy("item").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("times"), F.min("check").alias("lo"), F.max("check").alias("hi"))
+
+    def texts(items: DataFrame) -> DataFrame:
+        """A line of each item, from the first document that has it."""
+        first = placed.join(small_side(written(items, "near")), "item", "left_semi").groupBy("item").agg(F.min(F.struct("doc_id", "pos")).alias("at"))
+        places = written(first.select("item", "at.*"), "places")
+        homes = small_side(written(places.select(F.col("doc_id").alias("__home")).distinct(), "homes"))
+        there = text_lines(docs.join(homes, docs[id_col].cast("long") == F.col("__home"), "left_semi"), id_col, text_col).select("doc_id", "pos", "item", "line")
+        return there.join(small_side(places), ["item", "doc_id", "pos"], "left_semi").groupBy("item").agg(F.first("line").alias("line"))
+
+    groups = near_groups(lines.groupBy("item").agg(F.first("line").alias("line")), texts, percent)
+    member = seen.where("lo = hi").join(groups, "item", "left").withColumn("component", F.coalesce("component", "item"))
+    keepers = member.groupBy("component").agg(F.min("first_doc").alias("keeper"), F.sum("times").alias("times")).where("times > 1")
+    known = member.join(keepers.select("component", "keeper"), "component").select("item", "component", "keeper")
+    found = written(placed.join(small_side(written(known, "known")), "item").select("doc_id", "pos", "component", "keeper"), "found")
+    stays = found.where("doc_id = keeper").groupBy("doc_id", "component").agg(F.min("pos").alias("pos"))
+    gone = found.select("doc_id", "pos").join(stays.select("doc_id", "pos"), ["doc_id", "pos"], "left_anti")
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, chars: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """``docs`` with the removed lines taken out of the text, and the columns ``n_lines`` and ``n_removed``."""
-    gone = small_side(written(removed_lines(docs, id_col, text_col, percent, chars), "removed")).withColumnsRenamed({"doc_id": "__id", "removed": "__removed"})
-    lines = F.split(F.col(text_col), "\n", -1)
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__removed")), lambda i: F.get("__lines", i))
-    with_lines = docs.withColumn("__lines", lines).join(gone, F.col(id_col).cast("long") == F.col("__id"), "left")
-    return (
-        with_lines.withColumn("n_lines", F.coalesce(F.size("__lines"), F.lit(0)).cast("long"))
-        .withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-        .withColumn("n_removed", F.coalesce(F.size("__removed"), F.lit(0)).cast("long"))
-        .withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n")))
-        .drop("__id", "__removed", "__lines")
-    )
+    gone = small_side(written(removed_lines(docs, id_col, text_col, percent), "removed"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    both = docs.select(row, F.split(F.col(text_col), "\n", -1).alias("lines"), F.col(id_col).cast("long").alias("id")).join(gone, F.col("id") == F.col("doc_id"), "left")
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed")), lambda i: F.get("lines", i))
+    text = F.when(F.col("removed").isNull(), F.col(f"row.`{text_col}`")).otherwise(F.array_join(left, "\n")).alias(text_col)
+    counts = {"n_lines": F.greatest(F.coalesce(F.size("lines"), F.lit(0)), F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size("removed"), F.lit(0)).cast("long")}
+    kept = [text if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in counts]
+    return both.select(*kept, *(v.alias(k) for k, v in counts.items()))

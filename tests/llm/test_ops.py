@@ -151,8 +151,8 @@ def test_op8_brute_force(spark):
 
 def test_op10_brute_force(spark):
     docs, rows = documents(spark)
-    shingles = lambda x: {x[m.start() : m.start() + 16] for m in re.finditer(r"[^\x20\x09-\x0D]+", x)}
-    places = sorted((i, p, x) for i, t in rows for p, x in enumerate((t or "").split("\n")) if shingles(x))
+    shingles = lambda x: {x[i : i + 5] for i in range(max(1, len(x) - 4))}
+    places = sorted((i, p, x) for i, t in rows for p, x in enumerate((t or "").split("\n")) if re.search(r"[^\x20\x09-\x0D]", x))
     known = sorted({x for _, _, x in places})
     sets, parent = [shingles(x) for x in known], dict(enumerate(range(len(known))))
     holders = collections.defaultdict(list)
@@ -318,23 +318,24 @@ def test_op10_long_words(spark):
     unspaced = [*unspaced, unspaced[0][:16] + unspaced[1][16:], unspaced[2][:89] + "x", "q" + unspaced[2]]
     urls = [f"https://www.example.com/{a}" for a in ("a", "b", "news/today", "news/2024/index.html")]
     texts = [*unspaced, *urls, "see https://www.example.com/a now", "d41d8cd98f00b204e9800998ecf8427e", "d41d8cd98f00b2040000000000000000"]
-    sets = [{x[i : i + 16] for m in re.finditer(r"\S+", x) for i in (range(*m.span()) if len(m[0]) > 16 else m.span()[:1])} for x in texts]
+    sets = [{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in texts]
     near = lambda i: any(4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]) for j in range(i))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed}
-    assert got == {i for i in range(len(texts)) if near(i)} == {5}
+    assert got == {i for i in range(len(texts)) if near(i)} == {4, 5, 7}
 
 
 def test_op10_recall(spark):
     draw = random.Random(11)
-    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=16))
+    letters = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
     lines = []
-    for _ in range(3000):
-        shared = [word() for _ in range(6)]
-        lines += [" ".join([*shared, word()]) for _ in range(2)]  # 6 of 8 words in common
+    for k in range(3000):
+        size = (2, 4, 8, 16, 40)[k % 5]
+        shared = letters(6 * size + 4)  # 6 of 8 shingles in common
+        lines += [shared + letters(size) for _ in range(2)]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     found = line_dedup.dedup_lines(docs).agg(F.sum("n_removed")).first()[0]
-    assert 0.993 * 3000 <= found <= 3000
+    assert 0.98 * 3000 <= found <= 3010
 
 
 def test_op10_every_position(spark):
@@ -356,10 +357,10 @@ def test_op10_every_position(spark):
         removed[i] += c in kept
         kept.add(c)
     assert removed[20_001] == removed[20_005] == 1 and removed[20_003] == 0
-    out = line_dedup.dedup_lines(docs, chars=5).collect()
+    out = line_dedup.dedup_lines(docs).collect()
     assert {r.doc_id: r.n_removed for r in out} == {i: removed[i] for i, _ in rows}
     query = queries.op10_line_dedup(spark, DATA).select("doc_id", "n_removed").collect()
-    assert {r.doc_id: r.n_removed for r in query} == {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.read.parquet(f"{DATA}/documents.parquet"), chars=5).collect()}
+    assert {r.doc_id: r.n_removed for r in query} == {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.read.parquet(f"{DATA}/documents.parquet")).collect()}
 
 
 def test_op1_wrapped_and_embedded(spark):
