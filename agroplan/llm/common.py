@@ -35,10 +35,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting under which a query's shuffle files go once the query is done.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The table stands for what made it, so the shuffle files behind it are removed at once.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
