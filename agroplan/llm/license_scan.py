@@ -2,8 +2,8 @@
 
 Features are hashed word 1-grams and 2-grams (A-Z lower-cased, words of letters, digits and all beyond
 ASCII), counts over the square root of their number. A multinomial logistic regression is trained on
-noisy, embedded and cut copies of the families' notices and, as ``unknown``, on at most ``sample``
-paragraphs of the corpus, windows of them, and sentences that use licence words otherwise. On held-out
+noisy, embedded and cut copies of the families' notices and, as ``unknown``, on windows of at most
+``sample`` paragraphs of the corpus and on sentences that use licence words otherwise. On held-out
 rows the scores get a temperature (least log loss), and the threshold is set so that at most
 ``false_rate`` of the unknown rows pass it.
 
@@ -79,15 +79,6 @@ def features(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buckets, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(lines)))]), counts
 
 
-def _vectors(lines: list[bytes]) -> list[SparseVector]:
-    buckets, bounds, _ = features(lines)
-    out = []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        at, n = np.unique(buckets[a:b], return_counts=True)
-        out.append(SparseVector(BUCKETS, at.tolist(), (n / np.sqrt(max(1, b - a))).tolist()))
-    return out
-
-
 def _calibrated(model: dict, sums: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Probabilities by row and class from the summed weights of the rows' ``n`` features."""
     logits = (sums / np.sqrt(np.maximum(1, n))[:, None] + model["bias"]) / model["temperature"]
@@ -97,12 +88,12 @@ def _calibrated(model: dict, sums: np.ndarray, n: np.ndarray) -> np.ndarray:
     return logits
 
 
-def _scores(model: dict, lines: list[bytes]) -> np.ndarray:
-    """Calibrated probabilities by line and class."""
+def _sums(weights: np.ndarray, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Summed weights by line and class, and each line's number of features."""
     buckets, bounds, _ = features(lines)
-    sums = np.zeros((len(buckets) + 1, model["weights"].shape[1]))
-    np.cumsum(model["weights"][buckets], axis=0, out=sums[1:])
-    return _calibrated(model, sums[bounds[1:]] - sums[bounds[:-1]], np.diff(bounds))
+    sums = np.zeros((len(buckets) + 1, weights.shape[1]))
+    np.cumsum(weights[buckets], axis=0, out=sums[1:])
+    return sums[bounds[1:]] - sums[bounds[:-1]], np.diff(bounds)
 
 
 def _windows(bounds: np.ndarray):
@@ -135,7 +126,7 @@ def _hits(model: dict, words: np.ndarray, pairs: np.ndarray, lines: np.ndarray,
 def training_rows(negatives: list[str], copies: int = 40, seed: int = 7) -> list[tuple[str, str]]:
     """``(family, paragraph)``: the notices with words lost, added and put around, cut to windows, and the unknown rows."""
     draw, rows = random.Random(seed), []
-    fillers = [w for text in negatives[:500] for w in text.split()[:6]] or ["the"]
+    fillers = [w for text in negatives for w in text.split()] or ["the"]
     taken_for = {family: family for family in NOTICES} | {variety: family for variety, (family, _) in VARIETIES.items()}
     for worded, notices in WORDED.items():
         family = taken_for[worded]
@@ -158,27 +149,53 @@ def training_rows(negatives: list[str], copies: int = 40, seed: int = 7) -> list
     return rows
 
 
+def unknown_rows(docs: DataFrame, text_col: str, sample: int) -> list[str]:
+    """A window of words of at most ``sample`` distinct paragraphs, drawn by hash over the whole corpus.
+
+    The share of the paragraphs that is looked at follows from their number, so that about 1.5 times
+    ``sample`` windows of at most the longest of ``WINDOWS`` reach the driver, however large the corpus is.
+    """
+    text = F.col(text_col)
+    total = docs.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
+    lines = docs.select(F.explode(F.split(text, "\n")).alias("line")).withColumn("h", F.xxhash64("line"))
+    share = int(min(1.0, 1.5 * sample / max(1, total)) * (1 << 40))
+    drawn = lines.where(F.pmod("h", F.lit(1 << 40)) < share).withColumn("words", F.array_remove(F.split("line", r"[\x20\x09-\x0D]+"), "")).where(F.size("words") > 0)
+    size = F.get(F.array(*map(F.lit, WINDOWS)), F.pmod("h", F.lit(len(WINDOWS))).cast("int"))
+    first = F.pmod(F.shiftright("h", 8), F.greatest(F.size("words") - size + 1, F.lit(1))).cast("int") + 1
+    rows = drawn.select("h", F.array_join(F.slice("words", first, size), " ").alias("window")).distinct().collect()
+    return [r["window"] for r in sorted(rows)[:sample]]
+
+
 def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rate: float = 0.001) -> dict:
-    """Weights, bias, temperature, threshold and class names; ``sample`` bounds the corpus rows used."""
+    """Weights, bias, temperature, threshold and class names; ``sample`` bounds the corpus rows used.
+
+    The regression is fitted on the features that two or more training rows have; all others weigh nothing.
+    """
     spark: SparkSession = docs.sparkSession
-    lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line")).where(F.length(F.trim("line")) > 0)
-    negatives = [r["line"][:2000] for r in lines.orderBy(F.xxhash64("line"), "line").limit(sample).collect()]
-    negatives = [n for n in negatives if not confirmed(n)]
     classes = [*NOTICES, UNKNOWN]
-    rows = training_rows(negatives)
+    rows = training_rows([n for n in unknown_rows(docs, text_col, sample) if not confirmed(n)])
     random.Random(1).shuffle(rows)
     cut = len(rows) * 4 // 5
-    vectors = _vectors([t.encode() for _, t in rows])
-    frame = spark.createDataFrame([(float(classes.index(c)), v) for (c, _), v in zip(rows[:cut], vectors[:cut], strict=True)], ["label", "features"]).repartition(4)
+    buckets, bounds, _ = features([t.encode() for _, t in rows[:cut]])
+    each = [np.unique(buckets[a:b], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    seen = np.flatnonzero(np.bincount(np.concatenate([at for at, _ in each]), minlength=BUCKETS) > 1)
+    vectors = []
+    for (at, n), size in zip(each, np.diff(bounds), strict=True):
+        kept = np.isin(at, seen)
+        vectors.append(SparseVector(len(seen), np.searchsorted(seen, at[kept]).tolist(), (n[kept] / np.sqrt(max(1, size))).tolist()))
+    frame = spark.createDataFrame([(float(classes.index(c)), v) for (c, _), v in zip(rows[:cut], vectors, strict=True)], ["label", "features"]).repartition(4)
     fitted = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, standardization=False).fit(frame)
-    model = {"weights": np.ascontiguousarray(fitted.coefficientMatrix.toArray().T), "bias": fitted.interceptVector.toArray(), "temperature": 1.0, "classes": classes}
-    held, truth = [t.encode() for _, t in rows[cut:]], np.array([classes.index(c) for c, _ in rows[cut:]])
+    weights = np.zeros((BUCKETS, len(classes)), dtype=np.float32)
+    weights[seen] = fitted.coefficientMatrix.toArray().T
+    model = {"weights": weights, "bias": fitted.interceptVector.toArray(), "temperature": 1.0, "classes": classes}
+    truth = np.array([classes.index(c) for c, _ in rows[cut:]])
+    sums, n = _sums(weights, [t.encode() for _, t in rows[cut:]])
     losses = {}
     for temperature in np.geomspace(0.25, 4, 17):
-        p = _scores(model | {"temperature": temperature}, held)
+        p = _calibrated(model | {"temperature": temperature}, sums, n)
         losses[temperature] = -np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean()
     model["temperature"] = min(losses, key=losses.get)
-    p = _scores(model, held)
+    p = _calibrated(model, sums, n)
     false = np.sort(p[truth == len(classes) - 1, :-1].max(axis=1))
     model["threshold"] = max(0.5, float(false[min(len(false) - 1, int(len(false) * (1 - false_rate)))])) if len(false) else 0.5
     picked = np.where(p[:, :-1].max(axis=1) >= model["threshold"], p[:, :-1].argmax(axis=1), len(classes) - 1)
@@ -283,7 +300,7 @@ def _found(model: dict, hits: np.ndarray, pairs: np.ndarray, text: tuple[int, in
 
 def scan(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_paragraphs, n_predicted, n_confirmed, families, score, found)`` for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model | {"weights": model["weights"].astype(np.float32)})
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
