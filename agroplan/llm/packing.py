@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import steps, written
+from .common import list_array, steps, written
 from .tokens import encoder
 
 #: Pieces that one group packs at a time.
@@ -66,16 +66,21 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, e
     def run(batches):
         encode = encoder(vocabulary, drops_space)
         for batch in steps(batches):
-            out: list[list] = [[] for _ in schema]
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            for doc, row, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encode.encode(texts), strict=True):
-                tokens = np.append(np.frombuffer(ids, dtype=encode.dtype).astype("<u4"), np.uint32(end_id))
-                for piece, start in enumerate(range(0, len(tokens), capacity)):
-                    part = tokens[start : start + capacity]
-                    values = [doc, row, piece, start, len(part), zlib.crc32(part.tobytes()), part.astype("<i4")]
-                    for column, value in zip(out, values, strict=False):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+            flat, bounds = encode.ids(batch.column(2), end_id)
+            tokens = flat.astype("<u4")
+            sizes = np.diff(bounds)
+            counts = -(-sizes // capacity)
+            owner = np.repeat(np.arange(len(sizes)), counts)
+            piece = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            begin = bounds[owner] + piece * capacity
+            end = np.minimum(begin + capacity, bounds[owner + 1])
+            raw = tokens.tobytes()
+            crc = [zlib.crc32(raw[4 * a : 4 * z]) for a, z in zip(begin.tolist(), end.tolist(), strict=True)]
+            own = [batch.column(i).take(pa.array(owner)) for i in (0, 1)]
+            out = [*own, pa.array(piece, pa.int32()), pa.array(piece * capacity), pa.array(end - begin), pa.array(crc, pa.int64())]
+            if keep_ids:
+                out.append(list_array(tokens.astype("<i4"), np.concatenate([[0], np.cumsum(end - begin)])))
+            yield pa.RecordBatch.from_arrays(out, schema=schema)
 
     kinds = "doc_id long, row long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))

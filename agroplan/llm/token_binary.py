@@ -12,8 +12,9 @@ id), so that the commonest 256 ids take one byte. The rank table is one row per
 (u32, bounded by the vocabulary's size) and stands in a file of its own. Decoding is a numpy table
 lookup: a control byte gives the lengths of its four ids.
 
-Null and empty texts are the end id alone; rows with one id stay apart, in any order; an empty table
-gives no blocks; other columns are not looked at.
+Null and empty texts are the end id alone; rows with one id stay apart, in any order; null ids come
+first and are stored as the least 64-bit integer; an empty table gives no blocks; other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -23,15 +24,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import new_path, shuffle_partitions, steps, written
+from .common import binary_array, new_path, shuffle_partitions, steps, written
 from .files import read_file, write_file
 from .tokens import encoder
 
 MAGIC = b"TIB1"
+#: Stands for a null document id in a block.
+NO_ID = -(1 << 63)
 #: Bytes of ids that one block gathers (a longer document is a block of its own).
 BLOCK_BYTES = 8 << 20
 #: Lengths of the four ids of a control byte.
@@ -79,10 +83,9 @@ def write_token_files(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
 
     def tokenise(batches):
         encode = encoder(vocabulary, drops_space)
-        end = np.array([end_id], dtype=encode.dtype).tobytes()
         for batch in steps(batches):
-            ids = [x + end for x in encode.encode([t or "" for t in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            ids, bounds = encode.ids(batch.column(1), end_id)
+            yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(ids.view(np.uint8), bounds * encode.dtype.itemsize)], ["doc_id", "ids"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     tokens = written(picked.mapInArrow(tokenise, "doc_id long, ids binary"), "ids")
@@ -111,7 +114,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
             values = batch.column(2).to_pylist()
             part = batch.column(0)[0].as_py() if part is None else part
             counts = np.fromiter(map(len, values), dtype=np.int64) // dtype.itemsize
-            data = encode_block(batch.column(1).to_numpy(zero_copy_only=False), counts, shared.value[np.frombuffer(b"".join(values), dtype=dtype)])
+            data = encode_block(pc.fill_null(batch.column(1), NO_ID).to_numpy(zero_copy_only=False), counts, shared.value[np.frombuffer(b"".join(values), dtype=dtype)])
             path = write_file(folder, f"part-{part:06d}-{block:06d}", data)
             yield pa.RecordBatch.from_pylist([{"path": path, "part": part, "block": block, "n_docs": len(values), "n_tokens": int(counts.sum()), "n_bytes": len(data)}])
             block += 1
@@ -136,7 +139,7 @@ def read_token_files(spark: SparkSession, blocks: DataFrame, table: str, keep_id
                     tokens = order[ranks]
                     ends = np.cumsum(counts, dtype=np.int64)
                     parts = [tokens[a:b] for a, b in zip(ends - counts, ends, strict=True)]
-                    columns = [pa.array(doc_ids), pa.array(start + ends - counts), pa.array(counts.astype(np.int64)), pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64())]
+                    columns = [pa.array(doc_ids, mask=doc_ids == NO_ID), pa.array(start + ends - counts), pa.array(counts.astype(np.int64)), pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64())]
                     yield pa.RecordBatch.from_arrays([*columns, *([pa.array([p.astype("<i4") for p in parts], pa.list_(pa.int32()))] if keep_ids else [])], names)
                     start += int(ends[-1])
 

@@ -1,8 +1,9 @@
 """Tokenising whole texts with the ``tokenizers`` library.
 
-The libraries' cost is per word, and words recur. Texts are therefore cut at places where the
-tokenizer's own pre-tokenisation cuts them too, and each distinct piece is encoded once per Python
-worker; the ids of a text are those of its pieces, in order, exactly as when encoded at once.
+The library's cost is per word, and words recur. Texts are therefore cut at places where the tokenizer's
+own pre-tokenisation cuts them too, and each distinct piece is encoded once per Python worker; the ids of
+a text are those of its pieces, in order, exactly as when encoded at once. Cutting, telling pieces apart
+and putting ids together are array operations on a whole batch.
 """
 
 from __future__ import annotations
@@ -11,22 +12,28 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces that one worker remembers; beyond that it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: New pieces that are encoded in one call, set apart by a separator with an id of its own.
 TOGETHER = 20_000
 _WORKERS: dict[tuple[str, bool], Encoder] = {}
-#: White space other than blank and newline; texts with it, or with blanks beside white space, are cut with care.
+#: White space other than blank and newline; texts with it, or with white space beside white space, are cut with care.
 _RARE = [c for c in map(chr, range(0x3001)) if (c.isspace() or c == "\u180e") and c not in " \n"]
-_CUT = re.compile("(?<=[^\\s᠎]) (?=[^\\s᠎])")
+_ODD = "^ | $|  | \n|\n |\n\n|\x00|[" + "".join(map(re.escape, _RARE)) + "]"
+_CUT = re.compile("(?<=[^\\s\u180e]) (?=[^\\s\u180e])")
+#: Begins a piece that no blank goes before.
+_BARE = "\x00"
 
 
 class Encoder:
-    """Encodes texts to id arrays in bytes.
+    """Encodes texts to id arrays.
 
     ``drops_space``: the tokenizer drops white space, so that any blank or newline is a cut. Otherwise
-    a blank belongs to the word behind it, and cuts are before single blanks between other characters.
+    a blank belongs to the word behind it; cuts are before single blanks and around single newlines
+    between other characters.
     """
 
     def __init__(self, path: str, drops_space: bool):
@@ -39,43 +46,75 @@ class Encoder:
         (self.mark,) = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
-        """Pieces of a text; those after the first stand for a blank and what is given."""
-        if self.drops_space:
-            return text.replace("\n", " ").split(" ")
-        if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or any(map(text.__contains__, _RARE)):
-            return _CUT.split(text)
-        return text.split(" ")
-
     def _plain(self, piece: str) -> bool:
         """Whether the piece may stand between separators without touching them."""
-        bare = piece.strip()
-        return piece == bare != "" and self.separator.strip(" ") not in piece and "<|" not in piece
+        return piece == piece.strip() != "" and self.separator.strip(" ") not in piece and "<|" not in piece
 
     def learn(self, new: list[str]) -> None:
-        blank = "" if self.drops_space else " "
-        plain = list(filter(self._plain, new))
-        for at in range(0, len(plain), TOGETHER):
-            part = plain[at : at + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast([blank + (self.separator + blank).join(part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
-            cuts = np.flatnonzero(ids == self.mark) * self.dtype.itemsize
-            flat = ids.tobytes()
-            begins, ends = [0, *(cuts + self.dtype.itemsize).tolist()], [*cuts.tolist(), len(flat)]
-            self.known.update((p, flat[a:b]) for p, a, b in zip(part, begins, ends, strict=True))
-        others = list(set(new) - self.known.keys())
-        self.known.update(zip(others, self.whole([blank + p for p in others]), strict=True))
+        for blank, keys in (("", [k for k in new if self.drops_space or k[:1] == _BARE]), (" ", [k for k in new if not self.drops_space and k[:1] != _BARE])):
+            texts = keys if self.drops_space else [k.removeprefix(_BARE) for k in keys]
+            plain = [(k, t) for k, t in zip(keys, texts, strict=True) if self._plain(t)]
+            for at in range(0, len(plain), TOGETHER):
+                part = plain[at : at + TOGETHER]
+                ids = np.array(self.tokenizer.encode_batch_fast([blank + (self.separator + blank).join(t for _, t in part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+                cuts = np.flatnonzero(ids == self.mark) * self.dtype.itemsize
+                flat = ids.tobytes()
+                begins, ends = [0, *(cuts + self.dtype.itemsize).tolist()], [*cuts.tolist(), len(flat)]
+                self.known.update((k, flat[a:b]) for (k, _), a, b in zip(part, begins, ends, strict=True))
+            others = [(k, blank + t) for k, t in zip(keys, texts, strict=True) if k not in self.known]
+            self.known.update(zip((k for k, _ in others), self.whole([t for _, t in others]), strict=True))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(found.ids, dtype=self.dtype).tobytes() for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text, its ids as an array of ``dtype`` in bytes."""
-        cut = list(map(self.pieces, texts))
-        firsts = [b""] * len(cut) if self.drops_space else self.whole([pieces.pop(0) for pieces in cut])
+    def pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All texts' pieces, and where each text's begin; all but bare ones stand for a blank and what is given."""
+        if self.drops_space:
+            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            return cut.flatten(), cut.offsets.to_numpy().astype(np.int64)
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        bare, none = (pa.scalar(x, texts.type) for x in (_BARE, ""))
+        marked = pc.replace_substring(pc.binary_join_element_wise(bare, texts, none), "\n", f" {_BARE}\n {_BARE}")
+        cut = pc.split_pattern(marked, " ")
+        offsets = cut.offsets.to_numpy().astype(np.int64)
+        if not odd.any():
+            return cut.flatten(), offsets
+        parts, sizes = [], np.diff(offsets)
+        for at, text in zip(np.flatnonzero(odd).tolist(), texts.filter(pa.array(odd)).to_pylist(), strict=True):
+            own = _CUT.split(_BARE + text) if _BARE not in text else [_BARE + text]
+            parts.append((at, pa.array(own, texts.type)))
+        flat, chunks, last = cut.flatten(), [], 0
+        for at, own in parts:
+            chunks += [flat.slice(offsets[last], offsets[at] - offsets[last]), own]
+            sizes[at], last = len(own), at + 1
+        chunks.append(flat.slice(offsets[last], offsets[-1] - offsets[last]))
+        return pa.concat_arrays(chunks), np.concatenate([[0], np.cumsum(sizes)])
+
+    def ids(self, column: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after another, each text's followed by ``end_id``, and their bounds by text; null is empty."""
+        pieces, offsets = self.pieces(pc.fill_null(column.cast(pa.large_string()), ""))
+        coded = pieces.dictionary_encode()
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        self.learn(list(set().union(*cut) - self.known.keys()))
-        return [b"".join([first, *map(self.known.__getitem__, pieces)]) for first, pieces in zip(firsts, cut, strict=True)]
+        keys = coded.dictionary.to_pylist()
+        self.learn([k for k in keys if k not in self.known])
+        coded_ids = list(map(self.known.__getitem__, keys))
+        table = np.frombuffer(b"".join(coded_ids), dtype=self.dtype)
+        sizes = np.fromiter(map(len, coded_ids), dtype=np.int64, count=len(keys)) // self.dtype.itemsize
+        begins = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        per = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(per)])
+        flat = table[np.repeat(begins[at] - ends[:-1], per) + np.arange(ends[-1])]
+        bounds = ends[offsets]
+        if end_id is None:
+            return flat, bounds
+        return np.insert(flat, bounds[1:], np.array(end_id, dtype=self.dtype)), bounds + np.arange(len(bounds))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """For each text, its ids as an array of ``dtype`` in bytes."""
+        flat, bounds = self.ids(pa.array(texts, pa.large_string()))
+        return [flat[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 def encoder(path: str, drops_space: bool) -> Encoder:
