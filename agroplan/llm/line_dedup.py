@@ -9,7 +9,8 @@ smallest id.
 Signatures are MinHash with one permutation: every shingle of the whole line is hashed once, falls into
 one of ``BANDS`` x ``ROWS`` bins, and each bin keeps its least hash. Only hashes that can be minima are
 looked at further: the least ``SAMPLE`` of a line's on average. A line with fewer shingles hashes them
-under more seeds, so that its bins fill as well. Lines that agree in all bins of a band are candidates;
+under more seeds, so that its bins fill as well; one that repeats itself without blanks fills fewer and
+is found less surely. Lines that agree in all bins of a band are candidates;
 pairs that share no band are not found. Of the candidates, those whose bitmaps of the same hashes are
 unlike (``SLACK`` below the threshold) go, and the sets of the others are compared exactly, as 32-bit
 hashes of their shingles. Equal lines always meet: a line is known by 64 bits of one hash and 32 of
@@ -39,16 +40,19 @@ def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.where(F.ltrim("line", F.lit(" \t\x0b\x0c\r")) != "").withColumns({"item": F.xxhash64("line"), "check": F.hash("line")})
 
 
-def _units(lines: DataFrame) -> DataFrame:
+def _units(lines: DataFrame, *others: str) -> DataFrame:
     """``(item, units, n)``: a line's UTF-16 units in two bytes each, and the number of its shingles."""
-    return lines.select("item", F.encode("line", "UTF-16BE").alias("units")).withColumn("n", F.expr(f"greatest(shiftright(length(units), 1) - {CHARS - 1}, 1)"))
+    return lines.select("item", *others, F.encode("line", "UTF-16BE").alias("units")).withColumn("n", F.expr(f"greatest(shiftright(length(units), 1) - {CHARS - 1}, 1)"))
 
 
 def line_signatures(lines: DataFrame) -> DataFrame:
     """``(item, bands, w0 .. w3)`` of the lines of ``(item, line)``, each item once: the bands, and a bitmap of the shingles they come from."""
-    seeded = _units(lines).withColumn("seed", F.explode(F.expr(f"sequence(0, cast({SAMPLE} div n as int))")))
+    # a line that repeats its words has as many times fewer distinct shingles
+    words = lines.withColumn("words", F.split("line", "[ \t]+"))
+    fewer = F.expr("cast(greatest(n * size(array_distinct(words)) / size(words), 1) as int)")
+    seeded = _units(words, "words").withColumn("fewer", fewer).drop("words").withColumn("seed", F.explode(F.expr(f"sequence(0, cast({SAMPLE} div fewer as int))")))
     # of the seed's hashes, those below the limit are looked at: SAMPLE of a line over all its seeds
-    limited = seeded.withColumn("most", F.expr(f"cast(least(1D, {SAMPLE} / n - seed) * {2**31 - 1} as int)"))
+    limited = seeded.withColumn("most", F.expr(f"cast(least(1D, {SAMPLE} / fewer - seed) * {2**31 - 1} as int)"))
     hashed = limited.withColumn("at", F.explode(F.expr("sequence(1, 2 * n - 1, 2)"))).selectExpr("item", "most", f"hash(substring(units, at, {2 * CHARS}), seed) & {2**31 - 1} as h").where("h < most")
     row = f"h div {BANDS} % {ROWS}"
     least = [F.min(F.expr(f"if({row} = {i}, h, null)")).alias(f"m{i}") for i in range(ROWS)]
