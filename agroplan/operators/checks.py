@@ -129,5 +129,10 @@ def check_nonempty(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def output_contract(outputs: dict[str, DataFrame]) -> DataFrame:
+    """``(output, filled)``: whether each of the listed outputs has a row."""
+    return reduce(DataFrame.unionByName, (df.limit(1).agg(F.lit(name).alias("output"), (F.count(F.lit(1)) > 0).alias("filled")) for name, df in outputs.items()))
+
+
 def all_checks(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

@@ -104,3 +104,14 @@ def sorted_output(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def top_k(df: DataFrame, order: list[Column | str], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
+
+
+def first_rows(df: DataFrame, order: list[Column | str], n: int) -> DataFrame:
+    """The first n rows in an order, for a diagnostic."""
+    return df.orderBy(*order).limit(n)
+
+
+def sample_rows(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """About ``share`` of the keys, the same in every run and on every partitioning; all rows of a key or none."""
+    digest = F.substring(F.md5(F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))), 1, 8)
+    return df if share >= 1 else df.where(digest < f"{-int(-share * 2**32 // 1):08x}")

@@ -67,3 +67,9 @@ def residual_dataset(pred: DataFrame, real: DataFrame, on: list[str], p: str, y:
     joined = pred.where(F.col(day) <= F.lit(asof).cast("date")).join(real.select(*on, F.col(y).alias("__y")), on, "left")
     target = clip(encode_corr("__y", p, mode), *bound)
     return joined.withColumns({"target": target, "in_real": F.col("__y").isNotNull()}).withColumnRenamed("__y", y)
+
+
+def expand_horizon(df: DataFrame, plan: DataFrame, keys: list[str], day: str, start: str, n: str) -> DataFrame:
+    """Rows for every day 1..n of each planned group: those there are, and the absent ones with null values; with ``day_index``."""
+    grid = explode_n_days(plan.select(*keys, start, n), start, n).select(*keys, F.col("day").alias(day), "day_index")
+    return grid.join(df, [*keys, day], "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline
@@ -87,9 +88,30 @@ def select_model(df: DataFrame, num: list[str], cat: list[str], label: str, opti
     return fitted, best, scores
 
 
-def train_per_level(df: DataFrame, level: str, num: list[str], cat: list[str], label: str, seed: int = 1):
-    """One model for all levels, with the level as a feature (each level's own model without a loop over fits)."""
-    return feature_pipeline(num, [*cat, level], GBTRegressor(labelCol=label, maxIter=20, maxDepth=4, seed=seed)).fit(df.where(F.col(label).isNotNull()))
+def train_per_level(df: DataFrame, level: str, num: list[str], cat: list[str], label: str, levels: list, constant: float, min_n: int = 20, seed: int = 1) -> Callable[[DataFrame], DataFrame]:
+    """One model for each of a given list of levels; levels with fewer than ``min_n`` labelled rows, and all others, get the constant.
+
+    The returned function scores: ``prediction`` and its source (``MODEL`` or ``CONSTANT``). The list is
+    the domain's (its grades), so that the number of fits does not grow with the data.
+    """
+    rows = df.where(F.col(label).isNotNull() & F.col(level).isin(levels))
+    seen = {r[0]: r[1] for r in rows.groupBy(level).count().collect()}
+    models = {v: feature_pipeline(num, cat, GBTRegressor(labelCol=label, maxIter=15, maxDepth=3, seed=seed)).fit(rows.where(F.col(level) == v)) for v in levels if seen.get(v, 0) >= min_n}
+
+    def score(new: DataFrame) -> DataFrame:
+        parts = [m.transform(new.where(F.col(level) == v)).select(*new.columns, "prediction", F.lit("MODEL").alias("prediction_source")) for v, m in models.items()]
+        rest = new.where(F.col(level).isNull() | ~F.col(level).isin(list(models))) if models else new
+        parts.append(rest.select("*", F.lit(float(constant)).alias("prediction"), F.lit("CONSTANT").alias("prediction_source")))
+        return reduce(DataFrame.unionByName, parts)
+
+    return score
+
+
+def segment_fallback(df: DataFrame, history: DataFrame, segment: list[str], pred: str, y: str, constant: float, out: str = "value") -> DataFrame:
+    """The prediction, else the segment's median of the history, else a constant; with the source's name."""
+    found = df.join(history.groupBy(*segment).agg(F.median(y).alias("__m")), segment, "left")
+    source = F.when(F.col(pred).isNotNull(), "MODEL").when(F.col("__m").isNotNull(), "SEGMENT").otherwise("CONSTANT")
+    return found.withColumns({out: F.coalesce(pred, "__m", F.lit(float(constant))), f"{out}_source": source}).drop("__m")
 
 
 def training_weight(total: str) -> Column:

@@ -73,17 +73,15 @@ def jn11(spark, sf):
     return joins.overlap_hours(e, "a", "z").select("event_id", "hour", r6("overlap_h"))
 
 
-@query("jn12_lookup_cascade", "WITH " + LINES + """, a AS (SELECT destino, grado, avg(tallos) AS v FROM l WHERE parte % 7 = 0 GROUP BY 1, 2 HAVING count(*) >= 30),
-b AS (SELECT grado, avg(tallos) AS v FROM l WHERE parte % 7 = 0 GROUP BY 1 HAVING count(*) >= 100), g AS (SELECT avg(tallos) AS v FROM l WHERE parte % 7 = 0)
-SELECT pedido, l.grado::BIGINT AS grado, round(coalesce(a.v, b.v, g.v), 6) AS v, CASE WHEN a.v IS NOT NULL THEN 1 WHEN b.v IS NOT NULL THEN 2 ELSE 3 END::BIGINT AS v_level
-FROM l LEFT JOIN a ON l.destino = a.destino AND l.grado = a.grado LEFT JOIN b ON l.grado = b.grado CROSS JOIN g""")
+@query("jn12_lookup_cascade", "WITH " + LINES + """, a AS (SELECT parte, destino, avg(tallos) AS v FROM l GROUP BY 1, 2 HAVING count(*) >= 12),
+b AS (SELECT parte, avg(tallos) AS v FROM l GROUP BY 1 HAVING count(*) >= 30), g AS (SELECT avg(tallos) AS v FROM l)
+SELECT pedido, l.grado::BIGINT AS grado, l.parte, round(coalesce(a.v, b.v, g.v), 6) AS v, CASE WHEN a.v IS NOT NULL THEN 1 WHEN b.v IS NOT NULL THEN 2 ELSE 3 END::BIGINT AS v_level
+FROM l LEFT JOIN a ON l.parte = a.parte AND l.destino = a.destino LEFT JOIN b ON l.parte = b.parte CROSS JOIN g""")
 def jn12(spark, sf):
     l = lines(spark, sf)  # noqa: E741
-    seen = l.where("parte % 7 = 0")
-    a = seen.groupBy("destino", "grado").agg(F.avg("tallos").alias("v"), F.count(F.lit(1)).alias("n")).where("n >= 30")
-    b = seen.groupBy("grado").agg(F.avg("tallos").alias("v"), F.count(F.lit(1)).alias("n")).where("n >= 100")
-    out = joins.lookup_cascade(l, [(a, ["destino", "grado"], "v"), (b, ["grado"], "v"), (seen.agg(F.avg("tallos").alias("v")), [], "v")], "v", 0.0)
-    return out.select("pedido", long("grado"), r6("v"), long("v_level"))
+    mean = lambda n, *keys: l.groupBy(*keys).agg(F.avg("tallos").alias("v"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= n)
+    out = joins.lookup_cascade(l, [(mean(12, "parte", "destino"), ["parte", "destino"], "v"), (mean(30, "parte"), ["parte"], "v"), (l.agg(F.avg("tallos").alias("v")), [], "v")], "v", 0.0)
+    return out.select("pedido", long("grado"), "parte", r6("v"), long("v_level"))
 
 
 @query("jn15_attach_mode", "WITH n AS (SELECT l_suppkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2) SELECT s_suppkey, arg_max(l_linenumber, (n, -l_linenumber))::BIGINT AS modal FROM supplier LEFT JOIN n ON s_suppkey = l_suppkey GROUP BY 1")

@@ -44,10 +44,11 @@ def sc9(spark, sf):
 
 @query("sh3_unpivot_dates", """
 SELECT o_orderpriority AS id, make_date(year(o_orderdate)::INT, month(o_orderdate)::INT, 1) AS day, round(sum(o_totalprice), 2) AS value
-FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1995-07-01' GROUP BY 1, 2""")
+FROM orders GROUP BY 1, 2""")
 def sh3(spark, sf):
-    months = [f"1995-{m:02d}-01" for m in range(1, 7)]
-    o = table(spark, sf, "orders").where("o_orderdate >= '1995-01-01' and o_orderdate < '1995-07-01'").withColumn("m", F.date_format("o_orderdate", "yyyy-MM-'01'"))
+    o = table(spark, sf, "orders").withColumn("m", F.date_format("o_orderdate", "yyyy-MM-'01'"))
+    a, z = o.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    months = [f"{k // 12}-{k % 12 + 1:02d}-01" for k in range(a.year * 12 + a.month - 1, z.year * 12 + z.month)]  # one column per month of the table
     wide = o.groupBy(F.col("o_orderpriority").alias("id")).pivot("m", months).agg(F.sum("o_totalprice").cast("decimal(20,2)").cast("string"))
     return sheets.unpivot_dates(wide, ["id"]).where("value is not null").select("id", "day", F.round("value", 2).alias("value"))
 

@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import q_joins, q_scalar, q_sequences  # noqa: F401
+    from . import q_alloc, q_joins, q_models, q_scalar, q_sequences, q_tables  # noqa: F401
 
 
 def queries() -> dict:
