@@ -26,6 +26,10 @@ _ODD = "^ | $|  | \n|\n |\n\n|\x00|[" + "".join(map(re.escape, _RARE)) + "]"
 _CUT = re.compile("(?<=[^\\s\u180e]) (?=[^\\s\u180e])")
 #: Begins a piece that no blank goes before.
 _BARE = "\x00"
+#: Finds pieces that may not stand between separators: white space, a separator, or the marks of a special token.
+_APART = re.compile(r"[\s\x1c-\x1f\u180e]|<\|").search
+#: A full stop or comma between a letter or digit and a blank is a pre-token of its own.
+_STOP = "([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,]) "
 
 
 class Encoder:
@@ -44,25 +48,27 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.separator = " \x1f " if drops_space else "\n"
         (self.mark,) = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
+        self.lowers = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
-    def _plain(self, piece: str) -> bool:
-        """Whether the piece may stand between separators without touching them."""
-        return piece == piece.strip() != "" and self.separator.strip(" ") not in piece and "<|" not in piece
-
     def learn(self, new: list[str]) -> None:
-        for blank, keys in (("", [k for k in new if self.drops_space or k[:1] == _BARE]), (" ", [k for k in new if not self.drops_space and k[:1] != _BARE])):
-            texts = keys if self.drops_space else [k.removeprefix(_BARE) for k in keys]
-            plain = [(k, t) for k, t in zip(keys, texts, strict=True) if self._plain(t)]
+        if self.drops_space:
+            groups = [("", new, new)]
+        else:
+            bare, others = [k for k in new if k[:1] == _BARE], [k for k in new if k[:1] != _BARE]
+            groups = [("", bare, [k[1:] for k in bare]), (" ", others, others)]
+        for blank, keys, texts in groups:
+            plain = [i for i, t in enumerate(texts) if t and not _APART(t)]
             for at in range(0, len(plain), TOGETHER):
                 part = plain[at : at + TOGETHER]
-                ids = np.array(self.tokenizer.encode_batch_fast([blank + (self.separator + blank).join(t for _, t in part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+                ids = np.array(self.tokenizer.encode_batch_fast([blank + (self.separator + blank).join([texts[i] for i in part])], add_special_tokens=False)[0].ids, dtype=self.dtype)
                 cuts = np.flatnonzero(ids == self.mark) * self.dtype.itemsize
                 flat = ids.tobytes()
                 begins, ends = [0, *(cuts + self.dtype.itemsize).tolist()], [*cuts.tolist(), len(flat)]
-                self.known.update((k, flat[a:b]) for (k, _), a, b in zip(part, begins, ends, strict=True))
-            others = [(k, blank + t) for k, t in zip(keys, texts, strict=True) if k not in self.known]
-            self.known.update(zip((k for k, _ in others), self.whole([t for _, t in others]), strict=True))
+                self.known.update(zip([keys[i] for i in part], [flat[a:b] for a, b in zip(begins, ends, strict=True)], strict=True))
+            if len(plain) < len(keys):
+                rest = [i for i, k in enumerate(keys) if k not in self.known]
+                self.known.update(zip([keys[i] for i in rest], self.whole([blank + texts[i] for i in rest]), strict=True))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(found.ids, dtype=self.dtype).tobytes() for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -70,12 +76,13 @@ class Encoder:
     def pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All texts' pieces, and where each text's begin; all but bare ones stand for a blank and what is given."""
         if self.drops_space:
-            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            flat = pc.replace_substring(texts, "\n", " ")  # (a fresh array: ascii_lower misreads slices)
+            cut = pc.split_pattern(pc.replace_substring_regex(pc.ascii_lower(flat) if self.lowers else flat, _STOP, "\\1 \\2 "), " ")
             return cut.flatten(), cut.offsets.to_numpy().astype(np.int64)
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         bare, none = (pa.scalar(x, texts.type) for x in (_BARE, ""))
         marked = pc.replace_substring(pc.binary_join_element_wise(bare, texts, none), "\n", f" {_BARE}\n {_BARE}")
-        cut = pc.split_pattern(marked, " ")
+        cut = pc.split_pattern(pc.replace_substring_regex(marked, _STOP, f"\\1 {_BARE}\\2 "), " ")
         offsets = cut.offsets.to_numpy().astype(np.int64)
         if not odd.any():
             return cut.flatten(), offsets
