@@ -4,8 +4,8 @@ Writing: each page becomes one gzip member of an archive. Of the pages with equa
 with the largest id is a ``response``, the others are ``revisit`` records that name it. Reading: each
 archive gives a run of captures, sorted by URL key (host labels reversed, then path and query),
 timestamp and id; runs are cut into blocks. Merging: the key space is cut into ranges of about equal
-size, each range gets the blocks that overlap it, and a loser tree merges the runs of a range, block
-by block. The result's rank is a capture's place in the whole order.
+size, the runs are cut at the ranges' bounds, and loser trees merge the runs of a range, block by block
+and at most ``FAN_IN`` at a time. The result's rank is a capture's place in the whole order.
 
 Null html is an empty payload, a null url an empty key; equal rows are records of their own, and of
 rows with the largest id all are responses; a null id is a record that never is referred to; other
@@ -33,7 +33,11 @@ from .files import read_file, write_file
 
 #: Bytes after which a task begins a new archive, and captures in a block of a run.
 ARCHIVE_BYTES, BLOCK = 16 << 20, 2048
+#: Runs that one loser tree merges.
+FAN_IN = 128
 _START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+#: Negative ids are counted down from here in record ids.
+_IDS = 1 << 64
 
 
 def digest_text(payload: bytes) -> str:
@@ -51,12 +55,12 @@ def url_key(url: str | None) -> str:
 
 def record_bytes(page: int | None, url: str | None, when: str, payload: bytes, refers_to: int | None) -> bytes:
     """One WARC record as a gzip member."""
-    head = {"WARC-Type": "response" if refers_to is None else "revisit", "WARC-Record-ID": f"<urn:uuid:{uuid.UUID(int=page or 0)}>" if page is not None else f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": when}
+    head = {"WARC-Type": "response" if refers_to is None else "revisit", "WARC-Record-ID": f"<urn:uuid:{uuid.UUID(int=page % _IDS)}>" if page is not None else f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": when}
     if url is not None:
         head["WARC-Target-URI"] = re.sub(r"[\x00-\x20\x7f]", lambda c: f"%{ord(c[0]):02X}", url)
     head["WARC-Payload-Digest"] = "sha1:" + digest_text(payload)
     if refers_to is not None:
-        head |= {"WARC-Refers-To": f"<urn:uuid:{uuid.UUID(int=refers_to)}>", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
+        head |= {"WARC-Refers-To": f"<urn:uuid:{uuid.UUID(int=refers_to % _IDS)}>", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
     head |= {"X-Page-ID": "" if page is None else str(page), "X-Payload-Length": str(len(payload)), "Content-Type": "text/html; charset=utf-8"}
     body = payload if refers_to is None else b""
     head["Content-Length"] = str(len(body))
@@ -127,7 +131,7 @@ def capture_runs(archives: DataFrame) -> DataFrame:
                     page = int(head["X-Page-ID"]) if head["X-Page-ID"] else None
                     size = len(body) if kind == "response" else int(head["X-Payload-Length"])
                     when = re.sub(r"\D", "", head["WARC-Date"])
-                    rows.append((url_key(head.get("WARC-Target-URI")), when, page if page is not None else -1, offset, length, kind, digest, size, uuid.UUID(refers[10:-1]).int if refers else None, page))
+                    rows.append((url_key(head.get("WARC-Target-URI")), when, page if page is not None else -1, offset, length, kind, digest, size, signed(uuid.UUID(refers[10:-1]).int) if refers else None, page))
                 rows.sort(key=lambda r: r[:4])
                 for n, at in enumerate(range(0, len(rows), BLOCK)):
                     part = rows[at : at + BLOCK]
@@ -137,9 +141,14 @@ def capture_runs(archives: DataFrame) -> DataFrame:
     return written(dealt.mapInArrow(run, "run string, block long, first_key string, last_key string, captures binary"), "runs")
 
 
+def signed(number: int) -> int:
+    """A record id's number as the 64-bit id that it stands for."""
+    return number - _IDS if number >= _IDS // 2 else number
+
+
 def sort_key(capture) -> str:
     """URL key, timestamp and id as one string that sorts like them."""
-    return f"{capture[0]}\x00{capture[1]}\x00{capture[2] + (1 << 62):020d}\x00{capture[3]:020d}"
+    return f"{capture[0]}\x00{capture[1]}\x00{capture[2] + (1 << 63):020d}\x00{capture[3]:020d}"
 
 
 class LoserTree:
@@ -175,30 +184,56 @@ class LoserTree:
             self._replay(top)
 
 
+def merge_streams(streams: list):
+    """Merges sorted iterators in passes of at most ``FAN_IN`` at a time."""
+    while len(streams) > FAN_IN:
+        streams = [iter(list(LoserTree(streams[at : at + FAN_IN]))) for at in range(0, len(streams), FAN_IN)]
+    return LoserTree(streams)
+
+
+def range_bounds(runs: DataFrame) -> list[str]:
+    """The first keys of ranges of about equal size, from the blocks' first keys; at most one per shuffle partition."""
+    ends = runs.select("first_key").repartitionByRange(shuffle_partitions(runs.sparkSession), "first_key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("first_key").alias("k"))
+    return sorted(r["k"] for r in ends.collect())[1:]
+
+
+def cut_runs(runs: DataFrame, bounds: list[str]) -> DataFrame:
+    """``(range, run, block, captures)``: the runs' blocks cut at the bounds, so that each capture is shipped once."""
+
+    def run(batches):
+        for batch in batches:
+            for name, block, data in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("run", "block", "captures")), strict=True):
+                captures = json.loads(zlib.decompress(data))
+                keys = [sort_key(c) for c in captures]
+                at, rows = 0, []
+                while at < len(keys):
+                    number = bisect.bisect_right(bounds, keys[at])
+                    end = bisect.bisect_left(keys, bounds[number], at) if number < len(bounds) else len(keys)
+                    rows.append({"range": number, "run": name, "block": block, "captures": zlib.compress(json.dumps(captures[at:end]).encode(), 1)})
+                    at = end
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    schema = pa.schema([("range", pa.int32()), ("run", pa.string()), ("block", pa.int64()), ("captures", pa.binary())])
+    return runs.select("run", "block", "captures").mapInArrow(run, "range int, run string, block long, captures binary")
+
+
 def merge_runs(runs: DataFrame) -> DataFrame:
     """The capture index in its global order: one row per capture, with ``rank`` from 0."""
-    spark = runs.sparkSession
-    n = shuffle_partitions(spark)
-    ends = runs.select("first_key").repartitionByRange(n, "first_key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("first_key").alias("k"))
-    bounds = sorted(r["k"] for r in ends.collect())  # at most one per shuffle partition
-    edges = spark.createDataFrame([(i, lo, hi) for i, (lo, hi) in enumerate(zip(["", *bounds[1:]], [*bounds[1:], None], strict=True))] if bounds else [], "range int, lo string, hi string")
-    placed = runs.join(F.broadcast(edges), (F.col("last_key") >= F.col("lo")) & (F.col("hi").isNull() | (F.col("first_key") < F.col("hi"))))
+    placed = cut_runs(runs, range_bounds(runs))
 
     def merge(table: pa.Table) -> pa.Table:
-        lo, hi, number = table.column("lo")[0].as_py(), table.column("hi")[0].as_py(), table.column("range")[0].as_py()
+        number = table.column("range")[0].as_py()
         by_run: dict[str, list] = {}
         for run, block, data in zip(*(table.column(c).to_pylist() for c in ("run", "block", "captures")), strict=True):
             by_run.setdefault(run, []).append((block, data))
 
         def stream(run: str, blocks: list):
             for _, data in sorted(blocks):
-                captures = json.loads(zlib.decompress(data))
-                keys = [sort_key(c) for c in captures]
-                for i in range(bisect.bisect_left(keys, lo), len(keys) if hi is None else bisect.bisect_left(keys, hi)):
-                    yield keys[i], run, captures[i]
+                for capture in json.loads(zlib.decompress(data)):
+                    yield sort_key(capture), run, capture
 
         rows = []
-        for place, (_, run, c) in enumerate(LoserTree(stream(r, b) for r, b in sorted(by_run.items()))):
+        for place, (_, run, c) in enumerate(merge_streams([stream(r, b) for r, b in sorted(by_run.items())])):
             rows.append({"range": number, "place": place, "url_key": c[0], "timestamp": c[1], "page_id": c[9], "payload_bytes": c[7], "payload_digest": c[6], "record_type": c[5], "refers_to": c[8], "archive": run, "offset": c[3], "length": c[4]})
         return pa.Table.from_pylist(rows, schema)
 
