@@ -5,9 +5,10 @@ tokens are the runs of letters and digits that any fitting url holds whole; the
 under the one that the fewest urls hold. A url's tokens fetch the rules indexed under them, and only
 those rules' regular expressions run. A rule without a whole token is fetched by every url.
 
-The rule list is the operator's parameter: it is broadcast, and ``MAX_RULES`` bounds it. Urls are
-judged once however often they occur. Null urls and urls without ``://`` have an empty host and path
-and are allowed; of equally long rules the first by its text wins; other columns pass through.
+The rule list is the operator's parameter: up to ``MAX_RULES`` it is broadcast, a longer one is shuffled.
+Urls are judged once however often they occur. Null urls and urls without ``://`` have an empty host and
+path and are allowed; of equally long rules a blocking one wins; an empty table gives an empty one; other
+columns pass through, and columns with the names of results are replaced.
 """
 
 from __future__ import annotations
@@ -56,23 +57,24 @@ def with_place(pages: DataFrame, url_col: str = "url") -> DataFrame:
 def judge_urls(pages: DataFrame, url_col: str = "url", site_rules=tuple(SITE_RULES), word_rules=tuple(WORD_RULES)) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (of a site, else null), ``word_rule`` and ``verdict``."""
     rules = compiled(site_rules, word_rules)
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: judge with parts of the list")
+    small = F.broadcast if len(rules) <= MAX_RULES else lambda part: part  # a longer list is joined by shuffling
     spark = pages.sparkSession
     table = spark.createDataFrame([(i, *r) for i, r in enumerate(rules)], "id int, rule string, verdict string, size int, regex string, tokens array<string>")
     urls = with_place(pages.select(F.col(url_col).alias("__url")).where(F.col("__url").isNotNull()).distinct(), "__url")
     tokens = F.array_distinct(F.array_append(F.regexp_extract_all(F.lower(F.concat("host", F.lit(" "), "path")), F.lit("[a-z0-9]+"), F.lit(0)), F.lit("")))
     held = urls.select("__url", F.concat("host", "path").alias("target"), F.explode(tokens).alias("token"))
     rule_tokens = table.select("id", F.explode_outer("tokens").alias("token")).fillna("", ["token"])
-    counts = held.join(F.broadcast(rule_tokens.select("token").distinct()), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counts = held.join(small(rule_tokens.select("token").distinct()), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rarest = rule_tokens.join(counts, "token", "left").groupBy("id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("least"))
     index = table.drop("tokens").join(rarest, "id").withColumn("token", F.col("least.token")).drop("least", "id")
-    fits = held.join(F.broadcast(index), "token").where(F.expr("target rlike regex"))
+    fits = held.join(small(index), "token").where(F.expr("target rlike regex"))
     site = F.when(F.col("size") >= 0, F.struct(F.col("size"), F.col("rule"), F.col("verdict")))
     best = fits.groupBy("__url").agg(F.max_by(site, F.struct("size", F.when(F.col("verdict") == "block", 1).otherwise(0))).alias("site"), F.min(F.when(F.col("size") < 0, F.col("rule"))).alias("word_rule"))
-    judged = with_place(pages, url_col).join(best, F.col(url_col) == F.col("__url"), "left")
+    rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("row"), F.col(url_col).alias("url"))
+    judged = with_place(rows.join(best, F.col("url") == F.col("__url"), "left"), "url")
     verdict = F.coalesce("site.verdict", F.when(F.col("word_rule").isNotNull(), "block").otherwise("allow"))
-    return judged.withColumns({"rule": F.col("site.rule"), "verdict": verdict}).drop("site", "__url")
+    found = {"host": F.col("host"), "path": F.col("path"), "rule": F.col("site.rule"), "word_rule": F.col("word_rule"), "verdict": verdict}
+    return judged.select(*(F.col(f"row.`{c}`").alias(c) for c in pages.columns if c not in found), *(v.alias(k) for k, v in found.items()))
 
 
 URL_SQL = r"""
