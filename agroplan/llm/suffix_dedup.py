@@ -14,7 +14,8 @@ settled. Round 2 doubles: in what is left (borders of repeats), every position's
 and reranked, and it is settled against the smaller documents.
 
 Null and empty texts have no bytes; matches do not cross documents; rows with the same id do not
-match each other; other columns are not looked at.
+match each other, and each is cut by its own text; a null id matches nothing; an empty table gives an
+empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -76,24 +77,24 @@ class Segments:
         return mix(self.rank[start] * np.uint64(0xD1342543DE82EF95) + self.rank[start + self.length - self.k])
 
 
-def _deal(part: np.ndarray, owner: np.ndarray, ids: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """One row per part: the owners' ids, how many entries each has, and the entries."""
+def _deal(part: np.ndarray, owner: np.ndarray, owners: dict[str, np.ndarray], columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """One row per part: the owners (ids, rows), how many entries each has, and the entries."""
     order = np.argsort(part, kind="stable")
     part, owner = part[order], owner[order]
     runs = np.flatnonzero(np.concatenate([[True], (np.diff(part) != 0) | (np.diff(owner) != 0)]))
     counts = np.diff(np.concatenate([runs, [len(part)]]))
     cuts = np.concatenate([np.flatnonzero(np.concatenate([[True], np.diff(part) != 0])), [len(part)]])
     run_cuts = np.searchsorted(runs, cuts)
-    out = [pa.array(part[cuts[:-1]].astype(np.int32)), list_array(ids[owner[runs]], run_cuts), list_array(counts.astype(np.int32), run_cuts)]
+    out = [pa.array(part[cuts[:-1]].astype(np.int32)), *(list_array(o[owner[runs]], run_cuts) for o in owners.values()), list_array(counts.astype(np.int32), run_cuts)]
     for values in columns.values():
         out.append(binary_array(values[order].view(np.uint8).reshape(-1, 8)[:, :6].reshape(-1), cuts * 6) if values.dtype == np.uint64 else list_array(values[order], cuts))
-    return pa.RecordBatch.from_arrays(out, ["part", "ids", "counts", *columns])
+    return pa.RecordBatch.from_arrays(out, ["part", *owners, "counts", *columns])
 
 
-def _dealt(table: pa.Table, *names: str) -> list[np.ndarray]:
+def _dealt(table: pa.Table, owners: tuple[str, ...], *names: str) -> list[np.ndarray]:
     """What :func:`_deal` sent: the owner of each entry, and the entries by column."""
-    ids, counts = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("ids", "counts"))
-    out = [np.repeat(ids, counts)]
+    *own, counts = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in (*owners, "counts"))
+    out = [np.repeat(o, counts) for o in own]
     for name in names:
         column = table.column(name)
         if pa.types.is_binary(column.type):
@@ -105,11 +106,13 @@ def _dealt(table: pa.Table, *names: str) -> list[np.ndarray]:
     return out
 
 
-def _per_id(ids: np.ndarray, *columns: np.ndarray) -> tuple[pa.Array, list[pa.ListArray]]:
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(ids) != 0])) if len(ids) else np.empty(0, np.int64)
-    return pa.array(ids[starts]), [list_array(c[order], np.concatenate([starts, [len(ids)]])) for c in columns]
+def _per_owner(owners: list[np.ndarray], *columns: np.ndarray) -> tuple[list[pa.Array], list[pa.ListArray]]:
+    order = np.lexsort(owners[::-1])
+    owners = [o[order] for o in owners]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.any([np.diff(o) != 0 for o in owners], axis=0)
+    starts = np.flatnonzero(new)
+    return [pa.array(o[starts].astype(np.int64)) for o in owners], [list_array(c[order], np.concatenate([starts, [len(order)]])) for c in columns]
 
 
 def _first_of(*keys: np.ndarray, by: np.ndarray) -> np.ndarray:
@@ -133,10 +136,10 @@ def repeated_segments(docs: DataFrame, length: int, partitions: int) -> DataFram
             seg = Segments(as_bytes(batch.column(1)), length)
             if len(seg.hash):
                 owner = np.repeat(np.arange(len(ids)), np.diff(seg.bounds))
-                yield _deal((seg.anchor_rank % np.uint64(partitions)).astype(np.uint16), owner, ids, {"ranks": seg.anchor_rank, "hashes": seg.hash})
+                yield _deal((seg.anchor_rank % np.uint64(partitions)).astype(np.int32), owner, {"ids": ids}, {"ranks": seg.anchor_rank, "hashes": seg.hash})
 
     def rerank(table: pa.Table) -> pa.Table:
-        ids, ranks, hashes = _dealt(table, "ranks", "hashes")
+        ids, ranks, hashes = _dealt(table, ("ids",), "ranks", "hashes")
         order = np.argsort(ranks, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], np.diff(ranks[order]) != 0]))
         sizes = np.diff(np.concatenate([starts, [len(ranks)]]))
@@ -151,8 +154,8 @@ def repeated_segments(docs: DataFrame, length: int, partitions: int) -> DataFram
         out_ids = np.concatenate([ids[covered], ids[asked]])
         values = np.concatenate([hashes[covered], hashes[asked]]).view(np.int64)
         kind = np.concatenate([np.zeros(int(covered.sum()), np.int8), np.ones(int(asked.sum()), np.int8)])
-        key, (value, flag) = _per_id(out_ids, values, kind)
-        return pa.table({"doc_id": key.cast(pa.int64()), "hashes": value, "asked": flag})
+        (key,), (value, flag) = _per_owner([out_ids], values, kind)
+        return pa.table({"doc_id": key, "hashes": value, "asked": flag})
 
     found = docs.mapInArrow(deal, "part int, ids array<long>, counts array<int>, ranks binary, hashes binary").groupBy("part").applyInArrow(rerank, "doc_id long, hashes array<long>, asked array<byte>")
     pick = lambda want: F.array_distinct(F.flatten(F.collect_list(F.transform(F.filter(F.arrays_zip("hashes", "asked"), lambda x: x["asked"] == want), lambda x: x["hashes"]))))
@@ -160,14 +163,14 @@ def repeated_segments(docs: DataFrame, length: int, partitions: int) -> DataFram
 
 
 def doubled_matches(docs: DataFrame, asked: DataFrame, length: int, partitions: int) -> DataFrame:
-    """Round 2. ``(doc_id, starts)``: starts, in the asked segments, of strings that a smaller document has."""
+    """Round 2. ``(doc_id, row, starts)``: starts, in the asked segments, of strings that a smaller document has."""
     entries = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("asked")), F.lit(0))).first()
     small = entries[0] <= SMALL_ROWS and entries[1] <= SMALL_ENTRIES
-    joined = docs.join(F.broadcast(asked) if small else asked, "doc_id").select("doc_id", "text", "asked")
+    joined = docs.join(F.broadcast(asked) if small else asked, "doc_id").select("doc_id", "text", "asked", "row")
 
     def deal(batches):
         for batch in steps(batches):
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, rows = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 3))
             seg = Segments(as_bytes(batch.column(1)), length)
             wanted = [np.isin(seg.hash[a:b], np.array(w, dtype=np.int64).view(np.uint64)) for a, b, w in zip(seg.bounds[:-1], seg.bounds[1:], batch.column(2).to_pylist(), strict=True)]
             chosen = np.flatnonzero(np.concatenate(wanted)) if wanted else []
@@ -177,16 +180,16 @@ def doubled_matches(docs: DataFrame, asked: DataFrame, length: int, partitions:
             start = np.repeat(seg.first[chosen] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             owner = np.repeat(np.searchsorted(seg.bounds, chosen, side="right") - 1, sizes)
             pair = seg.pair(start)
-            yield _deal((pair % np.uint64(partitions)).astype(np.uint16), owner, ids, {"pairs": pair >> np.uint64(16), "starts": (start - seg.begins[owner]).astype(np.int64)})
+            yield _deal((pair % np.uint64(partitions)).astype(np.int32), owner, {"ids": ids, "rows": rows}, {"pairs": pair >> np.uint64(16), "starts": (start - seg.begins[owner]).astype(np.int64)})
 
     def rerank(table: pa.Table) -> pa.Table:
-        ids, pairs, starts = _dealt(table, "pairs", "starts")
+        ids, rows, pairs, starts = _dealt(table, ("ids", "rows"), "pairs", "starts")
         covered = _first_of(pairs, by=ids) < ids
-        key, (value,) = _per_id(ids[covered], starts[covered])
-        return pa.table({"doc_id": key.cast(pa.int64()), "starts": value})
+        (key, row), (value,) = _per_owner([ids[covered], rows[covered]], starts[covered])
+        return pa.table({"doc_id": key, "row": row, "starts": value})
 
-    found = joined.mapInArrow(deal, "part int, ids array<long>, counts array<int>, pairs binary, starts array<long>").groupBy("part").applyInArrow(rerank, "doc_id long, starts array<long>")
-    return found.groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    found = joined.mapInArrow(deal, "part int, ids array<long>, rows array<long>, counts array<int>, pairs binary, starts array<long>").groupBy("part").applyInArrow(rerank, "doc_id long, row long, starts array<long>")
+    return found.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -195,17 +198,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``spans`` holds the removed byte ranges [from, to) and ``kept`` the bytes that are left.
     """
     spark = docs.sparkSession
-    partitions = min(2 * shuffle_partitions(spark), 60_000)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    partitions = 2 * shuffle_partitions(spark)
+    # rows that share an id are told apart by their texts
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("row"))
     known = docs.where("doc_id is not null")
     round1 = written(repeated_segments(known, length, partitions), "segments")
     round2 = doubled_matches(known, round1.where(F.size("asked") > 0).select("doc_id", "asked"), length, partitions)
-    results = round1.select("doc_id", "covered").join(written(round2, "doubled"), "doc_id", "left")
+    # few rows share an id, so that a document's list of them stays short
+    doubled = written(round2, "doubled").groupBy("doc_id").agg(F.collect_list(F.struct("row", "starts")).alias("doubled"))
+    results = round1.select("doc_id", "covered").join(doubled, "doc_id", "left")
 
     def cut(batches):
         for batch in steps(batches):
             texts = as_bytes(batch.column(1))
-            hit = [bool(c) or bool(s) for c, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            doubled = [next((d["starts"] for d in found or () if d["row"] == row), []) for row, found in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            hit = [bool(c) or bool(s) for c, s in zip(batch.column(2).to_pylist(), doubled, strict=True)]
             rows = []
             for i, text in enumerate(texts):
                 spans = []
@@ -215,7 +222,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     done = np.isin(seg.hash, np.array(batch.column(2)[i].as_py() or [], dtype=np.int64).view(np.uint64))
                     np.add.at(edge, seg.first[done], 1)
                     np.add.at(edge, seg.last[done] + length, -1)
-                    starts = np.array(batch.column(3)[i].as_py() or [], dtype=np.int64)
+                    starts = np.array(doubled[i], dtype=np.int64)
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + length, -1)
                     inside = np.concatenate([[False], np.cumsum(edge) > 0])
@@ -231,4 +238,4 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     span = pa.struct([("from", pa.int64()), ("to", pa.int64())])
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(span)), ("kept", pa.binary())])
-    return docs.join(results, "doc_id", "left").select("doc_id", "text", "covered", "starts").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<`from`:long,`to`:long>>, kept binary")
+    return docs.join(results, "doc_id", "left").select("doc_id", "text", "covered", "doubled", "row").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<`from`:long,`to`:long>>, kept binary")

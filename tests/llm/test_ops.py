@@ -122,6 +122,39 @@ def test_op6_brute_force(spark):
     assert suffix_dedup.repeated_spans(empty(spark)).count() == 0
 
 
+def test_op6_rows_with_one_id(spark):
+    draw = random.Random(2)
+    text = lambda n: "".join(draw.choices("abcdefgh ", k=n))
+    common_, a, b = text(120), text(200), text(300)
+    rows = [(1, a + common_), (2, common_[:70]), (2, b + common_ + a[:80]), (2, b + common_ + a[:80]), (None, common_), (3, "short")]
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([(1, 320, 0), (2, 70, 70), (2, 500, 200), (2, 500, 200), (0, 120, 0), (3, 5, 0)])
+
+
+def test_op3_null_id_and_equal_ids(spark):
+    docs = spark.createDataFrame([(None, "b c"), (5, "a"), (5, "bb"), (None, None), (-3, "x")], "doc_id long, text string")
+    blocks, table = token_binary.write_token_files(docs, queries.vocabulary("byte_bpe_50k.json"))
+    got = [(r.doc_id, r.n_tokens) for r in token_binary.read_token_files(spark, blocks, table).orderBy("start").collect()]
+    assert sorted(got[:2], key=lambda r: r[1]) == [(None, 1), (None, 3)] and got[2] == (-3, 2) and [r[0] for r in got[3:]] == [5, 5]
+
+
+def test_op2_many_runs_ship_each_capture_once(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FAN_IN", 3)
+    html = [None, "same", "p"] * 40
+    pages = spark.createDataFrame([(i - 50, f"http://h{i % 7}.example.com/{i % 3}", html[i]) for i in range(120)], "page_id long, url string, html string").repartition(12)
+    runs = warc.capture_runs(warc.write_archives(pages))
+    bounds = warc.range_bounds(runs)
+    assert len(bounds) >= 2
+    import json
+
+    shipped = [json.loads(zlib.decompress(r.captures)) for r in warc.cut_runs(runs, bounds).collect()]
+    assert sum(map(len, shipped)) == 120
+    got = warc.merge_runs(runs).orderBy("rank").collect()
+    keys = [(r.url_key, r.timestamp, r.page_id) for r in got]
+    assert len(got) == 120 and keys == sorted(keys)
+    assert {r.page_id: r.refers_to for r in got} == {i - 50: None if i + 3 > 119 else 117 + i % 3 - 50 for i in range(120)}
+
+
 def test_op8_brute_force(spark):
     docs, rows = documents(spark)
     items = [(1, " ".join((rows[-1][1] or "").split()[3:40])), (2, "one TWO"), (3, ""), (4, None), (5, " ".join(f"w{i}" for i in range(100, 130))), (5, "zz yy"), (None, "a b c d e"), (6, "w1 w1 w1 w1 w1 w1 w1 w1 w1 w1 w1")]
@@ -266,14 +299,14 @@ def test_op4_against_sql(spark):
 
 def test_op5_urls(spark):
     urls = [None, "", "x", "http://A.Example.COM/en/7?x", "https://example.com/en/8", "ftp://notexample.com", "https://b.net/de/9#f", "https://example.net/de/8", "https://org/es/", "https://a.org/ES/", "http://free-bets.example.net/q", "http://x.y/de/", "http://u@h/en/", "http://a.com/en/\n", "http://example.com/en/7", "http://example.com/en/7"]
-    pages = spark.createDataFrame([(i, u, "z") for i, u in enumerate(urls)], "page_id long, url string, token string")
+    pages = spark.createDataFrame([(i, u, "z", "s", "w", "v", "q") for i, u in enumerate(urls)], "page_id long, url string, token string, site string, word_rule string, verdict string, __url string")
     con = duckdb.connect()
     con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
     con.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(urls)))
     cur = con.execute(url_filter.URL_SQL)
     names = [d[0] for d in cur.description]
     ours = url_filter.judge_urls(pages)
-    assert "token" in ours.columns
+    assert {"token", "site", "__url"} <= set(ours.columns)
     assert sorted(cur.fetchall(), key=str) == sorted((tuple(r) for r in ours.select(*names).collect()), key=str)
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
