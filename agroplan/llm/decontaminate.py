@@ -13,7 +13,8 @@ items of bounded size at a time:
 
 :func:`proximity_matches` asks the same index for documents in which an item's rarest terms stand
 near each other. Null and empty texts have no words; an item without words has no window; repeated
-rows get equal results; a null item id counts as the item ``null``; other columns are not looked at.
+rows get equal results, ties between equally rare words go to the earlier place; a null item id counts as
+the item ``null``; no documents or no items give no hits; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from .common import alnum_words, as_bytes, steps, word_hashes, written
 TERMS = 3
 #: Words of the items that are searched for at a time; this bounds what is broadcast.
 BLOCK_WORDS = 1_000_000
-#: Candidate lists that a join may broadcast: rows, and entries in them; more are shuffled.
-SMALL_ROWS, SMALL_ENTRIES = 50_000, 100_000
+#: Candidate lists that a join may broadcast: rows, and numbers in them (8 bytes each); more are shuffled.
+SMALL_ROWS, SMALL_NUMBERS = 50_000, 4_000_000
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str):
@@ -168,8 +169,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     if candidates is None:
         candidates = spark.createDataFrame([], "doc_id long, at array<struct<name:string,words:array<bigint>,begins:array<int>>>")
     candidates = written(candidates.groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("at")), "candidates")
-    rows, entries = candidates.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("at")), F.lit(0))).first()
-    small = rows <= SMALL_ROWS and entries <= SMALL_ENTRIES
+    held = F.aggregate("at", F.lit(0), lambda n, x: n + F.size(x["words"]) + F.size(x["begins"]))
+    rows, numbers = candidates.agg(F.count(F.lit(1)), F.coalesce(F.sum(held), F.lit(0))).first()
+    small = rows <= SMALL_ROWS and numbers <= SMALL_NUMBERS
     candidates = candidates.withColumnRenamed("doc_id", "d")
     joined = docs.join(F.broadcast(candidates) if small else candidates, F.col("doc_id").eqNullSafe(F.col("d")), "left").select("doc_id", "text", "at")
 
