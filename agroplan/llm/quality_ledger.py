@@ -7,7 +7,8 @@ ledger's bit patterns and their numbers.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]``. Null texts have no words and no lines; all counts are of
 whole texts; there is no shuffle, so that hot keys and repeated rows do not matter; other columns
-stay as they are, and a column with the name of a measurement is replaced.
+stay as they are, and a column with the name of a measurement is replaced; an empty table gives an empty
+ledger.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: bit, name, condition under which a document fails
 RULES = [
     (0, "few_words", "n_words < 50"),
@@ -75,6 +78,12 @@ def ledger(docs: DataFrame, text_col: str = "text", rules=tuple(RULES)) -> DataF
     return measure(docs, text_col).withColumn("failed", bits)
 
 
+def stored_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=tuple(RULES)) -> DataFrame:
+    """The ledger without the texts, written to the shared folder: policies and ablations read it, not the texts."""
+    kept = [id_col, "n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines", "n_repeat_words", "failed"]
+    return written(ledger(docs, text_col, rules).select(*kept), "ledger")
+
+
 def passes(policy: str | tuple[int, int]) -> Column:
     """Whether a ledger row passes a policy."""
     mask, forgiven = POLICIES[policy] if isinstance(policy, str) else policy
@@ -109,7 +118,14 @@ m AS (
   FROM d LEFT JOIN rep ON d.r = rep.r)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
        n_repeat_words::BIGINT AS n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (word_chars < 3 * n_words)::INT + 8 * (word_chars > 10 * n_words)::INT
+        + 16 * (10 * n_symbols > n_words)::INT + 32 * (100 * n_dup_lines > 40 * n_lines)::INT + 64 * (2 * n_upper > word_chars)::INT)::BIGINT AS failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 10 * n_symbols > n_words) AS kept_v1,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words
             OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 40 * n_lines OR 2 * n_upper > word_chars) AS kept
 FROM m
 """
+
+#: Failures of each rule, and documents that pass policy v2 without it.
+ABLATION_SQL = "WITH q AS (" + LEDGER_SQL + "), r(rule, bit) AS (VALUES " + ", ".join(f"('{name}', {1 << bit})" for bit, name, _ in RULES) + """)
+SELECT rule, count(*) FILTER (failed & bit > 0) AS n_failed, count(*) FILTER (failed = bit) AS n_only FROM q, r GROUP BY rule"""

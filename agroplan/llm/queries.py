@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .decontaminate import contamination
+from .decontaminate import contamination, proximity_matches
 from .license_scan import scan, train
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_components
 from .packing import pack_documents
-from .quality_ledger import BASE, LEDGER_SQL, ledger, passes
+from .quality_ledger import ABLATION_SQL, BASE, LEDGER_SQL, ablations, passes, stored_ledger
 from .suffix_dedup import repeated_spans
 from .token_binary import read_token_files, write_token_files
 from .url_filter import URL_SQL, judge_urls
@@ -50,7 +50,17 @@ def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.col("failed").bitwiseAND(F.lit(BASE).cast("long")) != 0
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return ledger(_table(spark, sf_dir, "documents")).select(*columns, base.alias("base_failed"), passes("v2").alias("kept"))
+    stored = stored_ledger(_table(spark, sf_dir, "documents"))
+    return stored.select(*columns, base.alias("base_failed"), "failed", passes("v1").alias("kept_v1"), passes("v2").alias("kept"))
+
+
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ablations(stored_ledger(_table(spark, sf_dir, "documents")), "v2")
+
+
+def proximity_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = proximity_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("begin").cast("long").alias("begin"))
 
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +100,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,
         "op10_line_dedup": op10_line_dedup,
+        "quality_ablations": quality_ablations,
+        "proximity_search": proximity_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_ledger": LEDGER_SQL, "op5_url_rules": URL_SQL}
+    return {"op4_quality_ledger": LEDGER_SQL, "quality_ablations": ABLATION_SQL, "op5_url_rules": URL_SQL}
