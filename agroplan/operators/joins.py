@@ -25,9 +25,14 @@ def full_outer(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     return a.join(b, on, "full")
 
 
+#: Rows of a list of levels that a grid may broadcast.
+SHORT_LIST = 10_000
+
+
 def complete_grid(keys: DataFrame, values: DataFrame) -> DataFrame:
-    """Every key with every value of a short list."""
-    return keys.crossJoin(F.broadcast(values))  # a list of levels, bounded by the domain
+    """Every key with every value of a list; a short one (by its counted rows) is broadcast."""
+    short = values.limit(SHORT_LIST + 1).count() <= SHORT_LIST
+    return keys.crossJoin(F.broadcast(values) if short else values)
 
 
 def key_overlap(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
@@ -75,13 +80,11 @@ def nearest_join(left: DataFrame, right: DataFrame, by: list[str], left_x: str,
 def assign_interval(df: DataFrame, windows: DataFrame, on: list[str], ts: str, start: str, end: str, label: str, priority: str) -> DataFrame:
     """The label of the interval [start, end] that holds ``ts``; the highest priority wins; null end is open.
 
-    ``df`` needs no unique key: rows are grouped by all of their columns.
+    A key's intervals are few (a cycle's stages) and travel as one array, so that rows need no key of their own.
     """
-    hit = (F.col(ts) >= F.col(start)) & (F.col(end).isNull() | (F.col(ts) <= F.col(end)))
-    wins = windows.select(*on, start, end, F.col(label).alias("__label"), F.col(priority).alias("__priority"))
-    numbered = df.withColumn("__row", F.monotonically_increasing_id())
-    best = numbered.select("__row", ts, *on).join(wins, on).where(hit).groupBy("__row").agg(F.max_by("__label", F.struct("__priority", "__label")).alias(label))
-    return numbered.join(best, "__row", "left").drop("__row")
+    packed = windows.groupBy(*on).agg(F.collect_list(F.struct(F.col(priority).alias("p"), F.col(label).alias("l"), F.col(start).alias("a"), F.col(end).alias("z"))).alias("__w"))
+    holds = F.filter("__w", lambda w: (F.col(ts) >= w["a"]) & (w["z"].isNull() | (F.col(ts) <= w["z"])))
+    return df.join(packed, on, "left").withColumn(label, F.array_max(holds)["l"]).drop("__w")
 
 
 def overlap_hours(df: DataFrame, start: str, end: str) -> DataFrame:

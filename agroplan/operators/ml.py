@@ -144,7 +144,7 @@ def best_threshold(scored: DataFrame, label: str, p: str, grid: int = 19) -> flo
 def gate_two_stage(df: DataFrame, num: list[str], cat: list[str], label: str, group: str, q: float = 0.8, seed: int = 1) -> Callable[[DataFrame], DataFrame]:
     """A gate (logistic, extreme = beyond the group's quantile) with an F1-tuned threshold, and one regressor on each side."""
     cut = df.groupBy(group).agg(F.percentile(label, q).alias("__cut"))
-    rows = df.join(F.broadcast(cut), group).withColumn("__y", (F.col(label) > F.col("__cut")).cast("double"))  # one row per group
+    rows = df.join(cut, group).withColumn("__y", (F.col(label) > F.col("__cut")).cast("double"))
     gate = feature_pipeline(num, cat, LogisticRegression(labelCol="__y", regParam=0.01, probabilityCol="__prob", rawPredictionCol="__raw", predictionCol="__gate")).fit(rows)
     probability = vector_to_array("__prob")[1]
     threshold = best_threshold(gate.transform(rows).withColumn("__p", probability), "__y", "__p")

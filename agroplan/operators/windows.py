@@ -95,13 +95,15 @@ def clamped_balance(df: DataFrame, keys: list[str], ts: str, delta: str, lo: flo
     """Running balance ``clip(previous + delta, lo, hi)`` and the balance before it, by key.
 
     A step is the map x -> min(hi, max(lo, x + s)), and such maps are closed under composition. Each
-    (key, month) folds its steps into one map; a scan over the few months carries the balance; then
-    each month replays its rows from there. Two stations with long series thus use many tasks. Null
-    deltas count as 0.
+    (key, day) folds its steps into one map, and each (key, month) the maps of its days; a scan over the
+    few months carries the balance, then one over a month's days, and each day replays its rows from
+    there. Two stations with long series thus use many tasks, and no list is longer than a day's rows, a
+    month's days or a series' months. Null deltas count as 0.
     """
-    month = F.date_trunc("month", ts)
+    from .joins import enrich_null_safe
+
     step = F.coalesce(F.col(delta), F.lit(0.0))
-    chunks = df.groupBy(*keys, month.alias("__m")).agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), step.alias("s"), F.struct(*df.columns).alias("row")))).alias("rows"))
+    chunks = df.groupBy(*keys, F.date_trunc("month", ts).alias("__m"), F.date_trunc("day", ts).alias("__d")).agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), step.alias("s"), F.struct(*df.columns).alias("row")))).alias("rows"))
     clip = lambda x, a, b: F.least(b, F.greatest(a, x))
     L, H = F.lit(float(lo)), F.lit(float(hi))
     none = F.struct(F.lit(0.0).alias("s"), F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"))
@@ -109,9 +111,18 @@ def clamped_balance(df: DataFrame, keys: list[str], ts: str, delta: str, lo: flo
     def then(f: Column, g: Column) -> Column:
         return F.struct((f["s"] + g["s"]).alias("s"), clip(f["lo"] + g["s"], g["lo"], g["hi"]).alias("lo"), clip(f["hi"] + g["s"], g["lo"], g["hi"]).alias("hi"))
 
-    folded = chunks.withColumn("__f", F.aggregate("rows", none, lambda acc, r: then(acc, F.struct(r["s"].alias("s"), L.alias("lo"), H.alias("hi")))))
-    before = F.collect_list("__f").over(W.partitionBy(*keys).orderBy("__m").rowsBetween(W.unboundedPreceding, -1))  # one small map per month
-    carried = folded.withColumn("__x", F.aggregate(before, F.lit(float(start)), lambda x, f: clip(x + f["s"], f["lo"], f["hi"])))
+    def before(map_: str, by: list[str], order: str) -> Column:
+        return F.collect_list(map_).over(W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+
+    def through(maps: Column, x: Column) -> Column:
+        return F.aggregate(maps, x, lambda x, f: clip(x + f["s"], f["lo"], f["hi"]))
+
+    days = chunks.withColumn("__f", F.aggregate("rows", none, lambda acc, r: then(acc, F.struct(r["s"].alias("s"), L.alias("lo"), H.alias("hi")))))
+    months = days.groupBy(*keys, "__m").agg(F.sort_array(F.collect_list(F.struct("__d", "__f"))).alias("__days"))
+    months = months.withColumn("__f", F.aggregate("__days", none, lambda acc, d: then(acc, d["__f"])))
+    months = months.select(*keys, "__m", through(before("__f", keys, "__m"), F.lit(float(start))).alias("__x0"))
+    placed = enrich_null_safe(days.withColumn("__b", before("__f", [*keys, "__m"], "__d")), months, [*keys, "__m"])
+    carried = placed.withColumn("__x", through(F.col("__b"), F.col("__x0")))
     first = F.array(F.struct(F.lit(None).cast("int").alias("i"), F.col("__x").alias("prev"), F.col("__x").alias("bal")))
     walked = F.aggregate(F.sequence(F.lit(0), F.size("rows") - 1), first, lambda acc, i: F.concat(acc, F.array(F.struct(i.alias("i"), F.element_at(acc, -1)["bal"].alias("prev"), clip(F.element_at(acc, -1)["bal"] + F.get("rows", i)["s"], L, H).alias("bal")))))
     out = carried.select("rows", F.explode(F.slice(walked, 2, F.size("rows"))).alias("w"))
