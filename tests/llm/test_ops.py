@@ -450,3 +450,93 @@ def test_pipeline(spark):
         ids = left
     packed = corpus_pipeline.STAGES[-1][1](spark, now, DATA)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == ids
+
+
+def brute_lines(rows):
+    """What is left of each text: one of each component of lines whose 5-character sets have a similarity of 0.75."""
+    places = sorted((i, p, x) for i, t in rows for p, x in enumerate((t or "").split("\n")) if re.search(r"[^\x20\x09-\x0D]", x))
+    known = sorted({x for _, _, x in places})
+    sets, parent = [{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in known], dict(enumerate(range(len(known))))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if 3 * max(len(s), len(sets[j])) <= 4 * min(len(s), len(sets[j])) and 4 * len(s & sets[j]) >= 3 * len(s | sets[j]):
+                parent[find(parent, i)] = find(parent, j)
+    number, kept, gone = {x: i for i, x in enumerate(known)}, set(), set()
+    for i, p, x in places:
+        c = find(parent, number[x])
+        if c in kept:
+            gone.add((i, p))
+        kept.add(c)
+    return {i: t if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in gone) for i, t in rows}, {i for i, _ in gone}
+
+
+def brute_first_of_components(rows):
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = set(zip(*(w[k:] for k in range(5)), strict=False)) if len(w) >= 5 else {tuple(w)} if w else set()
+    parent, ids = {i: i for i in sets}, sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            c = len(sets[a] & sets[b])
+            if c and 100 * c >= 75 * (len(sets[a]) + len(sets[b]) - c):
+                p, q = find(parent, a), find(parent, b)
+                parent[max(p, q)] = min(p, q)
+    return {i for i in ids if find(parent, i) == i}
+
+
+def brute_clean(rows, items):
+    pattern, lower = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    words = lambda t: pattern.findall((t or "").translate(lower))
+    windows = {tuple(w[j : j + min(10, len(w))]) for w in map(words, items) for j in range(len(w) - min(10, len(w)) + 1 if w else 0)}
+    sizes = {len(k) for k in windows}
+    return {i for i, t in rows if not any(tuple(w[j : j + n]) in windows for w in [words(t)] for n in sizes for j in range(len(w) - n + 1))}
+
+
+def test_pipeline_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    real = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()]
+    long_ = " ".join(f"w{i % 700} x{i}" for i in range(9000))
+    bench = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    odd = [None, "", " \n ", long_, long_ + " end", real[5][1], " ".join(f"karo{i}" for i in range(60)) + "\n" + bench[0], " ".join(f"quin{i}" for i in range(80))]
+    rows = real + [(900_000 + i, t) for i, t in enumerate(odd)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, removed string").repartition(4)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    good = {i for (i,) in con.execute(f"SELECT doc_id FROM ({quality_ledger.LEDGER_SQL}) WHERE kept").fetchall()}
+    left = [(i, t) for i, t in rows if i in good]
+    texts, cut = brute_lines(left)
+    left = [(i, texts[i]) for i, _ in left if i not in cut or re.search(r"[^\x20\x09-\x0D]", texts[i])]
+    first = brute_first_of_components(left)
+    left = [(i, t) for i, t in left if i in first]
+    clean = brute_clean(left, bench)
+    assert len(clean) < len(left) <= len(good) < len(rows), (len(clean), len(left), len(good), len(rows))
+    assert 900_006 not in clean and 900_007 in clean
+    own = collections.defaultdict(list)
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    for r in packed:
+        own[r.doc_id].append(r)
+    assert set(own) == clean
+    plain = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    for i, t in left:
+        if i in clean:
+            ids = [*plain.encode(t or "", add_special_tokens=False).ids, 1]
+            wanted = [(n, a, len(ids[a : a + 4096]), zlib.crc32(np.array(ids[a : a + 4096], "<u4").tobytes())) for n, a in enumerate(range(0, len(ids), 4096))]
+            assert sorted((r.piece, r.start, r.length, r.ids_crc32) for r in own[i]) == wanted
+    used = collections.Counter()
+    for r in packed:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 4096 and len(used) <= sum(used.values()) / 4096 * 1.05 + 1
+
+
+def test_pipeline_empty(spark):
+    import corpus_pipeline
+
+    docs = empty(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, DATA)
+        assert docs.count() == 0
