@@ -16,7 +16,8 @@ least the threshold. Steps:
 
 Shingles are compared by more than 50 bits of hash (48 bits within one of the hash partitions).
 Null or wordless texts have an empty set and link with nothing; fewer than ``n`` words are one
-shingle; equal rows and ties give the same class; other columns are not looked at.
+shingle; equal rows and ties give the same class; an empty table gives an empty result; other columns
+are not looked at.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from .common import as_bytes, binary_array, list_array, mix, shuffle_partitions,
 from .components import link_buckets
 
 MAX_MATCHES = 4
+#: Items from which on a bucket is crowded: its pairs are then told apart before they are counted.
+CROWD = 16
 
 
 def _sets(texts: list[bytes], n: int):
@@ -71,7 +74,7 @@ def shared_shingles(docs: DataFrame, text_col: str, n: int, partitions: int) ->
                 continue
             owner = np.repeat(np.arange(len(seen)), [len(s) for s in seen.values()])
             tokens, signatures = np.concatenate(list(seen.values())), np.fromiter(seen, dtype=np.int64)
-            part = ((tokens >> np.uint64(48)) % np.uint64(partitions)).astype(np.uint16)
+            part = ((tokens >> np.uint64(32)) % np.uint64(partitions)).astype(np.int32)
             order = np.argsort(part, kind="stable")
             part, owner, tokens = part[order], owner[order], tokens[order]
             runs = np.flatnonzero(np.concatenate([[True], (np.diff(part) != 0) | (np.diff(owner) != 0)]))
@@ -100,7 +103,9 @@ def shared_shingles(docs: DataFrame, text_col: str, n: int, partitions: int) ->
         starts = np.flatnonzero(np.concatenate([[True], np.diff(tokens) != 0]))
         frequency = np.repeat(lengths := np.diff(np.concatenate([starts, [len(tokens)]])), lengths)
         shared = frequency > 1
-        tokens, owner, frequency = tokens[shared] | (part << 48), owner[shared], frequency[shared]
+        # with the part's number, the 48 bits that came along name the shingle
+        named = mix(tokens[shared].view(np.uint64) + np.uint64(part) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+        tokens, owner, frequency = named, owner[shared], frequency[shared]
         order = np.argsort(owner, kind="stable")
         tokens, owner, frequency = tokens[order], owner[order], frequency[order]
         cuts = np.concatenate([np.flatnonzero(np.concatenate([[True], np.diff(owner) != 0])), [len(owner)]]) if len(owner) else np.zeros(1, dtype=np.int64)
@@ -112,16 +117,15 @@ def shared_shingles(docs: DataFrame, text_col: str, n: int, partitions: int) ->
 
 
 def adaptive_prefixes(sets: DataFrame, percent: int, max_matches: int = MAX_MATCHES, verify_cost: float = 20.0) -> DataFrame:
-    """``(bucket, item, n, m, matches, place, level)``: the prefix shingles of each class of ``(signature, n, shingles, frequencies)``.
+    """``(bucket, item, n, m, matches, place)``: the prefix shingles of each class of ``(signature, n, shingles, frequencies)``.
 
-    ``level`` is the smallest number of matches whose prefix holds the shingle; ``matches`` is the
-    number that the class chose; ``m`` of its shingles are shared at all, and ``place`` is the
-    shingle's among those, from the rarest.
+    ``matches`` is the number that the class chose; ``m`` of its shingles are shared at all, and
+    ``place`` is the shingle's among those, from the rarest.
     """
 
     def run(batches):
         for batch in batches:
-            rows: list[list] = [[] for _ in range(7)]
+            rows: list[list] = [[] for _ in range(6)]
             for signature, n, tokens, frequencies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens, frequencies = np.array(tokens, dtype=np.int64), np.array(frequencies, dtype=np.int64)
                 order = np.lexsort((tokens, frequencies))
@@ -136,12 +140,11 @@ def adaptive_prefixes(sets: DataFrame, percent: int, max_matches: int = MAX_MATC
                 inside = level <= matches
                 rows[0].append(tokens[inside])
                 rows[5].append(np.flatnonzero(inside))
-                rows[6].append(level[inside])
                 for i, x in ((1, signature), (2, n), (3, len(tokens)), (4, matches)):
                     rows[i].append(np.full(int(inside.sum()), x, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in rows], ["bucket", "item", "n", "m", "matches", "place", "level"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in rows], ["bucket", "item", "n", "m", "matches", "place"])
 
-    return sets.select("signature", "n", "shingles", "frequencies").mapInArrow(run, "bucket long, item long, n long, m long, matches long, place long, level long")
+    return sets.select("signature", "n", "shingles", "frequencies").mapInArrow(run, "bucket long, item long, n long, m long, matches long, place long")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
@@ -149,7 +152,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     classes = written(shingle_classes(docs, id_col, text_col, n), "classes")
     sizes = classes.where("n_shingles > 0").groupBy("signature").agg(F.min("doc_id").alias("first_doc"), F.min("n_shingles").alias("n"))
-    partitions = min(2 * shuffle_partitions(spark), 32_000)
+    partitions = 2 * shuffle_partitions(spark)
     shared = shared_shingles(docs, text_col, n, partitions).join(sizes.select("signature", "n"), "signature")
     sets = written(shared.where(F.size("shingles") * 100 >= percent * F.col("n")), "sets")
     postings = written(adaptive_prefixes(sets, percent), "postings")
@@ -165,14 +168,24 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def cross(posted: DataFrame) -> DataFrame:
         # a bucket that items of two components share is open, so the open ones count all their matches
-        prefixes = posted.groupBy("item").agg(F.collect_list("bucket").alias("prefix"))
-        listed = posted.join(prefixes, "item")
-        one, two = (listed.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("item", "component", "n", "m", "matches", "place", "prefix"))) for k in "ab")
-        bound = f"{need} (least(place_a, place_b) + least(m_a - place_a, m_b - place_b))"  # may match before this shingle, and from it on
-        shared = F.array_intersect("prefix_a", "prefix_b")
-        once = (F.size(shared) >= F.least("matches_a", "matches_b")) & (F.array_min(shared) == F.col("bucket"))  # a pair comes from one of its buckets
-        met = one.join(two, "bucket").where("item_a < item_b and component_a <> component_b").where(sizes_fit).where(bound).where(once)
-        return verify(met.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")))
+        sizes = posted.groupBy("bucket").agg((F.count(F.lit(1)) >= CROWD).alias("crowded"))
+        placed = written(posted.select("bucket", "item", "component", "n", "m", "matches", "place").join(sizes, "bucket"), "open")
+        # what both may match before this shingle and from it on; pairs that fail it fail altogether
+        bound = f"{need} (least(place_a, place_b) + least(m_a - place_a, m_b - place_b))"
+
+        def met(side: DataFrame, *more: str) -> DataFrame:
+            one, two = (side.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("item", "component", "n", "m", "matches", "place", *more))) for k in "ab")
+            return one.join(two, "bucket").where("item_a < item_b and component_a <> component_b").where(sizes_fit).where(bound)
+
+        pair = [F.col("item_a").alias("a"), F.col("item_b").alias("b"), F.least("matches_a", "matches_b").alias("least")]
+        few = met(placed.where("not crowded")).select(*pair, F.lit(1).alias("shared"))
+        # crowded buckets: a pair comes from the first one of those that it shares
+        crowds = placed.where("crowded")
+        listed = crowds.join(crowds.groupBy("item").agg(F.collect_list("bucket").alias("crowds")), "item")
+        both = F.array_intersect("crowds_a", "crowds_b")
+        many = met(listed, "crowds").where(F.array_min(both) == F.col("bucket")).select(*pair, F.size(both).alias("shared"))
+        counted = few.unionAll(many).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("least").alias("least"))
+        return verify(counted.where("shared >= least").select("a", "b"))
 
     groups = link_buckets(postings, verify, cross, "ngram", carry=("n", "m"), fits=f"{sizes_fit} and {need} least(m_a, m_b)")
     roots = sizes.join(groups.withColumnRenamed("node", "signature"), "signature", "left").withColumn("component", F.coalesce("component", "signature"))
