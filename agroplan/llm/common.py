@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 _GAMMA = 0x9E3779B97F4A7C15
 _RADIX = 0xD1342543DE82EF95
 #: Bytes of text that one vectorised step handles; a longer document is a step of its own.
-STEP_BYTES = 3 << 20
+STEP_BYTES = 2 << 20
 
 
 # --- written tables -----------------------------------------------------------------------
@@ -80,6 +82,14 @@ def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.BinaryArray:
     return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat)])
 
 
+def release() -> None:
+    """Give freed memory back to the system: an idle worker stays alive beside the next tasks' workers."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def steps(batches, text: str = "text", limit: int = STEP_BYTES):
     """Cut Arrow batches so that each piece holds about ``limit`` bytes of text (one row at least)."""
     for batch in batches:
@@ -91,6 +101,7 @@ def steps(batches, text: str = "text", limit: int = STEP_BYTES):
             end = max(at + 1, int(np.searchsorted(sizes, before + limit, side="right")))
             yield batch.slice(at, end - at)
             at = end
+    release()
 
 
 # --- words ----------------------------------------------------------------------------------
