@@ -540,3 +540,34 @@ def test_pipeline_empty(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
         assert docs.count() == 0
+
+
+def test_odd_rows_through_every_operator(spark):
+    """Null and repeated ids, a text beyond one step, and columns that are named like inner ones."""
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choices("abcdefghijklmnop", k=6))
+    long_ = "\n".join(" ".join(word() for _ in range(40)) for _ in range(8000))  # over 2 MB
+    twice = " ".join(word() for _ in range(90))
+    rows = [(None, twice), (7, twice), (7, twice), (7, long_), (8, long_), (None, None), (9, ""), (10, long_[:5000])]
+    names = "item string, component long, line string, removed string, row string, units string, ids string, text_ string"
+    docs = spark.createDataFrame([(i, t, *("x",), 1, *("y",) * 6) for i, t in rows], f"doc_id long, text string, {names}")
+    n = len(rows)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.ngram_components(docs).collect())
+    assert len(got) == n and [g[2] for g in got if g[1] == 86] == [7, 7, 7] and {g[2] for g in got if g[1] > 100_000} == {7}
+    cut = line_dedup.dedup_lines(docs)
+    assert cut.columns == [*docs.columns, "n_lines", "n_removed"]
+    left = sorted((r.doc_id or 0, r.n_lines, r.n_removed) for r in cut.collect())
+    assert [x for x in left if x[0] == 0] == [(0, 0, 0), (0, 1, 0)] and [x for x in left if x[0] == 8] == [(8, 8000, 8000)] and [x[2] for x in left if x[0] == 9] == [0]
+    assert sum(x[1] - x[2] for x in left if x[0] == 7) >= 8001
+    spans = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffix_dedup.repeated_spans(docs).collect())
+    assert (8, len(long_), len(long_)) in spans and (10, 5000, 5000) in spans and len(spans) == n
+    bench = spark.createDataFrame([(1, twice), (2, long_[-3000:])], "item_id long, text string")
+    hits = [(r.doc_id, r.n_items) for r in decontaminate.contamination(docs, bench).collect()]
+    assert len(hits) == n and sorted(k for _, k in hits) == [0, 0, 0, 1, 1, 1, 1, 1]
+    path = queries.vocabulary("word_bpe_49k.json")
+    packed = packing.pack_documents(docs, path).collect()
+    assert len({(r.sequence_id, r.offset) for r in packed}) == len(packed) and sum(r.piece == 0 for r in packed) == n
+    kept = quality_ledger.stored_ledger(docs)
+    assert kept.count() == n and kept.where("n_words = 320000").count() == 2
+    model = license_scan.train(docs, sample=50)
+    assert license_scan.scan(docs, model).count() == n
