@@ -53,7 +53,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing will read any more."""
+    from .files import delete_folder
+
+    for table in tables:
+        delete_folder(table.written_at)
 
 
 #: Rows of a few numbers each that a join may broadcast; a larger side is shuffled instead.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -29,7 +29,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").where("a > m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-        edges = written(small.unionAll(low.select(F.col("m").alias("a"), "b")).distinct(), name)
+        old, edges = edges, written(small.unionAll(low.select(F.col("m").alias("a"), "b")).distinct(), name)
+        discard(old)
         before, now = now, state(edges)
         if before == now:
             break
@@ -69,7 +70,8 @@ def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
         links = found if links is None else links.unionAll(found)
         if new:
             components = written(connected_components(links, name), name)
-            posted = written(_mixed(posted, components), name)
+            old, posted = posted, written(_mixed(posted, components), name)
+            discard(old)
         if turn + 1 == rounds:
             break
         per = posted.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -82,6 +84,7 @@ def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     else:
         found = cross(posted)
     found = written(found.select("a", "b"), name)
+    discard(posted)
     if components is None or not found.isEmpty():
         components = connected_components(links.unionAll(found), name)
     return components

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyarrow import fs
@@ -13,6 +14,12 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def delete_folder(path: str) -> None:
+    system, inner = _open(path)
+    with contextlib.suppress(FileNotFoundError):
+        system.delete_dir(inner)
+
+
 def write_file(folder: str, name: str, data: bytes) -> str:
     """Write under a name of its own, so that a second attempt of a task never meets the first one's file."""
     system, inner = _open(folder)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, small_side, written
+from .common import discard, shuffle_partitions, small_side, written
 from .components import link_buckets
 
 BANDS, ROWS, SAMPLE, CHARS = 16, 5, 112, 5
@@ -76,15 +76,19 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
     words = [f"w{i}" for i in range(WORDS)]
     dealt = signed.select("item", F.explode("bands").alias("bucket")).repartition(shuffle_partitions(seen.sparkSession), "bucket")
     met = dealt.groupBy("bucket").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).where("lo <> hi").select("bucket")
-    postings = written(dealt.join(met.hint("shuffle_hash"), "bucket", "left_semi"), "met").join(signed.select("item", *words), "item")
+    shared = written(dealt.join(met.hint("shuffle_hash"), "bucket", "left_semi"), "met")
+    postings, verified = written(shared.join(signed.select("item", *words), "item"), "postings"), []
+    discard(signed, shared)
     both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words) for sign in "&|")
     fits = f"100 * ({both}) >= {percent - SLACK} * ({any_})"
     alike = F.expr(f"{100 + percent} * size(array_intersect(s_a, s_b)) >= {percent} * (size(s_a) + size(s_b))")
 
     def verify(pairs: DataFrame) -> DataFrame:
+        discard(*verified)  # the links of the round before are written
         pairs = written(pairs, "pairs")
         items = pairs.select(F.col("a").alias("item")).unionAll(pairs.select(F.col("b").alias("item"))).distinct()
-        sets = written(line_sets(texts(items)), "sets")
+        sets = written(line_sets(texts(items).repartition(shuffle_partitions(pairs.sparkSession), "item")), "sets")
+        verified[:] = [pairs, sets]
         return pairs.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b").where(alike).select("a", "b")
 
     def cross(posted: DataFrame) -> DataFrame:
@@ -92,7 +96,9 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
         pairs = one.join(two, "bucket").where("item_a < item_b and component_a <> component_b").where(fits)
         return verify(pairs.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")).distinct())
 
-    return link_buckets(postings, verify, cross, "lines", carry=tuple(words), fits=fits).withColumnRenamed("node", "item")
+    groups = link_buckets(postings, verify, cross, "lines", carry=tuple(words), fits=fits).withColumnRenamed("node", "item")
+    discard(postings, *verified)
+    return groups
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
