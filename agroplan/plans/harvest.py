@@ -12,9 +12,6 @@ from ..functions import columns as C
 from ..operators import aggs, alloc, grain, grids, joins, windows
 
 #: Fixed values of the domain.
-FINISH_BY_ACTIVITY = {"05CBMB": "BLANCO", "CBMC": "BLANCO", "CBM": "BLANCO", "CBX": "BLANCO", "CXLTA1": "TINTURADO", "05CTS": "TINTURADO", "0504GUFDGU": "GUIRNALDA", "CXLTARH": "ARCOIRIS"}
-VARIETY = {"XLENCE": "XL", "XL": "XL", "GYPXLE": "XL", "CLOUD": "CLO", "CLO": "CLO", "GYPCLO": "CLO"}
-AREA = {"SSJ": "A-4", "MM1": "MH1", "MM2": "MH2"}
 STATE_FACTOR = {"SECO": 1.00, "HUMEDO": 0.88, "MOJADO": 0.80}
 RAIN_FACTOR, RAIN_MM, WETNESS_CAP = 0.72, 0.3, 3.0
 DEFAULT_MIX = {"BLANCO": 0.80, "ARCOIRIS": 0.10, "TINTURADO": 0.10}
