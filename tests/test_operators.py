@@ -210,3 +210,15 @@ def test_corrections_and_ols(spark):
     assert f["x"] > 100 and f["w"] is None
     step = lambda d: d.withColumn("y", F.col("y") / 2)
     assert ml.coupled_predict(df.limit(1).withColumn("y", F.lit(8.0)), step, ["y"]).first().y == 1.0
+
+
+def test_sc3_jdbc_since(spark):
+    """From an embedded database: the bound is pushed to the source, readers split a numeric column."""
+    from agroplan.sources import tables
+
+    options = {"url": "jdbc:derby:memory:harvest;create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = spark.range(100).selectExpr("cast(id as int) as ID", "timestamp_seconds(1700000000 + id * 3600) as AT")
+    rows.write.format("jdbc").options(**options).option("dbtable", "READINGS").mode("overwrite").save()
+    since = tables.read_jdbc_since(spark, options, "READINGS", "AT", "2023-11-16 00:00:00", ("ID", 0, 100, 3))
+    assert {r.ID for r in since.collect()} == {r.ID for r in rows.where("AT >= '2023-11-16 00:00:00'").collect()} != set()
+    assert "PushedFilters: [*IsNotNull(AT), *GreaterThanOrEqual(AT" in since._jdf.queryExecution().executedPlan().toString()
