@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import discard, shuffle_partitions, small_side, written
 from .components import link_buckets
 
-BANDS, ROWS, SAMPLE, CHARS = 16, 5, 112, 5
+BANDS, ROWS, SAMPLE, CHARS = 20, 5, 130, 5
 #: Words of the bitmap, and by how much of a hundred its similarity may fall short of the sets'.
 WORDS, SLACK = 4, 25
 
