@@ -31,7 +31,7 @@ from .components import link_buckets
 
 BANDS, ROWS, SAMPLE, CHARS = 20, 5, 130, 5
 #: Words of the bitmap, and by how much of a hundred its similarity may fall short of the sets'.
-WORDS, SLACK = 4, 25
+WORDS, SLACK = 4, 10
 
 
 def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -46,23 +46,23 @@ def _units(lines: DataFrame, *others: str) -> DataFrame:
 
 
 def line_signatures(lines: DataFrame) -> DataFrame:
-    """``(item, bands, w0 .. w3)`` of the lines of ``(item, line)``, each item once: the bands, and a bitmap of the shingles they come from."""
+    """``(item, n, bands, w0 .. w3)`` of the lines of ``(item, line)``, each item once: about how many shingles, the bands, and a bitmap of the shingles they come from."""
     # a line that repeats its words has as many times fewer distinct shingles
     words = lines.withColumn("words", F.split("line", "[ \t]+"))
     fewer = F.expr("cast(greatest(n * size(array_distinct(words)) / size(words), 1) as int)")
     seeded = _units(words, "words").withColumn("fewer", fewer).drop("words").withColumn("seed", F.explode(F.expr(f"sequence(0, cast({SAMPLE} div fewer as int))")))
     # of the seed's hashes, those below the limit are looked at: SAMPLE of a line over all its seeds
     limited = seeded.withColumn("most", F.expr(f"cast(least(1D, {SAMPLE} / fewer - seed) * {2**31 - 1} as int)"))
-    hashed = limited.withColumn("at", F.explode(F.expr("sequence(1, 2 * n - 1, 2)"))).selectExpr("item", "most", f"hash(substring(units, at, {2 * CHARS}), seed) & {2**31 - 1} as h").where("h < most")
+    hashed = limited.withColumn("at", F.explode(F.expr("sequence(1, 2 * n - 1, 2)"))).selectExpr("item", "fewer", "most", f"hash(substring(units, at, {2 * CHARS}), seed) & {2**31 - 1} as h").where("h < most")
     row = f"h div {BANDS} % {ROWS}"
     least = [F.min(F.expr(f"if({row} = {i}, h, null)")).alias(f"m{i}") for i in range(ROWS)]
     bits = F.expr(f"bit_or(shiftleft(1L, cast(h div {BANDS * ROWS} % 64 as int)))").alias("bits")
-    minima = hashed.groupBy("item", F.expr(f"h % {BANDS}").alias("band")).agg(*least, bits)
-    named = minima.select("item", "band", "bits", F.xxhash64("band", *(f"m{i}" for i in range(ROWS))).alias("bucket"))
+    minima = hashed.groupBy("item", F.expr(f"h % {BANDS}").alias("band")).agg(*least, bits, F.max("fewer").alias("n"))
+    named = minima.select("item", "band", "bits", "n", F.xxhash64("band", *(f"m{i}" for i in range(ROWS))).alias("bucket"))
     words = [F.expr(f"bit_or(if(band % {WORDS} = {i}, bits, 0L))").alias(f"w{i}") for i in range(WORDS)]
     buckets = [F.max(F.expr(f"if(band = {i}, bucket, null)")).alias(f"b{i}") for i in range(BANDS)]
-    one = named.groupBy("item").agg(*words, *buckets)
-    return one.select("item", F.array_compact(F.array(*(f"b{i}" for i in range(BANDS)))).alias("bands"), *(f"w{i}" for i in range(WORDS)))
+    one = named.groupBy("item").agg(F.max("n").alias("n"), *words, *buckets)
+    return one.select("item", "n", F.array_compact(F.array(*(f"b{i}" for i in range(BANDS)))).alias("bands"), *(f"w{i}" for i in range(WORDS)))
 
 
 def line_sets(lines: DataFrame) -> DataFrame:
@@ -73,14 +73,15 @@ def line_sets(lines: DataFrame) -> DataFrame:
 def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
     """``(item, component)`` of the lines of ``(item, line)`` that are linked with another one; ``texts(items)`` gives a few of them again."""
     signed = written(line_signatures(seen), "signatures")
-    words = [f"w{i}" for i in range(WORDS)]
+    words = ["n", *(f"w{i}" for i in range(WORDS))]
     dealt = signed.select("item", F.explode("bands").alias("bucket")).repartition(shuffle_partitions(seen.sparkSession), "bucket")
     met = dealt.groupBy("bucket").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).where("lo <> hi").select("bucket")
     shared = written(dealt.join(met.hint("shuffle_hash"), "bucket", "left_semi"), "met")
     postings, verified = written(shared.join(signed.select("item", *words), "item"), "postings"), []
     discard(signed, shared)
-    both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words) for sign in "&|")
-    fits = f"100 * ({both}) >= {percent - SLACK} * ({any_})"
+    both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words[1:]) for sign in "&|")
+    # lines of unlike lengths are sampled down to unlike hashes, by as much as their lengths differ
+    fits = f"100 * ({both}) * greatest(n_a, n_b) >= {percent - SLACK} * ({any_}) * least(n_a, n_b)"
     alike = F.expr(f"{100 + percent} * size(array_intersect(s_a, s_b)) >= {percent} * (size(s_a) + size(s_b))")
 
     def verify(pairs: DataFrame) -> DataFrame:
