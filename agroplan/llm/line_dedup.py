@@ -81,7 +81,7 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
     discard(signed, shared)
     both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words[1:]) for sign in "&|")
     # lines of unlike lengths are sampled down to unlike hashes, by as much as their lengths differ
-    fits = f"100 * ({both}) * greatest(n_a, n_b) >= {percent - SLACK} * ({any_}) * least(n_a, n_b)"
+    fits = f"100 * ({both}) * greatest(n_a, n_b) >= {percent - SLACK} * ({any_}) * least(n_a, n_b) and 100 * ({both}) >= {percent - 3 * SLACK} * ({any_})"
     alike = F.expr(f"{100 + percent} * size(array_intersect(s_a, s_b)) >= {percent} * (size(s_a) + size(s_b))")
 
     def verify(pairs: DataFrame) -> DataFrame:
