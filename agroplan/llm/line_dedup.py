@@ -49,7 +49,7 @@ def line_signatures(lines: DataFrame) -> DataFrame:
     """``(item, n, bands, w0 .. w3)`` of the lines of ``(item, line)``, each item once: about how many shingles, the bands, and a bitmap of the shingles they come from."""
     # a line that repeats its words has as many times fewer distinct shingles
     words = lines.withColumn("words", F.split("line", "[ \t]+"))
-    fewer = F.expr("cast(greatest(n * size(array_distinct(words)) / size(words), 1) as int)")
+    fewer = F.expr("cast(greatest(cast(n as double) * size(array_distinct(words)) / size(words), 1) as int)")
     seeded = _units(words, "words").withColumn("fewer", fewer).drop("words").withColumn("seed", F.explode(F.expr(f"sequence(0, cast({SAMPLE} div fewer as int))")))
     # of the seed's hashes, those below the limit are looked at: SAMPLE of a line over all its seeds
     limited = seeded.withColumn("most", F.expr(f"cast(least(1D, {SAMPLE} / fewer - seed) * {2**31 - 1} as int)"))
@@ -67,7 +67,9 @@ def line_signatures(lines: DataFrame) -> DataFrame:
 
 def line_sets(lines: DataFrame) -> DataFrame:
     """``(item, s)``: the distinct 32-bit hashes of each line's shingles."""
-    return _units(lines).selectExpr("item", f"array_distinct(transform(sequence(1, 2 * n - 1, 2), i -> hash(substring(units, i, {2 * CHARS})))) as s")
+    # the units are named once as u: a column would be copied out of its row again for each shingle
+    hashes = f"transform(array(units), u -> array_distinct(transform(sequence(1, 2 * n - 1, 2), i -> hash(substring(u, i, {2 * CHARS})))))[0] as s"
+    return _units(lines).selectExpr("item", hashes)
 
 
 def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
@@ -81,8 +83,8 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
     discard(signed, shared)
     both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words[1:]) for sign in "&|")
     # lines of unlike lengths are sampled down to unlike hashes, by as much as their lengths differ
-    fits = f"100 * ({both}) * greatest(n_a, n_b) >= {percent - SLACK} * ({any_}) * least(n_a, n_b) and 100 * ({both}) >= {percent - 3 * SLACK} * ({any_})"
-    alike = F.expr(f"{100 + percent} * size(array_intersect(s_a, s_b)) >= {percent} * (size(s_a) + size(s_b))")
+    fits = f"100L * ({both}) * greatest(n_a, n_b) >= {percent - SLACK}L * ({any_}) * least(n_a, n_b) and 100 * ({both}) >= {percent - 3 * SLACK} * ({any_})"
+    alike = F.expr(f"{100 + percent}L * size(array_intersect(s_a, s_b)) >= {percent}L * (size(s_a) + size(s_b))")
 
     def verify(pairs: DataFrame) -> DataFrame:
         discard(*verified)  # the links of the round before are written

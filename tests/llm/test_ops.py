@@ -571,3 +571,19 @@ def test_odd_rows_through_every_operator(spark):
     assert kept.count() == n and kept.where("n_words = 320000").count() == 2
     model = license_scan.train(docs, sample=50)
     assert license_scan.scan(docs, model).count() == n
+
+
+def test_one_long_line(spark):
+    """A single line of over 200,000 characters and 30,000 distinct words passes op10 and every stage."""
+    import corpus_pipeline
+
+    draw = random.Random(21)
+    words = [f"word{i}" for i in range(30_000)]
+    line = " ".join(draw.sample(words, len(words)))
+    rows = [(1, line), (2, line + " end"), (3, "short line of its own here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert len(line) > 200_000
+    assert {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs).collect()} == {1: 0, 2: 1, 3: 0}
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, DATA)
+    assert {r.doc_id for r in docs.collect()} == {1}
