@@ -16,6 +16,7 @@ from .quality_ledger import ABLATION_SQL, BASE, LEDGER_SQL, ablations, passes, s
 from .suffix_dedup import repeated_spans
 from .token_binary import read_token_files, write_token_files
 from .url_filter import URL_SQL, judge_urls
+from .vector_codes import CODES_SQL, codebook_digest, encode_vectors, with_label_errors
 from .warc import capture_runs, merge_runs, write_archives
 
 
@@ -88,6 +89,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, book = encode_vectors(_table(spark, sf_dir, "embeddings"))
+    return with_label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(codebook_digest(book)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -100,10 +106,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,
         "op10_line_dedup": op10_line_dedup,
+        "op13_vector_codes": op13_vector_codes,
         "quality_ablations": quality_ablations,
         "proximity_search": proximity_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_ledger": LEDGER_SQL, "quality_ablations": ABLATION_SQL, "op5_url_rules": URL_SQL}
+    return {"op4_quality_ledger": LEDGER_SQL, "quality_ablations": ABLATION_SQL, "op5_url_rules": URL_SQL, "op13_vector_codes": CODES_SQL}
