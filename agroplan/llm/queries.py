@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contamination, proximity_matches
+from .lexical_search import SEARCH_SQL, search
 from .license_scan import scan, train
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_components
@@ -89,6 +90,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, book = encode_vectors(_table(spark, sf_dir, "embeddings"))
     return with_label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(codebook_digest(book)).alias("codebooks_sha256"))
@@ -106,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,
         "op10_line_dedup": op10_line_dedup,
+        "op11_lexical_search": op11_lexical_search,
         "op13_vector_codes": op13_vector_codes,
         "quality_ablations": quality_ablations,
         "proximity_search": proximity_search,
@@ -113,4 +119,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_ledger": LEDGER_SQL, "quality_ablations": ABLATION_SQL, "op5_url_rules": URL_SQL, "op13_vector_codes": CODES_SQL}
+    return {"op4_quality_ledger": LEDGER_SQL, "quality_ablations": ABLATION_SQL, "op5_url_rules": URL_SQL, "op11_lexical_search": SEARCH_SQL, "op13_vector_codes": CODES_SQL}
