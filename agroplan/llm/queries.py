@@ -16,6 +16,7 @@ from .packing import pack_documents
 from .quality_ledger import ABLATION_SQL, BASE, LEDGER_SQL, ablations, passes, stored_ledger
 from .suffix_dedup import repeated_spans
 from .token_binary import read_token_files, write_token_files
+from .toxicity import fit, held_out, score_documents
 from .url_filter import URL_SQL, judge_urls
 from .vector_codes import CODES_SQL, codebook_digest, encode_vectors, with_label_errors
 from .warc import capture_runs, merge_runs, write_archives
@@ -94,6 +95,12 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = score_documents(docs, fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("hits").alias("n_hits"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, book = encode_vectors(_table(spark, sf_dir, "embeddings"))
     return with_label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(codebook_digest(book)).alias("codebooks_sha256"))
@@ -112,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_line_dedup": op10_line_dedup,
         "op11_lexical_search": op11_lexical_search,
+        "op12_toxicity": op12_toxicity,
         "op13_vector_codes": op13_vector_codes,
         "quality_ablations": quality_ablations,
         "proximity_search": proximity_search,
