@@ -140,7 +140,9 @@ def row_key(*cols: Column | str) -> Column:
 
 def infer_unit(df: DataFrame, col: str, plausible: float, ratio: float = 1000.0) -> DataFrame:
     """Rescale a column by ``ratio`` if the whole table's median lies beyond ``plausible`` (grams given for kg)."""
-    scale = df.agg((F.when(F.median(col) > plausible, F.lit(1.0 / ratio)).otherwise(F.lit(1.0))).alias("__scale"))
+    from ..operators.order import quantiles
+
+    scale = quantiles(df, [], col, (0.5,)).select((F.when(F.col("q")[0] > plausible, F.lit(1.0 / ratio)).otherwise(F.lit(1.0))).alias("__scale"))
     return df.crossJoin(F.broadcast(scale)).withColumn(col, F.col(col) * F.col("__scale")).drop("__scale")  # one row
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .order import average_ranks, quantiles
+
 
 def rollup_by(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, str]]) -> DataFrame:
     """``aggs``: name -> (function, column)."""
@@ -86,7 +88,7 @@ def mix_features(df: DataFrame, keys: list[str], level: str, share: str, bands:
 
 def hist_share(df: DataFrame, keys: list[str], x: str, w: str, step: float) -> DataFrame:
     """Weight share per bin of width ``step`` between the table's 1 % and 99 % quantiles."""
-    edge = df.agg(F.percentile(x, F.array(F.lit(0.01), F.lit(0.99))).alias("e"))
+    edge = quantiles(df, [], x, (0.01, 0.99)).select(F.col("q").alias("e"))
     inside = df.crossJoin(F.broadcast(edge)).where(F.col(x).between(F.col("e")[0], F.col("e")[1]))  # one row
     binned = inside.withColumn("bin", F.floor((F.col(x) - F.col("e")[0]) / step)).groupBy(*keys, "bin").agg(F.sum(w).alias("weight"))
     return binned.withColumn("share", F.col("weight") / F.sum("weight").over(W.partitionBy(*keys)))
@@ -108,10 +110,9 @@ def corr_table(df: DataFrame, y: str, xs: list[str], min_n: int = 20) -> DataFra
     """``(feature, n, pearson, spearman)``; null with fewer than ``min_n`` pairs."""
     long = df.unpivot([y], [F.col(x).cast("double").alias(x) for x in xs], "feature", "x").where(F.col("x").isNotNull() & F.col(y).isNotNull())
 
-    def average_rank(c: str) -> Column:
-        return F.rank().over(W.partitionBy("feature").orderBy(c)) + (F.count(F.lit(1)).over(W.partitionBy("feature", c)) - 1) / 2
-
-    ranked = long.withColumns({"rx": average_rank("x"), "ry": average_rank(y)})
+    ranked = long
+    for c, rank in (("x", "rx"), (y, "ry")):
+        ranked = ranked.join(average_ranks(long, ["feature"], c, rank), ["feature", c])
     n = F.count(F.lit(1))
     corr = lambda a, b: F.when(n >= min_n, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))  # noqa: E731  null for a constant
     return ranked.groupBy("feature").agg(n.alias("n"), corr("x", y).alias("pearson"), corr("rx", "ry").alias("spearman"))
@@ -119,7 +120,7 @@ def corr_table(df: DataFrame, y: str, xs: list[str], min_n: int = 20) -> DataFra
 
 def decile_profile(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
     """Quantile bins (closed on the right, equal edges merged): ``bin, n, mean_x, mean_y``."""
-    edges = df.agg(F.array_distinct(F.percentile(x, F.array(*(F.lit(i / bins) for i in range(bins + 1))))).alias("e"))
+    edges = quantiles(df, [], x, tuple(i / bins for i in range(bins + 1))).select(F.array_distinct("q").alias("e"))
     placed = df.where(F.col(x).isNotNull()).crossJoin(F.broadcast(edges))  # one row
     number = F.greatest(F.size(F.filter("e", lambda v: v < F.col(x))), F.lit(1))
     return placed.withColumn("bin", number).groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean_x"), F.avg(y).alias("mean_y"))
@@ -143,9 +144,12 @@ def relative_factor(df: DataFrame, keys: list[str], code: str, ref: str, x: str,
 
 def segment_caps(df: DataFrame, segment: list[str], x: str, qs: tuple[float, float], min_n: int = 1) -> DataFrame:
     """Low and high quantile by segment; the table's own for segments with fewer than ``min_n`` values."""
-    q = F.array(*map(F.lit, qs))
-    whole = df.agg(F.percentile(x, q).alias("g"))
-    caps = df.groupBy(*segment).agg(F.percentile(x, q).alias("s"), F.count(x).alias("n")).crossJoin(F.broadcast(whole))  # one row
+    from .joins import enrich_null_safe
+
+    whole = quantiles(df, [], x, qs).select(F.col("q").alias("g"))
+    own = quantiles(df, segment, x, qs).withColumnsRenamed({"q": "s", "n": "__n"})
+    segments = enrich_null_safe(df.select(*segment).distinct(), own, segment).withColumn("n", F.coalesce("__n", F.lit(0)))
+    caps = segments.crossJoin(F.broadcast(whole))  # one row
     pick = lambda i: F.when(F.col("n") >= min_n, F.col("s")[i]).otherwise(F.col("g")[i])
     return caps.select(*segment, "n", pick(0).alias("lo"), pick(1).alias("hi"))
 

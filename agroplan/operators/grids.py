@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import clip, encode_corr
 from .joins import lookup_cascade
+from .order import quantiles
 
 
 def explode_dates(df: DataFrame, start: str, end: str, out: str = "day") -> DataFrame:
@@ -47,7 +48,7 @@ def infer_milestones(df: DataFrame, history: DataFrame, segment: list[str], star
     out = df
     for code, col in lengths.items():
         own = history.groupBy(*segment).agg(F.median(col).alias("m"), F.count(col).alias("n")).where(F.col("n") >= min_n).select(*segment, "m")
-        whole = history.agg(F.median(col).alias("m"))
+        whole = quantiles(history, [], col, (0.5,)).select(F.col("q")[0].alias("m"))
         out = lookup_cascade(out, [(own, segment, "m"), (whole, [], "m")], "__days")
         out = out.withColumns({code: F.date_add(start, F.rint("__days").cast("int")), f"{code}_level": F.col("__days_level")}).drop("__days", "__days_level")
     return out

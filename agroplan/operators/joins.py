@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .order import sliced
+
 
 def enrich(df: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join on key columns; null keys do not match. Small dimensions are broadcast by their size."""
@@ -45,17 +47,37 @@ def anti_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return left.join(right.select(*on).distinct(), on, "left_anti")
 
 
+def _with_neighbours(both: DataFrame, by: list[str], ahead: bool) -> DataFrame:
+    """Tagged rows ``(by, __ts, __side, __r, __l)`` with their slice, and right rows carried into it.
+
+    ``__part`` orders a slice: 0 is the last right row of the slices before, 1 the slice's own rows, 2
+    the first right row of those behind. A key has at most as many carried rows as slices.
+    """
+    cut = sliced(both, "__ts")
+    at = F.when(F.col("__side") == 0, F.struct("__ts", "__r"))
+    edges = cut.groupBy(*by, "__slice").agg(F.max(at).alias("__last"), F.min(at).alias("__first"))
+    order = W.partitionBy(*by).orderBy("__slice")  # a row for each slice
+    carried = [edges.select(*by, "__slice", F.last("__last", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1)).alias("__c"), F.lit(0).alias("__part"))]
+    if ahead:
+        carried.append(edges.select(*by, "__slice", F.first("__first", ignorenulls=True).over(order.rowsBetween(1, W.unboundedFollowing)).alias("__c"), F.lit(2).alias("__part")))
+    rows = reduce(DataFrame.unionByName, carried).where("__c is not null").select(*by, "__slice", "__part", "__c.*", F.lit(0).alias("__side"))
+    return cut.withColumn("__part", F.lit(1)).unionByName(rows, allowMissingColumns=True)
+
+
 def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, values: list[str], valid_until: str | None = None) -> DataFrame:
     """Each left row with the values of the latest right row at or before it, by key.
 
-    Both sides go through one window (one shuffle, no inequality join). Right rows at one time are
-    ordered by their values. ``valid_until`` (one of the values) voids a match that ended before.
+    Both sides go through one window by key and slice of time (no inequality join), so that a key's rows
+    use many tasks; the latest right row of the slices before enters a slice as a row of its own. Right
+    rows at one time are ordered by their values. ``valid_until`` (one of the values) voids a match that
+    ended before.
     """
     payload = F.struct(F.col(right_ts).alias("__at"), *(F.col(v) for v in values))
     tagged_r = right.select(*by, F.col(right_ts).alias("__ts"), F.lit(0).alias("__side"), payload.alias("__r"))
     tagged_l = left.select(*by, F.col(left_ts).alias("__ts"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__l"))
-    w = W.partitionBy(*by).orderBy("__ts", "__side", "__r").rowsBetween(W.unboundedPreceding, W.currentRow)
-    found = tagged_l.unionByName(tagged_r, allowMissingColumns=True).withColumn("__m", F.last("__r", ignorenulls=True).over(w)).where("__side = 1")
+    both = _with_neighbours(tagged_l.unionByName(tagged_r, allowMissingColumns=True), by, ahead=False)
+    w = W.partitionBy(*by, "__slice").orderBy("__part", "__ts", "__side", "__r").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = both.withColumn("__m", F.last("__r", ignorenulls=True).over(w)).where("__side = 1")
     if valid_until:
         ended = F.col(f"__m.{valid_until}") < F.col("__ts")
         found = found.withColumn("__m", F.when(F.coalesce(ended, F.lit(False)), None).otherwise(F.col("__m")))
@@ -63,15 +85,18 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
 
 
 def nearest_join(left: DataFrame, right: DataFrame, by: list[str], left_x: str, right_x: str, values: list[str]) -> DataFrame:
-    """Each left row with the closest right row by key; equal distances go to the smaller x."""
+    """Each left row with the closest right row by key; equal distances go to the smaller x.
+
+    By key and slice of x, with the last right row before a slice and the first one behind it as rows of its own.
+    """
     payload = F.struct(F.col(right_x).alias("x"), *(F.col(v) for v in values))
-    tagged_r = right.select(*by, F.col(right_x).alias("__x"), F.lit(0).alias("__side"), payload.alias("__r"))
-    tagged_l = left.select(*by, F.col(left_x).alias("__x"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__l"))
-    both = tagged_l.unionByName(tagged_r, allowMissingColumns=True)
-    w = W.partitionBy(*by).orderBy("__x", "__side", "__r")
+    tagged_r = right.select(*by, F.col(right_x).alias("__ts"), F.lit(0).alias("__side"), payload.alias("__r"))
+    tagged_l = left.select(*by, F.col(left_x).alias("__ts"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__l"))
+    both = _with_neighbours(tagged_l.unionByName(tagged_r, allowMissingColumns=True), by, ahead=True)
+    w = W.partitionBy(*by, "__slice").orderBy("__part", "__ts", "__side", "__r")
     back = F.last("__r", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
     ahead = F.first("__r", ignorenulls=True).over(w.rowsBetween(W.currentRow, W.unboundedFollowing))
-    both = both.withColumns({"__b": back, "__f": ahead}).where("__side = 1")
+    both = both.withColumns({"__b": back, "__f": ahead}).where("__side = 1").withColumn("__x", F.col("__ts"))
     to_back, to_ahead = F.col("__x") - F.col("__b.x"), F.col("__f.x") - F.col("__x")
     best = F.when(F.col("__f").isNull() | (to_back <= to_ahead), F.col("__b")).otherwise(F.col("__f"))
     return both.withColumn("__m", best).select("__l.*", F.col("__m.x").alias(f"{right_x}_matched"), *(F.col(f"__m.{v}").alias(v) for v in values))

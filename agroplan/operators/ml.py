@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .checks import error_metrics
+from .order import quantiles
 
 
 def feature_stages(num: list[str], cat: list[str]) -> list:
@@ -43,8 +44,10 @@ def candidates(label: str, weight: str | None = None, seed: int = 1) -> dict:
 
 def clip_standardise(df: DataFrame, cols: list[str], train: Column, lo: float = 0.005, hi: float = 0.995) -> DataFrame:
     """Clip at the training rows' quantiles, then centre and scale by their population deviation."""
-    q = df.where(train).agg(*(F.percentile(c, F.array(F.lit(lo), F.lit(hi))).alias(f"__q_{c}") for c in cols))
-    d = df.crossJoin(F.broadcast(q)).withColumns({c: F.when(F.col(c).isNotNull(), F.greatest(F.col(f"__q_{c}")[0], F.least(F.col(f"__q_{c}")[1], F.col(c)))) for c in cols})  # one row
+    d = df
+    for c in cols:
+        d = d.crossJoin(F.broadcast(quantiles(df.where(train), [], c, (lo, hi)).select(F.col("q").alias(f"__q_{c}"))))  # one row
+    d = d.withColumns({c: F.when(F.col(c).isNotNull(), F.greatest(F.col(f"__q_{c}")[0], F.least(F.col(f"__q_{c}")[1], F.col(c)))) for c in cols})
     s = d.where(train).agg(*(F.avg(c).alias(f"__m_{c}") for c in cols), *(F.stddev_pop(c).alias(f"__s_{c}") for c in cols))
     z = {c: (F.col(c) - F.col(f"__m_{c}")) / F.when(F.col(f"__s_{c}") > 0, F.col(f"__s_{c}")).otherwise(1.0) for c in cols}
     return d.crossJoin(F.broadcast(s)).withColumns(z).select(*df.columns)  # one row
@@ -64,7 +67,8 @@ def time_folds(df: DataFrame, ts: str, n: int) -> DataFrame:
 
 def time_split(df: DataFrame, ts: str, q: float = 0.8) -> DataFrame:
     """``is_train``: dates up to the q-quantile of the rows' dates."""
-    cut = df.agg(F.percentile(F.unix_date(F.col(ts).cast("date")), q).alias("__cut"))
+    days = df.select(F.unix_date(F.col(ts).cast("date")).alias("__day"))
+    cut = quantiles(days, [], "__day", (q,)).select(F.col("q")[0].alias("__cut"))
     return df.crossJoin(F.broadcast(cut)).withColumn("is_train", F.unix_date(F.col(ts).cast("date")) <= F.col("__cut")).drop("__cut")  # one row
 
 
@@ -202,7 +206,7 @@ def predict_targets(df: DataFrame, winners: dict) -> DataFrame:
 
 def mask_outliers(df: DataFrame, x: str, weight: str, train: Column, lo: float = 0.01, hi: float = 0.99, min_n: int = 80) -> DataFrame:
     """Weight 0 outside the training rows' quantiles, if there are ``min_n`` of them."""
-    q = df.where(train & (F.col(weight) > 0)).agg(F.percentile(x, F.array(F.lit(lo), F.lit(hi))).alias("__q"), F.count(x).alias("__n"))
+    q = quantiles(df.where(train & (F.col(weight) > 0)), [], x, (lo, hi)).select(F.col("q").alias("__q"), F.col("n").alias("__n"))
     out = (F.col("__n") >= min_n) & ~F.col(x).between(F.col("__q")[0], F.col("__q")[1])
     return df.crossJoin(F.broadcast(q)).withColumn(weight, F.when(out, F.lit(0.0)).otherwise(F.col(weight))).drop("__q", "__n")  # one row
 

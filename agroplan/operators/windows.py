@@ -67,13 +67,14 @@ def asof_snapshot(series: DataFrame, entities: DataFrame, by: list[str], ts: str
     """Per entity (key, start, as-of): sums of the series since the start and over its last rows.
 
     ``spans`` count rows, not days, and never reach before the start. One pass gives running sums and
-    row numbers by key; an entity then needs two point look-ups (as-of joins) per span, never the
+    row numbers by key and slice of time; an entity then needs two point look-ups (as-of joins) per span, never the
     range of days itself.
     """
     from .joins import asof_backward
+    from .order import running_sums
 
-    sums = {f"__c_{x}": F.sum(F.coalesce(F.col(x), F.lit(0.0))).over(_upto(by, [ts])) for x in xs}
-    run = series.withColumns({"__rn": F.row_number().over(W.partitionBy(*by).orderBy(ts)), **sums}).select(*by, ts, "__rn", *sums)
+    sums = {f"__c_{x}": F.col(x) for x in xs}
+    run = running_sums(series, by, ts, {"__rn": F.lit(1), **sums}).select(*by, ts, "__rn", *sums)
     names = ["__rn", *sums]
 
     def point(left: DataFrame, at: str, tag: str, right: DataFrame, right_at: str) -> DataFrame:

@@ -222,3 +222,79 @@ def test_sc3_jdbc_since(spark):
     since = tables.read_jdbc_since(spark, options, "READINGS", "AT", "2023-11-16 00:00:00", ("ID", 0, 100, 3))
     assert {r.ID for r in since.collect()} == {r.ID for r in rows.where("AT >= '2023-11-16 00:00:00'").collect()} != set()
     assert "PushedFilters: [*IsNotNull(AT), *GreaterThanOrEqual(AT" in since._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_read_one_range(spark):
+    """A column of 10^6 distinct values: exact, and no task sorts or holds more than a part of it."""
+    from agroplan.operators import order
+
+    n = 1_000_000
+    df = spark.range(n, numPartitions=16).select(F.pmod(F.col("id") * 7919, F.lit(n)).cast("double").alias("x"))
+    qs = (0.0, 0.01, 0.255, 0.5, 0.99, 1.0)
+    out = order.quantiles(df, [], "x", qs)
+    assert out.first()["q"] == [pytest.approx((n - 1) * q, abs=1e-6) for q in qs] and out.first()["n"] == n
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert " percentile(" not in plan and "__range" in plan
+    counted = order._counted(df.withColumn("k", F.lit(0)), ["k"], "x", order.RANGES)
+    sizes = counted.groupBy("__range").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] < n / 100 and sizes[1] > 200
+
+
+def test_quantiles_and_ranks_of_groups(spark):
+    import random
+    import statistics
+
+    from agroplan.operators import order
+
+    draw = random.Random(1)
+    rows = [("a", float(draw.randrange(40))) for _ in range(900)] + [("a", 7.0)] * 600 + [(None, draw.random()) for _ in range(57)] + [("b", 3.5), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(6)
+    theirs = df.groupBy("k").agg(F.percentile("x", F.array(*map(F.lit, (0.1, 0.5, 0.93)))).alias("q"), F.count("x").alias("n")).where("n > 0")
+    assert sorted(map(str, order.quantiles(df, ["k"], "x", (0.1, 0.5, 0.93), 8).collect())) == sorted(map(str, theirs.collect()))
+    ranks = {r.x: r["rank"] for r in order.average_ranks(df.where("k = 'a'"), ["k"], "x", ranges=8).collect()}
+    ordered = sorted(x for k, x in rows if k == "a")
+    assert ranks == {x: statistics.mean(i + 1 for i, y in enumerate(ordered) if y == x) for x in set(ordered)}
+    assert [r.n for r in order.quantiles(df.limit(0), [], "x", (0.5,)).collect()] == [0]
+
+
+def brute_asof(left, right):
+    """The latest right row at or before, and the closest one (the smaller on ties)."""
+    out = []
+    for k, t in left:
+        own = sorted((x, v) for j, x, v in right if j == k)
+        before = [r for r in own if r[0] <= t]
+        ahead = [r for r in own if r[0] > t]
+        near = before[-1] if before and (not ahead or t - before[-1][0] <= ahead[0][0] - t) else ahead[0] if ahead else (None, None)
+        out.append((k, t, before[-1][1] if before else None, near[1]))
+    return out
+
+
+def test_asof_of_one_hot_key(spark):
+    """All rows of one key are dealt over the slices, and each row finds the same neighbour as by brute force."""
+    import random
+
+    from agroplan.operators import joins, order
+
+    draw = random.Random(5)
+    left = [("hot", draw.randrange(4000)) for _ in range(1500)] + [("cold", 5), (None, 9), ("none", 1)]
+    right = [("hot", draw.randrange(4000), i) for i in range(400)] + [("hot", 2000, 900 + i) for i in range(50)] + [("cold", 6, 1), ("cold", 4, 2), (None, 9, 3)]
+    l, r = spark.createDataFrame(left, "k string, t long").repartition(4), spark.createDataFrame(right, "k string, s long, v long").repartition(4)  # noqa: E741
+    back = {(x.k, x.t): x.v for x in joins.asof_backward(l, r, ["k"], "t", "s", ["v"]).collect()}
+    near = {(x.k, x.t): x.v for x in joins.nearest_join(l, r, ["k"], "t", "s", ["v"]).collect()}
+    for k, t, b, n in brute_asof(left, right):
+        assert (back[k, t], near[k, t]) == (b, n), (k, t)
+    counts = [c for (c,) in order.sliced(l.where("k = 'hot'"), "t", n=16).groupBy("__slice").count().select("count").collect()]
+    assert len(counts) == 16 and max(counts) < 300
+
+
+def test_running_sums_of_one_hot_key(spark):
+    from agroplan.operators import order
+
+    rows = [("hot", i, float(i % 7)) for i in range(3000)] + [("cold", 3, 2.0), (None, 1, 1.5), (None, 2, None)]
+    out = order.running_sums(spark.createDataFrame(rows, "k string, t long, x double").repartition(5), ["k"], "t", {"n": F.lit(1), "c": F.col("x")}).collect()
+    got = {(r.k, r.t): (r.n, r.c) for r in out}
+    total = 0.0
+    for k, t, x in rows[:3000]:
+        total += x
+        assert got[k, t] == (t + 1, total)
+    assert len(out) == len(rows) and got["cold", 3] == (1, 2.0) and got[None, 2] == (2, 1.5)
