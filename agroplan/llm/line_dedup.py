@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import discard, shuffle_partitions, small_side, written
 from .components import link_buckets
@@ -76,9 +77,11 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
     """``(item, component)`` of the lines of ``(item, line)`` that are linked with another one; ``texts(items)`` gives a few of them again."""
     signed = written(line_signatures(seen), "signatures")
     words = ["n", *(f"w{i}" for i in range(WORDS))]
-    dealt = signed.select("item", F.explode("bands").alias("bucket")).repartition(shuffle_partitions(seen.sparkSession), "bucket")
-    met = dealt.groupBy("bucket").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).where("lo <> hi").select("bucket")
-    shared = written(dealt.join(met.hint("shuffle_hash"), "bucket", "left_semi"), "met")
+    dealt = signed.select("item", F.explode("bands").alias("bucket"))
+    # buckets of one item go; each (item, bucket) is dealt once, and a large bucket's window spills
+    own = W.partitionBy("bucket")
+    met = dealt.withColumns({"lo": F.min("item").over(own), "hi": F.max("item").over(own)}).where("lo <> hi")
+    shared = written(met.select("item", "bucket"), "met")
     postings, verified = written(shared.join(signed.select("item", *words), "item"), "postings"), []
     discard(signed, shared)
     both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words[1:]) for sign in "&|")
