@@ -105,15 +105,18 @@ def sliced(df: DataFrame, ts: str, out: str = "__slice", n: int | None = None) -
     return df.crossJoin(F.broadcast(cuts)).withColumn(out, F.coalesce(range_of(F.col(ts), F.col("__cuts"), n), F.lit(0))).drop("__cuts")  # one row
 
 
-def running_sums(df: DataFrame, by: list[str], ts: str, sums: dict[str, Column]) -> DataFrame:
-    """``df`` with running sums (``name``: expression) by key in order of ``ts``.
+def running_sums(df: DataFrame, by: list[str], ts: str, sums: dict[str, Column], maxima: dict[str, Column] | None = None, ties: list[str] = ()) -> DataFrame:
+    """``df`` with running sums and maxima (``name``: expression) by key in order of ``ts``, then of ``ties``.
 
-    A key's slices are summed apart; what went before a slice enters it as a row of its own.
+    A key's slices are summed apart; what went before a slice enters it as a row of its own. Null values
+    add nothing to a sum; a maximum is null until there is a value.
     """
-    cut = sliced(df, ts).withColumns({f"__v_{name}": F.coalesce(c, F.lit(0)) for name, c in sums.items()})
-    totals = cut.groupBy(*by, "__slice").agg(*(F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums))
+    maxima = maxima or {}
+    fold = {n: F.sum for n in sums} | {n: F.max for n in maxima}
+    cut = sliced(df, ts).withColumns({f"__v_{n}": F.coalesce(c, F.lit(0)) for n, c in sums.items()} | {f"__v_{n}": c for n, c in maxima.items()})
+    totals = cut.groupBy(*by, "__slice").agg(*(f(f"__v_{n}").alias(f"__v_{n}") for n, f in fold.items()))
     earlier = W.partitionBy(*by).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)  # a row for each slice
-    carried = totals.select(*by, "__slice", *(F.sum(f"__v_{n}").over(earlier).alias(f"__v_{n}") for n in sums), F.lit(0).alias("__own"))
+    carried = totals.select(*by, "__slice", *(f(f"__v_{n}").over(earlier).alias(f"__v_{n}") for n, f in fold.items()), F.lit(0).alias("__own"))
     both = cut.withColumn("__own", F.lit(1)).unionByName(carried, allowMissingColumns=True)
-    w = W.partitionBy(*by, "__slice").orderBy("__own", ts).rowsBetween(W.unboundedPreceding, 0)
-    return both.withColumns({n: F.sum(f"__v_{n}").over(w) for n in sums}).where("__own = 1").select(*df.columns, *sums)
+    w = W.partitionBy(*by, "__slice").orderBy("__own", ts, *ties).rowsBetween(W.unboundedPreceding, 0)
+    return both.withColumns({n: f(f"__v_{n}").over(w) for n, f in fold.items()}).where("__own = 1").select(*df.columns, *fold)
