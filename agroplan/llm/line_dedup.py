@@ -81,9 +81,8 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
     # buckets of one item go; each (item, bucket) is dealt once, and a large bucket's window spills
     own = W.partitionBy("bucket")
     met = dealt.withColumns({"lo": F.min("item").over(own), "hi": F.max("item").over(own)}).where("lo <> hi")
-    shared = written(met.select("item", "bucket"), "met")
-    postings, verified = written(shared.join(signed.select("item", *words), "item"), "postings"), []
-    discard(signed, shared)
+    postings, bitmaps, verified = written(met.select("item", "bucket"), "met"), written(signed.select("item", *words), "bitmaps"), []
+    discard(signed)
     both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words[1:]) for sign in "&|")
     # lines of unlike lengths are sampled down to unlike hashes, by as much as their lengths differ
     fits = f"100L * ({both}) * greatest(n_a, n_b) >= {percent - SLACK}L * ({any_}) * least(n_a, n_b) and 100 * ({both}) >= {percent - 3 * SLACK} * ({any_})"
@@ -97,13 +96,22 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
         verified[:] = [pairs, sets]
         return pairs.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b").where(alike).select("a", "b")
 
+    def named(k: str) -> DataFrame:
+        return bitmaps.select(*(F.col(c).alias(f"{c}_{k}") for c in ("item", *words)))
+
+    def starred(pairs: DataFrame) -> DataFrame:
+        """Of an item and its hub, few pairs for each item: bitmaps are fetched for the pairs, not for the postings."""
+        met = pairs.select(F.col("a").alias("item_a"), F.col("b").alias("item_b")).join(named("a"), "item_a").join(named("b"), "item_b").where(fits)
+        return verify(met.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")))
+
     def cross(posted: DataFrame) -> DataFrame:
-        one, two = (posted.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("item", "component", *words))) for k in "ab")
+        """Of the buckets that are still mixed: many pairs, so that bitmaps go with the postings and unlike pairs never leave the join."""
+        one, two = (posted.select("bucket", F.col("item").alias(f"item_{k}"), F.col("component").alias(f"component_{k}")).join(named(k), f"item_{k}") for k in "ab")
         pairs = one.join(two, "bucket").where("item_a < item_b and component_a <> component_b").where(fits)
         return verify(pairs.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")).distinct())
 
-    groups = link_buckets(postings, verify, cross, "lines", carry=tuple(words), fits=fits).withColumnRenamed("node", "item")
-    discard(postings, *verified)
+    groups = link_buckets(postings, starred, cross, "lines").withColumnRenamed("node", "item")
+    discard(postings, bitmaps, *verified)
     return groups
 
 
