@@ -90,7 +90,7 @@ def recompute_links(state: DataFrame) -> DataFrame:
     kg = F.col("tallos_grado") * F.greatest(F.coalesce("peso_g", F.lit(0.0)), F.lit(0.0)) * F.greatest(F.coalesce("pred_peso", F.lit(1.0)), F.lit(0.0)) / 1000
     d = d.withColumn("kg", F.when(is_hg, kg).otherwise(F.col("kg")))
     of = lambda c, w: F.avg(F.when(is_hg, F.col(c))).over(w)
-    moved = lambda c, ref: F.coalesce(F.greatest(of(c, of_grade) / F.when(of(ref, of_grade) != 0, of(ref, of_grade)), F.lit(0.0)), F.lit(1.0))
+    moved = lambda c, ref: F.greatest(F.coalesce(of(c, of_grade) / F.when(of(ref, of_grade) != 0, of(ref, of_grade)), F.lit(1.0)), F.lit(0.0))
     d = d.withColumns({"__t": moved("tallos_grado", "tallos_grado_ref"), "__k": moved("kg", "kg_ref"), "__day": of("tallos_dia", of_day), "__grade": of("tallos_grado", of_grade)})
     post = {"tallos_post": F.col("tallos_post_ref") * F.col("__t"), "kg": F.col("kg_post_ref") * F.col("__k"), "cajas": F.col("cajas_ref") * F.col("__k"), "tallos_grado": F.coalesce("__grade", "tallos_grado"), "tallos_dia": F.coalesce("__day", "tallos_dia")}
     post["fecha_post"] = F.date_add("fecha", F.rint(F.coalesce("pred_dh", F.lit(0.0))).cast("int"))

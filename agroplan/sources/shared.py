@@ -33,8 +33,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def write_bucketed(df: DataFrame, keys: list[str], order: list[str], buckets: int, name: str = "bucketed") -> DataFrame:
     """``df`` as a table in ``buckets`` hash buckets of ``keys``, sorted by keys and ``order`` within; read back.
 
-    Rows are dealt by the same hash before the write, so that each bucket is one file. Windows, groups
-    and joins on ``keys`` (or on more columns) then read it without a shuffle.
+    Rows are dealt by the same hash before the write, so that each bucket is one file. Windows and
+    groups by ``keys`` (or by more columns), and joins on exactly ``keys`` with a table of as many
+    buckets, then read it without a shuffle; a union with other rows (as-of joins) still shuffles.
     """
     spark = df.sparkSession
     table, path = f"{name}_{uuid.uuid4().hex}", new_path(spark, name)
