@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -24,9 +25,13 @@ def beta_curve(grid: DataFrame, a: float, b: float) -> DataFrame:
     return alloc.spread_weighted(shares, ["ciclo"], "total", "beta_share", "tallos_day").drop("a", "b", "x")
 
 
-def stems_by_grade(days: DataFrame, shares: DataFrame) -> DataFrame:
-    """``tallos`` by cycle, day and grade; cycles without shares get those of all cycles. ``shares``: ciclo, grado, share."""
-    own = windows.share_within(shares, ["ciclo"], "share", "null")
+def stems_by_grade(days: DataFrame, shares: DataFrame, min_n: int = 0) -> DataFrame:
+    """``tallos`` by cycle, day and grade; cycles with fewer than ``min_n`` rows behind their shares get those of all cycles.
+
+    ``shares``: ciclo, grado, share, n.
+    """
+    known = shares.withColumn("__n", F.sum("n").over(W.partitionBy("ciclo"))).where(F.col("__n") >= min_n)
+    own = windows.share_within(known, ["ciclo"], "share", "null")
     whole = windows.share_within(shares.groupBy("grado").agg(F.sum("share").alias("share")), [], "share", "null")
     lacking = joins.anti_join(days.select("ciclo").distinct(), own, ["ciclo"]).crossJoin(whole)  # few grades
     return alloc.split_by_share(days, own.select("ciclo", "grado", "share").unionByName(lacking.select("ciclo", "grado", "share")), ["ciclo"], "tallos_day", "share", "tallos")

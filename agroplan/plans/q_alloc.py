@@ -26,17 +26,18 @@ def al1(spark, sf):
     return alloc.spread_uniform(d, "total", "n").select("ciclo", "fecha", r6("value"))
 
 
-@query("al4_split_wide", "WITH " + LINES + """, p AS (SELECT grado::VARCHAR AS k, sum(tallos) FILTER (destino = 'A') AS A, sum(tallos) FILTER (destino = 'N') AS N, sum(tallos) FILTER (destino = 'R') AS R FROM l WHERE grado <= 5 GROUP BY 1),
-o AS (SELECT sum(tallos) FILTER (destino = 'A') AS A, sum(tallos) FILTER (destino = 'N') AS N, sum(tallos) FILTER (destino = 'R') AS R FROM l),
-g AS (SELECT ciclo, grado::VARCHAR AS k, sum(peso) AS peso FROM l GROUP BY 1, 2),
+@query("al4_split_wide", "WITH " + LINES + """, p AS (SELECT parte || '-' || grado AS k, avg(tallos) FILTER (destino = 'A') AS A, avg(tallos) FILTER (destino = 'N') AS N, avg(tallos) FILTER (destino = 'R') AS R FROM l GROUP BY 1),
+o AS (SELECT avg(tallos) FILTER (destino = 'A') AS A, avg(tallos) FILTER (destino = 'N') AS N, avg(tallos) FILTER (destino = 'R') AS R FROM l),
+g AS (SELECT ciclo, parte || '-' || grado AS k, sum(peso) AS peso FROM l GROUP BY 1, 2),
 j AS (SELECT ciclo, g.k, peso, coalesce(p.A, o.A) AS A, coalesce(p.N, o.N) AS N, coalesce(p.R, o.R) AS R FROM g LEFT JOIN p ON g.k = p.k CROSS JOIN o)
-SELECT ciclo, k, finish, round(peso * v / (A + N + R), 3) AS value FROM (SELECT *, unnest(['A', 'N', 'R']) AS finish, unnest([A, N, R]) AS v FROM j)""")
+SELECT ciclo, k, finish, round(peso * v / (A + N + R) + 0.00001, 3) AS value FROM (SELECT *, unnest(['A', 'N', 'R']) AS finish, unnest([A, N, R]) AS v FROM j)""")
 def al4(spark, sf):
-    l = lines(spark, sf).withColumn("k", F.col("grado").cast("string"))  # noqa: E741
-    wide = lambda d, *keys: d.groupBy(*keys).pivot("destino", ["A", "N", "R"]).agg(F.sum("tallos"))
-    weights = wide(l.where("grado <= 5"), "k").unionByName(wide(l.withColumn("k", F.lit("DEFAULT")), "k"))
+    """By part and grade; a finish that a part and grade never had gets the whole table's weight."""
+    l = lines(spark, sf).withColumn("k", F.concat_ws("-", "parte", "grado"))  # noqa: E741
+    wide = lambda d, *keys: d.groupBy(*keys).pivot("destino", ["A", "N", "R"]).agg(F.avg("tallos"))
+    weights = wide(l, "k").unionByName(wide(l.withColumn("k", F.lit("DEFAULT")), "k"))
     out = alloc.split_wide(l.groupBy("ciclo", "k").agg(F.sum("peso").alias("peso")), weights, ["k"], ["A", "N", "R"], "peso", {"k": "DEFAULT"})
-    return out.select("ciclo", "k", "finish", F.round("value", 3).alias("value"))
+    return out.select("ciclo", "k", "finish", F.round(F.col("value") + 0.00001, 3).alias("value"))  # no half at the third place
 
 
 @query("al6_week_to_day", """WITH w AS (SELECT date_trunc('week', o_orderdate)::DATE AS week, sum(o_totalprice) AS v FROM orders GROUP BY 1),
@@ -92,12 +93,12 @@ def al17(spark, sf):
     return alloc.observed_zero_fill(d, ["ciclo"], "fecha", "x").select("ciclo", "fecha", "x")
 
 
-@query("al20_bound_by_caps", "WITH " + LINES + """, a AS (SELECT destino, grado, avg(tallos) * 0.5 AS lo, avg(tallos) * 1.5 AS hi FROM l WHERE grado <= 3 GROUP BY 1, 2), b AS (SELECT destino, avg(tallos) * 0.6 AS lo, avg(tallos) * 1.4 AS hi FROM l WHERE destino <> 'R' GROUP BY 1)
-SELECT pedido, l.grado::BIGINT AS grado, parte, round(greatest(coalesce(a.lo, b.lo, 10), least(coalesce(a.hi, b.hi, 40), tallos)), 6) AS bounded FROM l LEFT JOIN a ON l.destino = a.destino AND l.grado = a.grado LEFT JOIN b ON l.destino = b.destino""")
+@query("al20_bound_by_caps", "WITH " + LINES + """, a AS (SELECT parte, destino, avg(tallos) * 0.5 AS lo, avg(tallos) * 1.5 AS hi FROM l GROUP BY 1, 2 HAVING count(*) >= 12), b AS (SELECT parte, avg(tallos) * 0.6 AS lo, avg(tallos) * 1.4 AS hi FROM l GROUP BY 1 HAVING count(*) >= 30)
+SELECT pedido, l.grado::BIGINT AS grado, l.parte, round(greatest(coalesce(a.lo, b.lo, 10), least(coalesce(a.hi, b.hi, 40), tallos)), 6) AS bounded FROM l LEFT JOIN a ON l.destino = a.destino AND l.parte = a.parte LEFT JOIN b ON l.parte = b.parte""")
 def al20(spark, sf):
     l = lines(spark, sf)  # noqa: E741
-    caps = lambda d, keys, lo, hi: d.groupBy(*keys).agg((F.avg("tallos") * lo).alias("lo"), (F.avg("tallos") * hi).alias("hi"))
-    levels = [(caps(l.where("grado <= 3"), ["destino", "grado"], 0.5, 1.5), ["destino", "grado"]), (caps(l.where("destino <> 'R'"), ["destino"], 0.6, 1.4), ["destino"])]
+    caps = lambda n, keys, lo, hi: l.groupBy(*keys).agg((F.avg("tallos") * lo).alias("lo"), (F.avg("tallos") * hi).alias("hi"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= n)
+    levels = [(caps(12, ["parte", "destino"], 0.5, 1.5), ["parte", "destino"]), (caps(30, ["parte"], 0.6, 1.4), ["parte"])]
     return alloc.bound_by_caps(l, levels, "tallos", (10.0, 40.0)).select("pedido", long("grado"), "parte", r6("bounded"))
 
 
@@ -112,13 +113,13 @@ def al24(spark, sf):
 
 
 @query("al21_harvest_chain", "WITH " + BLEND + """, t AS (SELECT ciclo, sum(x) * 1.1 AS total FROM d GROUP BY 1), k AS (SELECT bl.ciclo, fecha, total * blended / sum(blended) OVER (PARTITION BY bl.ciclo) AS stems FROM bl JOIN t ON bl.ciclo = t.ciclo),
-s AS (SELECT ciclo, grado, sum(tallos) / sum(sum(tallos)) OVER (PARTITION BY ciclo) AS share FROM l GROUP BY 1, 2), g AS (SELECT grado, avg(tallos) AS stem_g FROM l WHERE grado <= 6 GROUP BY 1)
+s AS (SELECT ciclo, grado, sum(tallos) / sum(sum(tallos)) OVER (PARTITION BY ciclo) AS share FROM l GROUP BY 1, 2), g AS (SELECT grado, avg(tallos) AS stem_g FROM l GROUP BY 1)
 SELECT k.ciclo, fecha, s.grado::BIGINT AS grade, round(stems * share, 6) AS stems, round(stems * share * stem_g / 1000, 6) AS kg FROM k JOIN s ON k.ciclo = s.ciclo LEFT JOIN g ON s.grado = g.grado""")
 def al21(spark, sf):
     l, d = lines(spark, sf), daily(spark, sf)
     total = d.groupBy("ciclo").agg((F.sum("x") * 1.1).alias("total"))
     grades = l.groupBy("ciclo", F.col("grado").alias("grade")).agg(F.sum("tallos").alias("share"))
-    weights = l.where("grado <= 6").groupBy(F.col("grado").alias("grade")).agg(F.avg("tallos").alias("stem_g"))
+    weights = l.groupBy(F.col("grado").alias("grade")).agg(F.avg("tallos").alias("stem_g"))
     out = alloc.harvest_chain(d.join(total, "ciclo"), grades, weights, ["ciclo"], "fecha", "x", "w", "total")
     return out.select("ciclo", "fecha", long("grade"), r6("stems"), r6("kg"))
 

@@ -101,12 +101,12 @@ def panel_leakage(spark, sf):
 
 # --- reconciliation ----------------------------------------------------------------------------------
 
-TREE = LINES + """, f AS (SELECT ciclo, fecha, grado, destino, sum(tallos) AS plan, sum(tallos * (1.2 - "desc")) AS act FROM l GROUP BY ALL), b4 AS (SELECT ciclo, fecha, grado, destino, plan, CASE WHEN destino = 'R' THEN act / 2 END AS seen, coalesce(CASE WHEN destino = 'R' THEN act / 2 END, 0) AS fl FROM f)"""
+TREE = LINES + """, f AS (SELECT ciclo, fecha, grado, destino, sum(tallos) AS plan, sum(tallos * (1.2 - "desc")) AS act FROM l GROUP BY ALL), b4 AS (SELECT ciclo, fecha, grado, destino, plan, CASE WHEN act > 30 THEN act / 2 END AS seen, coalesce(CASE WHEN act > 30 THEN act / 2 END, 0) AS fl FROM f)"""
 LEVELS = (("ciclo",), ("ciclo", "fecha"), ("ciclo", "fecha", "grado"), ("ciclo", "fecha", "grado", "destino"))
 
 
 def _tree_sql():
-    seen = {3: "CASE WHEN grado = 2 THEN 0.9 * plan END", 2: "CASE WHEN fecha < DATE '1994-01-01' THEN plan * 1.05 END", 1: "NULL::DOUBLE"}
+    seen = {3: "CASE WHEN plan > 60 THEN 0.9 * plan END", 2: "CASE WHEN fecha < DATE '1994-01-01' THEN plan * 1.05 END", 1: "NULL::DOUBLE"}
     up = "".join(f", a{n} AS (SELECT {', '.join(k)}, sum(plan) AS plan, sum(fl) AS fl0 FROM b{n + 1} GROUP BY ALL), b{n} AS (SELECT *, {seen[n]} AS seen, coalesce({seen[n]}, fl0) AS fl FROM a{n})" for n, k in ((3, LEVELS[2]), (2, LEVELS[1]), (1, LEVELS[0])))
     down = ", t1 AS (SELECT ciclo, coalesce(seen, greatest(plan, fl)) AS v FROM b1)"
     for n in (2, 3, 4):
@@ -118,19 +118,19 @@ i{n} AS (SELECT *, fl + CASE WHEN seen IS NULL THEN greatest(total - fs, 0) * CA
 
 @query("gold_reconciled_hierarchy", _tree_sql())
 def reconciled(spark, sf):
-    """Stems planned by cycle, day, grade and finish; days before 1994, grade 2 and finish R are observed."""
+    """Stems planned by cycle, day, grade and finish; days before 1994, large grades and large finishes are observed."""
     leaves = lines(spark, sf).groupBy(*LEVELS[3]).agg(F.sum("tallos").alias("plan"), F.sum(F.col("tallos") * (1.2 - F.col("desc"))).alias("act"))
     by = lambda n: leaves.groupBy(*LEVELS[n]).agg(F.sum("plan").alias("plan"))
-    days = by(1).where("fecha < date '1994-01-01'").withColumn("seen", F.col("plan") * 1.05)
-    grades = by(2).where("grado = 2").withColumn("seen", 0.9 * F.col("plan"))
-    finishes = leaves.where("destino = 'R'").withColumn("seen", F.col("act") / 2)
+    days = by(1).withColumn("seen", F.when(F.col("fecha") < "1994-01-01", F.col("plan") * 1.05))
+    grades = by(2).withColumn("seen", F.when(F.col("plan") > 60, 0.9 * F.col("plan")))
+    finishes = leaves.withColumn("seen", F.when(F.col("act") > 30, F.col("act") / 2))
     out = reconcile.reconcile_hierarchy(leaves.select(*LEVELS[3], "plan"), [[*k] for k in LEVELS], "plan", [None, (days, "seen"), (grades, "seen"), (finishes, "seen")])
     return out.select("ciclo", "fecha", long("grado"), "destino", F.round("value", 4).alias("value"))
 
 
 # --- linear models from sums ---------------------------------------------------------------------------
 
-MASKED = LINES + ", y AS (SELECT pedido, grado, parte, tallos, \"desc\" AS d, k, CASE WHEN (parte + k) % 4 > 0 THEN peso * (1 + k * \"desc\") / 1000 + k * tallos END AS y, 1 + (parte + k) % 3 AS w FROM l, (SELECT unnest(range(1, 10)) AS k))"
+MASKED = LINES + ", y AS (SELECT pedido, grado, parte, tallos, \"desc\" AS d, k, CASE WHEN tallos > 4 * k THEN peso * (1 + k * \"desc\") / 1000 + k * tallos END AS y, grado + k AS w FROM l, (SELECT unnest(range(1, 10)) AS k))"
 SOLVED = MASKED + """, m AS (SELECT k, count(*) AS n, sum(w * tallos) / sum(w) AS m1, sum(w * d) / sum(w) AS m2, sum(w * y) / sum(w) AS my, sum(w) AS sw FROM y WHERE y IS NOT NULL GROUP BY k),
 s AS (SELECT k, any_value(n) AS n, any_value(m1) AS m1, any_value(m2) AS m2, any_value(my) AS my, sum(w * (tallos - m1) * (tallos - m1)) AS s11, sum(w * (d - m2) * (d - m2)) AS s22, sum(w * (tallos - m1) * (d - m2)) AS s12, sum(w * (tallos - m1) * (y - my)) AS s1y, sum(w * (d - m2) * (y - my)) AS s2y FROM y JOIN m USING (k) WHERE y IS NOT NULL GROUP BY k),
 b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s)"""
@@ -138,8 +138,8 @@ b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 *
 
 def _masked(spark, sf):
     l = lines(spark, sf)  # noqa: E741
-    y = lambda k: F.when((F.col("parte") + k) % 4 > 0, F.col("peso") * (1 + k * F.col("desc")) / 1000 + k * F.col("tallos"))
-    return l.withColumns({f"t{k}": y(k) for k in range(1, 10)} | {f"w{k}": 1 + (F.col("parte") + k) % 3 for k in range(1, 10)})
+    y = lambda k: F.when(F.col("tallos") > 4 * k, F.col("peso") * (1 + k * F.col("desc")) / 1000 + k * F.col("tallos"))
+    return l.withColumns({f"t{k}": y(k) for k in range(1, 10)} | {f"w{k}": F.col("grado") + k for k in range(1, 10)})
 
 
 @query("md13_fit_targets", "WITH " + SOLVED + " SELECT 't' || k AS target, n, round(my - b1 * m1 - b2 * m2, 4) AS intercept, round(b1, 5) AS tallos, round(b2, 4) AS \"desc\" FROM b")

@@ -74,11 +74,12 @@ def md17(spark, sf):
     return ml.coupled_predict(o, step, ["price", "dummy"], 3, 1e-12).select("o_orderkey", r6("price"), r6("dummy"))
 
 
-@query("md18_segment_fallback", "WITH " + LINES + """, p AS (SELECT *, CASE WHEN parte % 3 > 0 THEN peso END AS pred FROM l), s AS (SELECT destino, grado, median(peso) AS m FROM l WHERE grado < 7 GROUP BY 1, 2)
-SELECT pedido, p.grado::BIGINT AS grado, parte, round(coalesce(pred, m, 100), 4) AS value, CASE WHEN pred IS NOT NULL THEN 'MODEL' WHEN m IS NOT NULL THEN 'SEGMENT' ELSE 'CONSTANT' END AS value_source FROM p LEFT JOIN s ON p.destino = s.destino AND p.grado = s.grado""")
+@query("md18_segment_fallback", "WITH " + LINES + """, p AS (SELECT *, CASE WHEN parte % 3 > 0 THEN peso END AS pred FROM l), s AS (SELECT ciclo, parte, median(CASE WHEN tallos <= 45 THEN peso END) AS m FROM l GROUP BY 1, 2)
+SELECT pedido, p.grado::BIGINT AS grado, p.parte, round(coalesce(pred, m, 100), 4) AS value, CASE WHEN pred IS NOT NULL THEN 'MODEL' WHEN m IS NOT NULL THEN 'SEGMENT' ELSE 'CONSTANT' END AS value_source FROM p LEFT JOIN s ON p.ciclo = s.ciclo AND p.parte = s.parte""")
 def md18(spark, sf):
     l = lines(spark, sf).withColumn("pred", F.when(F.col("parte") % 3 > 0, F.col("peso")))  # noqa: E741
-    out = ml.segment_fallback(l, l.where("grado < 7"), ["destino", "grado"], "pred", "peso", 100.0)
+    # segments so fine that some have no weighed row
+    out = ml.segment_fallback(l, l.withColumn("weighed", F.when(F.col("tallos") <= 45, F.col("peso"))), ["ciclo", "parte"], "pred", "weighed", 100.0)
     return out.select("pedido", long("grado"), "parte", F.round("value", 4).alias("value"), "value_source")
 
 

@@ -13,7 +13,7 @@ from .registry import query
 CYCLES = LINES + ", cy AS (SELECT ciclo, min(fecha) AS start, (20 + ciclo % 30)::INT AS n, sum(tallos) * 1.1 AS total FROM l GROUP BY 1)"
 GRID = CYCLES + ", gr AS (SELECT ciclo, start, n, total, unnest(range(1, n + 1)) AS i FROM cy)"
 CURVE = GRID + """, e AS (SELECT *, exp(1.5 * ln((i - 0.5) / n) + 2.0 * ln(1 - (i - 0.5) / n)) AS e FROM gr), dy AS (SELECT ciclo, start, start + i::INT - 1 AS day, total * e / sum(e) OVER (PARTITION BY ciclo) AS tallos_day FROM e)"""
-STEMS = CURVE + """, sh AS (SELECT ciclo, grado, sum(tallos) AS s FROM l WHERE ciclo % 5 > 0 GROUP BY 1, 2), ow AS (SELECT ciclo, grado, s / sum(s) OVER (PARTITION BY ciclo) AS share FROM sh),
+STEMS = CURVE + """, sh AS (SELECT ciclo, grado, sum(tallos) AS s, sum(count(*)) OVER (PARTITION BY ciclo) AS n FROM l GROUP BY 1, 2), ow AS (SELECT ciclo, grado, s / sum(s) OVER (PARTITION BY ciclo) AS share FROM sh WHERE n >= 600),
 wh AS (SELECT grado, sum(s) / sum(sum(s)) OVER () AS share FROM sh GROUP BY 1), al AS (SELECT * FROM ow UNION ALL SELECT ciclo, grado, share FROM (SELECT ciclo FROM cy WHERE ciclo NOT IN (SELECT ciclo FROM ow)), wh),
 st AS (SELECT dy.ciclo, day, grado, tallos_day * share AS tallos FROM dy JOIN al ON dy.ciclo = al.ciclo)"""
 
@@ -27,8 +27,8 @@ def _days(spark, sf):
 
 
 def _stems(spark, sf):
-    shares = lines(spark, sf).where("ciclo % 5 > 0").groupBy("ciclo", "grado").agg(F.sum("tallos").alias("share"))
-    return planning.stems_by_grade(_days(spark, sf), shares)
+    shares = lines(spark, sf).groupBy("ciclo", "grado").agg(F.sum("tallos").alias("share"), F.count(F.lit(1)).alias("n"))
+    return planning.stems_by_grade(_days(spark, sf), shares, 600)
 
 
 @query("ml1_universe_grid", "WITH " + GRID + " SELECT ciclo, i AS day_index, start + i::INT - 1 AS day, round(i / n, 6) AS rel FROM gr")
@@ -46,10 +46,10 @@ def tallos_grade(spark, sf):
     return _stems(spark, sf).select("ciclo", "day", long("grado"), F.round("tallos", 4).alias("tallos"))
 
 
-@query("ml1_kg_cajas", "WITH " + STEMS + """, w AS (SELECT grado, median(peso) / 1000 AS stem_g FROM l WHERE grado < 7 GROUP BY 1), k AS (SELECT st.*, tallos * coalesce(stem_g, 25) / 1000 AS kg FROM st LEFT JOIN w ON st.grado = w.grado)
+@query("ml1_kg_cajas", "WITH " + STEMS + """, w AS (SELECT grado, median(peso) / 1000 AS stem_g FROM l GROUP BY 1), k AS (SELECT st.*, tallos * coalesce(stem_g, 25) / 1000 AS kg FROM st LEFT JOIN w ON st.grado = w.grado)
 SELECT ciclo, day, grado::BIGINT AS grado, round(sum(kg), 4) AS kg, round(sum(kg) / 10, 4) AS cajas, CASE WHEN grouping(grado) = 0 THEN 0 WHEN grouping(day) = 0 THEN 1 ELSE 2 END::BIGINT AS level FROM k GROUP BY GROUPING SETS ((ciclo, day, grado), (ciclo, day), (ciclo))""")
 def kg_boxes(spark, sf):
-    weights = lines(spark, sf).where("grado < 7").groupBy("grado").agg((F.median("peso") / 1000).alias("stem_g"))
+    weights = lines(spark, sf).groupBy("grado").agg((F.median("peso") / 1000).alias("stem_g"))
     return planning.kg_and_boxes(_stems(spark, sf), weights).select("ciclo", "day", long("grado"), F.round("kg", 4).alias("kg"), F.round("cajas", 4).alias("cajas"), long("level"))
 
 

@@ -11,9 +11,9 @@ from .registry import query
 RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
-@query("wn2_supplier_progress", "WITH " + DAILY + f", p AS (SELECT ciclo, fecha, sum(x) OVER (PARTITION BY ciclo ORDER BY fecha {RUN}) AS cum, sum(x) OVER (PARTITION BY ciclo) AS t FROM d) SELECT ciclo, fecha, cum, floor(cum / t * 1e6)::BIGINT AS pct_millionths FROM p WHERE cum / t >= 0.5")
+@query("wn2_supplier_progress", "WITH " + DAILY + f", p AS (SELECT ciclo, fecha, sum(x) OVER (PARTITION BY ciclo ORDER BY fecha {RUN}) AS cum, sum(x) OVER (PARTITION BY ciclo) AS t FROM d) SELECT ciclo, fecha, cum, floor(cum / t * 1e6)::BIGINT AS pct_millionths FROM p")
 def wn2(spark, sf):
-    return windows.progress(daily(spark, sf), ["ciclo"], ["fecha"], "x").where("pct >= 0.5").select("ciclo", "fecha", "cum", F.floor(F.col("pct") * 1e6).cast("long").alias("pct_millionths"))
+    return windows.progress(daily(spark, sf), ["ciclo"], ["fecha"], "x").select("ciclo", "fecha", "cum", F.floor(F.col("pct") * 1e6).cast("long").alias("pct_millionths"))
 
 
 @query("wn1_share_within", "WITH " + LINES + " SELECT pedido, grado::BIGINT AS grado, round(tallos / sum(tallos) OVER (PARTITION BY pedido), 6) AS share FROM l")
@@ -87,12 +87,14 @@ def al27(spark, sf):
     return alloc.split_by_effort(d.join(t, "ciclo").withColumn("e", F.sqrt("w")), ["ciclo"], "total", "e").select("ciclo", "fecha", r6("units"))
 
 
-@query("al5_override_share", "WITH " + LINES + """, g AS (SELECT ciclo, grado, sum(tallos) AS t FROM l GROUP BY 1, 2), s AS (SELECT ciclo, grado, t / sum(t) OVER (PARTITION BY ciclo) AS share FROM g), r AS (SELECT grado, avg(share) AS share FROM s WHERE grado <= 3 GROUP BY 1),
-m AS (SELECT ciclo, s.grado, coalesce(r.share, s.share) AS share, CASE WHEN r.share IS NULL THEN 'PLAN' ELSE 'REAL' END AS source FROM s LEFT JOIN r ON s.grado = r.grado) SELECT ciclo, grado::BIGINT AS grado, source, round(share / sum(share) OVER (PARTITION BY ciclo), 6) AS share FROM m""")
+@query("al5_override_share", "WITH " + LINES + """, g AS (SELECT ciclo, grado, sum(tallos) AS t, sum(peso) AS w, count(*) AS n FROM l GROUP BY 1, 2), s AS (SELECT ciclo, grado, t / sum(t) OVER (PARTITION BY ciclo) AS share FROM g), r AS (SELECT ciclo, grado, CASE WHEN n >= 60 THEN w / sum(w) OVER (PARTITION BY ciclo) END AS share FROM g),
+m AS (SELECT s.ciclo, s.grado, coalesce(r.share, s.share) AS share, CASE WHEN r.share IS NULL THEN 'PLAN' ELSE 'REAL' END AS source FROM s LEFT JOIN r ON s.ciclo = r.ciclo AND s.grado = r.grado) SELECT ciclo, grado::BIGINT AS grado, source, round(share / sum(share) OVER (PARTITION BY ciclo), 6) AS share FROM m""")
 def al5(spark, sf):
-    g = windows.share_within(lines(spark, sf).groupBy("ciclo", "grado").agg(F.sum("tallos").alias("t")), ["ciclo"], "t").select("ciclo", "grado", "share")
-    real = g.where("grado <= 3").groupBy("grado").agg(F.avg("share").alias("share"))
-    return alloc.override_share(g, real, ["grado"], ["ciclo"]).select("ciclo", long("grado"), "source", r6("share"))
+    """Shares by weight stand in for observed ones, where a grade has lines enough to tell."""
+    g = lines(spark, sf).groupBy("ciclo", "grado").agg(F.sum("tallos").alias("t"), F.sum("peso").alias("w"), F.count(F.lit(1)).alias("n"))
+    real = windows.share_within(g, ["ciclo"], "w").withColumn("share", F.when(F.col("n") >= 60, F.col("share")))
+    plan = windows.share_within(g, ["ciclo"], "t").select("ciclo", "grado", "share")
+    return alloc.override_share(plan, real, ["ciclo", "grado"], ["ciclo"]).select("ciclo", long("grado"), "source", r6("share"))
 
 
 @query("al8_cap_redistribute", "WITH " + DAILY + """, c AS (SELECT *, 30.0 + (day(fecha) % 7) AS cap FROM d), b AS (SELECT *, least(x, cap) AS b FROM c), e AS (SELECT *, sum(x - b) OVER (PARTITION BY ciclo) AS e, sum(cap - b) OVER (PARTITION BY ciclo) AS s FROM b)
@@ -239,10 +241,11 @@ def gr6(spark, sf):
     return grids.infer_milestones(h, h, ["seg"], "a", {"finish": "n"}, 300).select("pedido", "finish", long("finish_level"))
 
 
-@query("gr8_residual_dataset", "WITH r AS (SELECT l_suppkey AS s, l_shipdate::DATE AS d, sum(l_extendedprice * (1 - l_discount)) AS p, sum(l_extendedprice) AS y FROM lineitem GROUP BY 1, 2) SELECT s, d, CASE WHEN s % 3 > 0 THEN round(greatest(-0.05, least(0.05, ln((y + 1e-6) / (p + 1e-6)))), 6) END AS target, s % 3 > 0 AS in_real FROM r WHERE d <= DATE '1995-06-30'")
+@query("gr8_residual_dataset", "WITH r AS (SELECT l_suppkey AS s, l_shipdate::DATE AS d, sum(l_extendedprice * (1 - l_discount)) AS p, sum(l_extendedprice) AS y, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2) SELECT s, d, CASE WHEN q >= 20 THEN round(greatest(-0.05, least(0.05, ln((y + 1e-6) / (p + 1e-6)))), 6) END AS target, q >= 20 AS in_real FROM r WHERE d <= DATE '1995-06-30'")
 def gr8(spark, sf):
-    r = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("s"), F.to_date("l_shipdate").alias("d")).agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("p"), F.sum("l_extendedprice").alias("y"))
-    return grids.residual_dataset(r.drop("y"), r.where("s % 3 > 0"), ["s", "d"], "p", "y", "log", (-0.05, 0.05), "d", "1995-06-30").select("s", "d", r6("target"), "in_real")
+    r = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("s"), F.to_date("l_shipdate").alias("d")).agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("p"), F.sum("l_extendedprice").alias("y"), F.sum("l_quantity").alias("q"))
+    real = r.withColumn("y", F.when(F.col("q") >= 20, F.col("y")))  # small days were not weighed
+    return grids.residual_dataset(r.select("s", "d", "p"), real, ["s", "d"], "p", "y", "log", (-0.05, 0.05), "d", "1995-06-30").select("s", "d", r6("target"), "in_real")
 
 
 PRED = LINES + ', e AS (SELECT *, peso * (1 - "desc") AS p FROM l)'
