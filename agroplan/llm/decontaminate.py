@@ -127,13 +127,20 @@ def phrase_candidates(index: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", terms: int = 2, slop: int = 10) -> DataFrame:
-    """``(item_id, doc_id, begin)``: places where the item's rarest words lie within ``slop`` words of the rarest one."""
+    """``(item_id, doc_id, begin)``: places where the item's rarest words lie within ``slop`` words of the rarest one.
+
+    Of an item's words those count that occur in the corpus; ties go to the earlier word, an item without any is not found.
+    """
     picked, out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), None
     spark = docs.sparkSession
     for names, words in item_blocks(items, item_id, item_text):
         vocabulary = np.unique(np.concatenate(words))
         counts = term_counts(picked, vocabulary)
-        rare = [sorted(set(np.searchsorted(vocabulary, w).tolist()), key=lambda t: (counts[t], t))[:terms] for w in words]
+        # words that occur nowhere in the corpus say nothing; equally rare ones go by their first place in the item
+        rare = [sorted((t for t in dict.fromkeys(np.searchsorted(vocabulary, w).tolist()) if counts[t]), key=lambda t: counts[t])[:terms] for w in words]
+        names, rare = [n for n, r in zip(names, rare, strict=True) if r], [r for r in rare if r]
+        if not rare:
+            continue
         index = positional_index(picked, vocabulary, np.unique(np.concatenate(rare)))
         asked = spark.createDataFrame([(n, r) for n, r in zip(names, rare, strict=True)], "item_id string, terms array<long>")
         found = asked.withColumn("term", F.col("terms")[0]).join(index, "term").select("item_id", "terms", "doc_id", "positions")

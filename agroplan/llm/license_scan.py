@@ -3,24 +3,26 @@
 Features are hashed word 1-grams and 2-grams (A-Z lower-cased, words of letters, digits and all beyond
 ASCII), counts over the square root of their number. A multinomial logistic regression is trained on
 noisy, embedded and cut copies of the families' notices and, as ``unknown``, on windows of at most
-``sample`` paragraphs of the corpus and on sentences that use licence words otherwise. On held-out
-rows the scores get a temperature (least log loss), and the threshold is set so that at most
-``false_rate`` of the unknown rows pass it.
+``sample`` paragraphs of the corpus and on sentences that use licence words otherwise. On notices
+that were held out as a whole the scores get a temperature (least log loss), and the threshold is set so
+that at most ``false_rate`` of held-out unknown rows pass it; the model is then fitted on all notices.
 
 Scored are every paragraph (a line with a word) and word windows of the lengths ``WINDOWS`` at every
 quarter of their length over each whole text, so that neither line breaks (nor the marks of comments)
 nor the text around a notice matter. Windows over the threshold that overlap make a region. In a region
 and ``REACH`` words around it a family is confirmed where enough word pairs of one of its notices lie
-close together, half of those that tell it from all other families among them; of overlapping places the one
-counts whose pairs fit the notice best. The classifier counts the ``VARIETIES`` of a family as the family.
+close together, half of those that tell it from all other families and its version numbers among them; of
+overlapping places the one counts whose pairs fit the notice best. Short names count beside a notice. The classifier counts the ``VARIETIES`` of a family as the family.
 
 All texts are scored, in vectorised steps with the weights (``BUCKETS`` times families, a fixed size)
-broadcast. Null, empty and wordless texts have no paragraph and get no family; repeated rows get equal
-results; other columns are not looked at.
+broadcast. Null, empty and wordless texts have no paragraph and get no family; repeated rows and null
+ids get results of their own; equal scores go to the earlier family, equal fits to the shorter and then
+the earlier place; no documents give no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -37,27 +39,55 @@ WINDOWS, REACH = (4, 8, 16, 32), 48
 UNKNOWN = "unknown"
 #: Notices by family, as their licences word them or as they are commonly abridged. Fixed values.
 NOTICES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "This project is released under the Apache 2.0 license.", "SPDX-License-Identifier: Apache-2.0"],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "This project is licensed under the terms of the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.", "SPDX-License-Identifier: MIT"],
-    "GPL": ["This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.", "Released under the GNU GPL v3.", "SPDX-License-Identifier: GPL-3.0-or-later"],
-    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.", "Released under the BSD 3-Clause License.", "Licensed under the BSD license.", "SPDX-License-Identifier: BSD-3-Clause"],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "This project is released under the Apache 2.0 license."],
+    "MIT": [
+        "Released under the MIT License.", "Licensed under the MIT license.", "This project is licensed under the terms of the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    ],
+    "GPL": [
+        "This work is licensed under the GNU General Public License, version 3.", "This work is licensed under the GNU General Public License, version 2.", "Released under the GNU GPL v3.", "Released under the GNU GPL v2.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
+    ],
+    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.", "Released under the BSD 3-Clause License.", "Released under the BSD 2-Clause License.", "Licensed under the BSD license."],
+    "ISC": ["Released under the ISC License.", "Licensed under the ISC license.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
     "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC0": ["Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Licensed under the Creative Commons Zero 1.0 Universal Public Domain Dedication."],
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Released under the Mozilla Public License 2.0."],
+    "EPL": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0.", "Released under the Eclipse Public License 2.0."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense."],
+    "Zlib": ["Released under the zlib License.", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."],
     "reserved": ["All rights reserved.", "Copyright (c) the authors. All rights reserved.", "No part of this publication may be reproduced without written permission of the publisher."],
 }
-#: Licences that differ from a family by a word or two: the family that the classifier takes them for, and their notices.
+#: Licences that differ from a family by a word or two: the family that the classifier takes them for, and their notices. Fixed values.
 VARIETIES = {
-    "LGPL": ("GPL", ["This work is licensed under the GNU Lesser General Public License, version 3.", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.", "Released under the GNU LGPL v3.", "SPDX-License-Identifier: LGPL-3.0-or-later"]),
-    "AGPL": ("GPL", ["This work is licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.", "Released under the GNU AGPL v3.", "SPDX-License-Identifier: AGPL-3.0-or-later"]),
+    "LGPL": ("GPL", ["This work is licensed under the GNU Lesser General Public License, version 3.", "This work is licensed under the GNU Lesser General Public License, version 2.1.", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.", "Released under the GNU LGPL v3."]),
+    "AGPL": ("GPL", ["This work is licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.", "Released under the GNU AGPL v3."]),
     **{
         f"CC-{short}": (family, [f"Licensed under CC {short} 4.0.", f"This work is licensed under a Creative Commons Attribution-{name} 4.0 International License."])
         for family, short, name in (("CC-BY", "BY-SA", "ShareAlike"), ("CC-BY", "BY-ND", "NoDerivatives"), ("CC-BY-NC", "BY-NC-SA", "NonCommercial-ShareAlike"), ("CC-BY-NC", "BY-NC-ND", "NonCommercial-NoDerivatives"))
     },
 }
-#: Also confirmed and trained on: earlier versions of the Creative Commons licences.
-EARLIER = {family: [n.replace("4.0 International", "3.0 Unported").replace("4.0", "3.0") for n in notices] for family, notices in [*NOTICES.items(), *((v, n) for v, (_, n) in VARIETIES.items())] if family.startswith("CC")}
-WORDED = {family: notices + EARLIER.get(family, []) for family, notices in [*NOTICES.items(), *((v, n) for v, (_, n) in VARIETIES.items())]}
+#: Identifiers of the SPDX list by family or variety. Fixed values.
+IDENTIFIERS = {
+    "Apache-2.0": "Apache-2.0", "MIT": "MIT", "GPL": "GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later", "LGPL": "LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later", "AGPL": "AGPL-3.0-only AGPL-3.0-or-later", "BSD": "BSD-2-Clause BSD-3-Clause", "ISC": "ISC",
+    "CC-BY-NC": "CC-BY-NC-4.0", "CC-BY": "CC-BY-4.0", "CC-BY-SA": "CC-BY-SA-4.0", "CC-BY-ND": "CC-BY-ND-4.0", "CC-BY-NC-SA": "CC-BY-NC-SA-4.0", "CC-BY-NC-ND": "CC-BY-NC-ND-4.0", "CC0": "CC0-1.0", "MPL": "MPL-2.0", "EPL": "EPL-1.0 EPL-2.0", "Unlicense": "Unlicense", "Zlib": "Zlib",
+}
+#: Short names, which count only beside a notice that is confirmed ("... or the MIT license"). Fixed values.
+NAMES = {
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 license"], "MIT": ["MIT license"], "GPL": ["GNU General Public License", "GNU GPL"], "LGPL": ["GNU Lesser General Public License", "GNU LGPL"], "AGPL": ["GNU Affero General Public License", "GNU AGPL"],
+    "BSD": ["BSD license", "BSD 3-Clause License", "BSD 2-Clause License"], "ISC": ["ISC license"], "CC-BY": ["CC BY 4.0"], "CC0": ["CC0 1.0"], "MPL": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0"], "EPL": ["Eclipse Public License 2.0"], "Zlib": ["zlib license"],
+}
+#: Words that may stand between a confirmed notice and a short name.
+BESIDE = 4
+_PLAIN = [*NOTICES.items(), *((v, n) for v, (_, n) in VARIETIES.items())]
+#: Also confirmed and trained on: earlier versions of the Creative Commons licences, and the identifiers' lines.
+WORDED = {
+    family: notices
+    + [n.replace("4.0 International", f"{v} {port}").replace("4.0", v) for v, port in (("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")) for n in notices if family.startswith("CC-")]
+    + [f"SPDX-License-Identifier: {i}" for i in IDENTIFIERS.get(family, "").split()]
+    for family, notices in _PLAIN
+}
 OTHERWISE = [
     "The new version was released under pressure from the public.", "He lost his driving license in general traffic.", "Work is licensed by the city and permitted on weekends.", "The rights of the people are reserved for the court to decide.",
     "She was granted permission to copy the documents.", "The license fee rose by two percent.", "All seats are reserved for members.", "A public foundation for creative work in common.", "Version two of the software was free.",
@@ -123,15 +153,18 @@ def _hits(model: dict, words: np.ndarray, pairs: np.ndarray, lines: np.ndarray,
     return hits[np.lexsort((hits[:, 1], hits[:, 0]))]
 
 
-def training_rows(negatives: list[str], copies: int = 40, seed: int = 7) -> list[tuple[str, str]]:
-    """``(family, paragraph)``: the notices with words lost, added and put around, cut to windows, and the unknown rows."""
+def training_rows(negatives: list[str], copies: int = 40, seed: int = 7) -> list[tuple[str, str, str]]:
+    """``(family, paragraph, notice)``: the notices with words lost, added and put around, cut to windows, and the unknown rows.
+
+    The copies of a notice name it, so that it can be held out as a whole; unknown rows name themselves.
+    """
     draw, rows = random.Random(seed), []
     fillers = [w for text in negatives for w in text.split()] or ["the"]
     taken_for = {family: family for family in NOTICES} | {variety: family for variety, (family, _) in VARIETIES.items()}
     for worded, notices in WORDED.items():
         family = taken_for[worded]
         for notice in notices:
-            rows.append((family, notice))
+            rows.append((family, notice, notice))
             for copy in range(copies):
                 words = [w for w in notice.split() if draw.random() > 0.08]
                 around = len(words) if copy % 2 else 3
@@ -140,12 +173,12 @@ def training_rows(negatives: list[str], copies: int = 40, seed: int = 7) -> list
                     at = draw.randrange(max(1, len(words) - size + 1))
                     words, around = words[at : at + size], max(0, size - len(words)) // 2
                 words = [*draw.choices(fillers, k=draw.randrange(around + 1)), *words, *draw.choices(fillers, k=draw.randrange(around + 1))]
-                rows.append((family, " ".join(words)))
-    rows += [(UNKNOWN, text) for text in [*negatives, *OTHERWISE * (copies // 4)]]
+                rows.append((family, " ".join(words), notice))
+    rows += [(UNKNOWN, text, text) for text in [*negatives, *OTHERWISE * (copies // 4)]]
     for text in negatives:
         words, size = text.split(), draw.choice(WINDOWS)
         at = draw.randrange(max(1, len(words) - size + 1))
-        rows.append((UNKNOWN, " ".join(words[at : at + size])))
+        rows.append((UNKNOWN, " ".join(words[at : at + size]), text))
     return rows
 
 
@@ -175,21 +208,14 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     classes = [*NOTICES, UNKNOWN]
     rows = training_rows([n for n in unknown_rows(docs, text_col, sample) if not confirmed(n)])
     random.Random(1).shuffle(rows)
-    cut = len(rows) * 4 // 5
-    buckets, bounds, _ = features([t.encode() for _, t in rows[:cut]])
-    each = [np.unique(buckets[a:b], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    seen = np.flatnonzero(np.bincount(np.concatenate([at for at, _ in each]), minlength=BUCKETS) > 1)
-    vectors = []
-    for (at, n), size in zip(each, np.diff(bounds), strict=True):
-        kept = np.isin(at, seen)
-        vectors.append(SparseVector(len(seen), np.searchsorted(seen, at[kept]).tolist(), (n[kept] / np.sqrt(max(1, size))).tolist()))
-    frame = spark.createDataFrame([(float(classes.index(c)), v) for (c, _), v in zip(rows[:cut], vectors, strict=True)], ["label", "features"]).repartition(4)
-    fitted = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, standardization=False).fit(frame)
-    weights = np.zeros((BUCKETS, len(classes)), dtype=np.float32)
-    weights[seen] = fitted.coefficientMatrix.toArray().T
-    model = {"weights": weights, "bias": fitted.interceptVector.toArray(), "temperature": 1.0, "classes": classes}
-    truth = np.array([classes.index(c) for c, _ in rows[cut:]])
-    sums, n = _sums(weights, [t.encode() for _, t in rows[cut:]])
+    aside = held_out_notices()
+    apart = [r[2] in aside or (r[0] == UNKNOWN and int.from_bytes(hashlib.sha1(r[2].encode()).digest()[:4]) % 5 == 0) for r in rows]
+    # temperature and threshold from notices that the model never saw; then the same fit on all of them
+    weights, bias = _fitted(spark, [r for r, held in zip(rows, apart, strict=True) if not held], classes)
+    model = {"weights": weights, "bias": bias, "temperature": 1.0, "classes": classes}
+    held = [r for r, out in zip(rows, apart, strict=True) if out]
+    truth = np.array([classes.index(r[0]) for r in held])
+    sums, n = _sums(weights, [r[1].encode() for r in held])
     losses = {}
     for temperature in np.geomspace(0.25, 4, 17):
         p = _calibrated(model | {"temperature": temperature}, sums, n)
@@ -200,18 +226,41 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     model["threshold"] = max(0.5, float(false[min(len(false) - 1, int(len(false) * (1 - false_rate)))])) if len(false) else 0.5
     picked = np.where(p[:, :-1].max(axis=1) >= model["threshold"], p[:, :-1].argmax(axis=1), len(classes) - 1)
     model["held_out_accuracy"] = float((picked == truth).mean())
+    model["weights"], model["bias"] = _fitted(spark, rows, classes)
     return model
 
 
+def held_out_notices() -> set[str]:
+    """Of each family or variety with four notices or more, every fourth: whole notices that calibrate."""
+    return {n for notices in WORDED.values() for n in notices[3::4]}
+
+
+def _fitted(spark: SparkSession, rows: list[tuple], classes: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights by bucket and class, and the classes' biases, of ``(family, paragraph, ..)``."""
+    buckets, bounds, _ = features([r[1].encode() for r in rows])
+    each = [np.unique(buckets[a:b], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    seen = np.flatnonzero(np.bincount(np.concatenate([at for at, _ in each]), minlength=BUCKETS) > 1)
+    vectors = []
+    for (at, n), size in zip(each, np.diff(bounds), strict=True):
+        kept = np.isin(at, seen)
+        vectors.append(SparseVector(len(seen), np.searchsorted(seen, at[kept]).tolist(), (n[kept] / np.sqrt(max(1, size))).tolist()))
+    frame = spark.createDataFrame([(float(classes.index(r[0])), v) for r, v in zip(rows, vectors, strict=True)], ["label", "features"]).repartition(4)
+    fitted = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, standardization=False).fit(frame)
+    weights = np.zeros((BUCKETS, len(classes)), dtype=np.float32)
+    weights[seen] = fitted.coefficientMatrix.toArray().T
+    return weights, fitted.interceptVector.toArray()
+
+
 def _pairs(texts: list[str]) -> list[list[int]]:
     words, bounds = word_hashes([t.encode() for t in texts], alnum_words())
     return [window_hashes(words[a:b], 2).tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def _notices() -> tuple[list[tuple], dict[int, list[int]]]:
-    """``(family, pairs, own pairs, longest span)`` of every notice, and the notices of every word pair.
+    """``(family, pairs, own pairs, longest span, versions)`` of every notice, and the notices of every word pair.
 
-    Own pairs have a word that no other family's notice has; where there are none, no other family's notice has the pair.
+    Own pairs have a word that no other family's notice has; where there are none, no other family's
+    notice has the pair. ``versions``: for each number in the notice, the pairs with it.
     """
     flat = [(family, notice) for family, notices in WORDED.items() for notice in notices]
     words, bounds = word_hashes([notice.encode() for _, notice in flat], alnum_words())
@@ -225,20 +274,30 @@ def _notices() -> tuple[list[tuple], dict[int, list[int]]]:
             for key in (pair, *two):
                 families.setdefault(key, set()).add(family)
     table = []
+    numbers = set(word_hashes([str(i).encode() for i in range(100)] + [f"v{i}".encode() for i in range(100)], alnum_words())[0].tolist())
     for family, pairs in listed:
         named = frozenset(p for p, two in pairs.items() if any(len(families[w]) == 1 for w in two))
         own = named or frozenset(p for p in pairs if len(families[p]) == 1)
-        table.append((family, frozenset(pairs), own, len(pairs) + len(pairs) // 2 + 2))
+        versions = [frozenset(p for p, two in pairs.items() if w in two) for w in {w for two in pairs.values() for w in two} & numbers]
+        table.append((family, frozenset(pairs), own, len(pairs) + len(pairs) // 2 + 2, versions))
     return table, holders
 
 
 TABLE, HOLDERS = _notices()
+#: Short names by their first pair: family and pairs.
+SHORT: dict[int, list[tuple[str, list[int]]]] = {}
+for _family, _pairs_of in ((f, p) for f, names in NAMES.items() for p in _pairs(names)):
+    SHORT.setdefault(_pairs_of[0], []).append((_family, _pairs_of))
 
 
 def matches(pairs: list[int], least: float = 0.6) -> list[tuple[str, int, int, float]]:
     """``(family, first, last, fit)``: where at least ``least`` of a notice's word pairs lie close together.
 
-    ``fit`` is the Jaccard similarity of the notice's pairs and those of the place; it decides between places that overlap.
+    ``fit`` is the Jaccard similarity of the notice's pairs and those of the place. For each end the start
+    of the best fit counts, so that a place does not reach back to words that it shares with another
+    notice; of places that overlap the best fit stays. Half of the pairs that tell the family from all
+    others have to be there, and every number of the notice (its version). A short name (``NAMES``) counts
+    beside a confirmed notice, with at most ``BESIDE`` words between them.
     """
     places: dict[int, list[tuple[int, int]]] = {}
     for at, pair in enumerate(pairs):
@@ -246,27 +305,33 @@ def matches(pairs: list[int], least: float = 0.6) -> list[tuple[str, int, int, f
             places.setdefault(i, []).append((at, pair))
     found = []
     for i, seen in places.items():
-        family, all_, own, span = TABLE[i]
-        held: dict[int, int] = {}
-        low, best = 0, {}
-        for at, pair in seen:
-            held[pair] = held.get(pair, 0) + 1
-            while at - seen[low][0] >= span or held[seen[low][1]] > 1:
-                old = seen[low][1]
-                held[old] -= 1
-                if not held[old]:
-                    del held[old]
-                low += 1
-            if len(held) >= least * len(all_) and 2 * sum(p in held for p in own) >= len(own):
-                first = seen[low][0]
-                fit = len(held) / (len(all_) + at - first + 1 - len(held))
-                if first not in best or fit >= best[first][3]:
-                    best[first] = (family, first, at, fit)
-        found += best.values()
+        family, all_, own, span, versions = TABLE[i]
+        if len({pair for _, pair in seen}) < least * len(all_):
+            continue
+        for k, (at, _) in enumerate(seen):
+            held: set[int] = set()
+            best = None
+            for first, pair in reversed(seen[: k + 1]):
+                if at - first >= span:
+                    break
+                held.add(pair)
+                if len(held) >= least * len(all_) and 2 * len(held & own) >= len(own) and all(v & held for v in versions):
+                    fit = len(held) / (len(all_) + at - first + 1 - len(held))
+                    if best is None or fit > best[3]:
+                        best = (family, first, at, fit)
+            if best:
+                found.append(best)
     taken: list[tuple[str, int, int, float]] = []
     for match in sorted(found, key=lambda m: (-m[3], m[1] - m[2], m[1], m[0])):
         if all(match[2] < t[1] or match[1] > t[2] for t in taken):
             taken.append(match)
+    if taken:
+        named = [(family, at, at + len(name) - 1, 1.0) for at, pair in enumerate(pairs) for family, name in SHORT.get(pair, ()) if pairs[at : at + len(name)] == name]
+        named = sorted((m for m in named if all(m[2] < t[1] or m[1] > t[2] for t in taken)), key=lambda m: (m[1] - m[2], m[1], m[0]))
+        beside = True
+        while beside:
+            beside = [m for m in named if any(-1 <= gap <= BESIDE + 1 for t in taken for gap in (m[1] - t[2] - 1, t[1] - m[2] - 1)) and all(m[2] < t[1] or m[1] > t[2] for t in taken)][:1]
+            taken += beside
     return sorted(taken, key=lambda m: m[1])
 
 

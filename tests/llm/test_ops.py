@@ -350,13 +350,78 @@ def test_loser_tree():
 def test_op1_finds_licences(spark):
     docs, _ = documents(spark)
     model = license_scan.train(docs, sample=400)
-    assert model["held_out_accuracy"] > 0.95
+    assert model["held_out_accuracy"] > 0.75  # of notices that the fit never saw
     texts = [None, "", "Released under the MIT License.", "Some prose here.\nThis work is licensed under the GNU General Public License, version 3.", "He lost his driving license in general traffic.", "Licensed under CC BY-NC 4.0."]
     odd = spark.createDataFrame([(i, t, 0.0) for i, t in enumerate(texts)], "doc_id long, text string, score double")
     got = {r.doc_id: r.families for r in license_scan.scan(odd, model).collect()}
     assert got == {0: [], 1: [], 2: ["MIT"], 3: ["GPL"], 4: [], 5: ["CC-BY-NC"]}
 
 
+def brute_places(text):
+    """Every stretch of every notice that fits, and of overlapping ones the best: no index, no moving windows."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})))
+    two = lambda t: list(zip(words(t), words(t)[1:], strict=False))
+    bank = [(f, two(n)) for f, notices in license_scan.WORDED.items() for n in notices]
+    with_word = lambda w: {f for f, p in bank if any(w in x for x in p)}
+    pairs, fits = two(text), []
+    for family, notice in bank:
+        all_ = set(notice)
+        if not all_ & set(pairs):
+            continue
+        own = {p for p in all_ if any(with_word(w) == {family} for w in p)} or {p for p in all_ if {f for f, q in bank if p in q} == {family}}
+        numbers = {w for p in all_ for w in p if re.fullmatch(r"v?\d{1,2}", w) and str(int(w.strip("v"))) == w.strip("v")}
+        span = len(all_) + len(all_) // 2 + 2
+        for z in range(len(pairs)):
+            best = None
+            for a in range(z, max(-1, z - span), -1):
+                held = all_ & set(pairs[a : z + 1])
+                if pairs[a] in all_ and pairs[z] in all_ and len(held) >= 0.6 * len(all_) and 2 * len(held & own) >= len(own) and all(any(w in p for p in held) for w in numbers):
+                    fit = len(held) / (len(all_) + z - a + 1 - len(held))
+                    if best is None or fit > best[3]:
+                        best = (family, a, z, fit)
+            fits += [best] if best else []
+    taken = []
+    for m in sorted(fits, key=lambda m: (-m[3], m[1] - m[2], m[1], m[0])):
+        if all(m[2] < t[1] or m[1] > t[2] for t in taken):
+            taken.append(m)
+    return sorted(taken, key=lambda m: m[1])
+
+
+def test_op1_matches_brute_force(monkeypatch):
+    monkeypatch.setattr(license_scan, "SHORT", {})
+    draw = random.Random(14)
+    notices = [n for ns in license_scan.WORDED.values() for n in ns]
+    seen = 0
+    for _ in range(60):
+        words = []
+        for _ in range(draw.randrange(1, 4)):
+            own = [w for w in draw.choice(notices).split() if draw.random() > 0.1]
+            words += [*draw.choices("the of and harvest under license 2.0 version".split(), k=draw.randrange(4)), *own]
+        text = " ".join(words)
+        got = license_scan.matches(license_scan._pairs([text])[0])
+        assert got == brute_places(text), text
+        seen += len(got)
+    assert seen > 60
+
+
+def test_op1_notices_are_held_out_whole(spark):
+    rows = license_scan.training_rows(["some prose of the corpus"] * 5)
+    aside = license_scan.held_out_notices()
+    assert len(aside) > 15 and aside < {r[2] for r in rows} and not aside & {r[1] for r in rows if r[2] not in aside}
+    model = license_scan.train(spark.createDataFrame([], "doc_id long, text string"))
+    assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string"), model).count() == 0
+    odd = spark.createDataFrame([(None, "Released under the MIT License."), (1, None), (1, "Released under the MIT License.")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.families) for r in license_scan.scan(odd, model).collect()) == [(0, ["MIT"]), (1, []), (1, ["MIT"])]
+
+
+def test_proximity_of_items_with_unknown_words(spark):
+    """Words outside the corpus are passed over; an item of unknown words only is not found."""
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (2, "alpha " + "x " * 30 + "beta")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "nowhere epsilon neither zeta"), (2, "nowhere neither"), (3, None)], "item_id long, text string")
+    assert [(r.item_id, r.doc_id, r.begin) for r in decontaminate.proximity_matches(docs, items).collect()] == [("1", 1, 4)]
+    assert decontaminate.proximity_matches(docs, items.where("item_id > 1")).count() == 0
+
+
 def test_op10_long_words(spark):
     draw = random.Random(9)
     unspaced = ["".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(90)) for _ in range(3)]
@@ -428,7 +493,18 @@ def test_op1_wrapped_and_embedded(spark):
         "Licensed under CC BY-SA 4.0.": ["CC-BY-SA"],
         "Licensed under CC BY-NC-ND 4.0.": ["CC-BY-NC-ND"],
         "Released under the GNU LGPL v3.": ["LGPL"],
-        "SPDX-License-Identifier: Zlib": [],
+        "SPDX-License-Identifier: Zlib": ["Zlib"],
+        "SPDX-License-Identifier: Foo-1.0": [],
+        "SPDX-License-Identifier: GPL-2.0-only": ["GPL"],
+        "Licensed under the MIT license and the Apache License, Version 2.0.": ["Apache-2.0", "MIT"],
+        "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": ["Apache-2.0", "MIT"],
+        "Licensed under the Apache License, Version 2.0, or the MIT license.": ["Apache-2.0", "MIT"],
+        "Licensed under the Apache License, Version 1.1.": [],
+        "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available here.": ["EPL"],
+        f"{prose} This is free and unencumbered software released into the public domain. {prose}": ["Unlicense"],
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": ["ISC"],
+        "Released under CC0 1.0.": ["CC0"],
+        f"{prose} He compared an MIT license plate with the Apache. {prose}": [],
         "This project is released under the Foo 2.0 license.": [],
         prose: [],
     }
