@@ -54,12 +54,14 @@ def _with_neighbours(both: DataFrame, by: list[str], ahead: bool) -> DataFrame:
     the first right row of those behind. A key has at most as many carried rows as slices.
     """
     cut = sliced(both, "__ts")
-    at = F.when(F.col("__side") == 0, F.struct("__ts", "__r"))
-    edges = cut.groupBy(*by, "__slice").agg(F.max(at).alias("__last"), F.min(at).alias("__first"))
-    order = W.partitionBy(*by).orderBy("__slice")  # a row for each slice
-    carried = [edges.select(*by, "__slice", F.last("__last", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1)).alias("__c"), F.lit(0).alias("__part"))]
+    # the right rows' edges by slice, and the slices that have left rows: the left side only counts
+    at = F.struct("__ts", "__r")
+    edges = cut.where("__side = 0").groupBy(*by, "__slice").agg(F.max(at).alias("__last"), *([F.min(at).alias("__first")] if ahead else []))
+    places = edges.unionByName(cut.where("__side = 1").select(*by, "__slice").distinct(), allowMissingColumns=True)
+    order = W.partitionBy(*by).orderBy("__slice")  # two rows for each slice
+    carried = [places.select(*by, "__slice", F.last("__last", ignorenulls=True).over(order.rangeBetween(W.unboundedPreceding, -1)).alias("__c"), F.lit(0).alias("__part"))]
     if ahead:
-        carried.append(edges.select(*by, "__slice", F.first("__first", ignorenulls=True).over(order.rowsBetween(1, W.unboundedFollowing)).alias("__c"), F.lit(2).alias("__part")))
+        carried.append(places.select(*by, "__slice", F.first("__first", ignorenulls=True).over(order.rangeBetween(1, W.unboundedFollowing)).alias("__c"), F.lit(2).alias("__part")))
     rows = reduce(DataFrame.unionByName, carried).where("__c is not null").select(*by, "__slice", "__part", "__c.*", F.lit(0).alias("__side"))
     return cut.withColumn("__part", F.lit(1)).unionByName(rows, allowMissingColumns=True)
 

@@ -92,42 +92,56 @@ def asof_snapshot(series: DataFrame, entities: DataFrame, by: list[str], ts: str
     return result.drop(*(f"{t}{n}" for t in ("last", "base") for n in names))
 
 
+#: Rows of a day that are replayed together.
+BLOCK = 64
+
+
 def clamped_balance(df: DataFrame, keys: list[str], ts: str, delta: str, lo: float, hi: float, start: float = 0.0) -> DataFrame:
     """Running balance ``clip(previous + delta, lo, hi)`` and the balance before it, by key.
 
-    A step is the map x -> min(hi, max(lo, x + s)), and such maps are closed under composition. Each
-    (key, day) folds its steps into one map, and each (key, month) the maps of its days; a scan over the
-    few months carries the balance, then one over a month's days, and each day replays its rows from
-    there. Two stations with long series thus use many tasks, and no list is longer than a day's rows, a
-    month's days or a series' months. Null deltas count as 0.
+    A step is the map x -> min(hi, max(lo, x + s)), and such maps are closed under composition. The rows
+    of a (key, day) are cut into blocks of ``BLOCK``, each of which folds its steps into one map; blocks
+    fold into days, days into months. A scan over each level's few maps carries the balance down again,
+    and each block replays its rows from there. Two stations with long series thus use many tasks, and
+    however dense a day is, no list holds more than a block's rows, a day's blocks, a month's days or a
+    series' months. Null deltas count as 0; equal times go by delta.
     """
     from .joins import enrich_null_safe
 
-    step = F.coalesce(F.col(delta), F.lit(0.0))
-    chunks = df.groupBy(*keys, F.date_trunc("month", ts).alias("__m"), F.date_trunc("day", ts).alias("__d")).agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), step.alias("s"), F.struct(*df.columns).alias("row")))).alias("rows"))
     clip = lambda x, a, b: F.least(b, F.greatest(a, x))
-    L, H = F.lit(float(lo)), F.lit(float(hi))
     none = F.struct(F.lit(0.0).alias("s"), F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"))
 
     def then(f: Column, g: Column) -> Column:
         return F.struct((f["s"] + g["s"]).alias("s"), clip(f["lo"] + g["s"], g["lo"], g["hi"]).alias("lo"), clip(f["hi"] + g["s"], g["lo"], g["hi"]).alias("hi"))
 
-    def before(map_: str, by: list[str], order: str) -> Column:
-        return F.collect_list(map_).over(W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    def apply(f: Column, x: Column) -> Column:
+        return clip(x + f["s"], f["lo"], f["hi"])
 
-    def through(maps: Column, x: Column) -> Column:
-        return F.aggregate(maps, x, lambda x, f: clip(x + f["s"], f["lo"], f["hi"]))
+    def folded(rows: DataFrame, by: list[str], place: str) -> DataFrame:
+        """One map for each group: its rows' maps in order of ``place``."""
+        packed = rows.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(place, "__f"))).alias("__l"))
+        return packed.withColumn("__f", F.aggregate("__l", none, lambda acc, r: then(acc, r["__f"]))).drop("__l")
 
-    days = chunks.withColumn("__f", F.aggregate("rows", none, lambda acc, r: then(acc, F.struct(r["s"].alias("s"), L.alias("lo"), H.alias("hi")))))
-    months = days.groupBy(*keys, "__m").agg(F.sort_array(F.collect_list(F.struct("__d", "__f"))).alias("__days"))
-    months = months.withColumn("__f", F.aggregate("__days", none, lambda acc, d: then(acc, d["__f"])))
-    months = months.select(*keys, "__m", through(before("__f", keys, "__m"), F.lit(float(start))).alias("__x0"))
-    placed = enrich_null_safe(days.withColumn("__b", before("__f", [*keys, "__m"], "__d")), months, [*keys, "__m"])
-    carried = placed.withColumn("__x", through(F.col("__b"), F.col("__x0")))
+    def carried(rows: DataFrame, by: list[str], place: str, x0: Column) -> DataFrame:
+        """``__x``: the balance at the start of each row of a level, from ``x0`` at the start of its group."""
+        before = F.collect_list("__f").over(W.partitionBy(*by).orderBy(place).rowsBetween(W.unboundedPreceding, -1))
+        return rows.withColumn("__x", F.aggregate(before, x0, lambda x, f: apply(f, x)))
+
+    step = F.coalesce(F.col(delta), F.lit(0.0)).cast("double")
+    L, H = F.lit(float(lo)), F.lit(float(hi))
+    by_day, by_block = [*keys, "__m", "__d"], [*keys, "__m", "__d", "__b"]
+    d = df.withColumns({"__m": F.date_trunc("month", ts), "__d": F.date_trunc("day", ts), "__s": step})
+    d = d.withColumn("__b", F.floor((F.row_number().over(W.partitionBy(*by_day).orderBy(ts, "__s")) - 1) / BLOCK))
+    blocks = d.groupBy(*by_block).agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col("__s").alias("s"), F.struct(*df.columns).alias("row")))).alias("__rows"))
+    blocks = blocks.withColumn("__f", F.aggregate("__rows", none, lambda acc, r: then(acc, F.struct(r["s"].alias("s"), L.alias("lo"), H.alias("hi")))))
+    days = folded(blocks, by_day, "__b")
+    months = carried(folded(days, [*keys, "__m"], "__d"), keys, "__m", F.lit(float(start))).select(*keys, "__m", F.col("__x").alias("__x0"))
+    days = carried(enrich_null_safe(days, months, [*keys, "__m"]), [*keys, "__m"], "__d", F.col("__x0")).select(*by_day, F.col("__x").alias("__x0"))
+    blocks = carried(enrich_null_safe(blocks, days, by_day), by_day, "__b", F.col("__x0"))
     first = F.array(F.struct(F.lit(None).cast("int").alias("i"), F.col("__x").alias("prev"), F.col("__x").alias("bal")))
-    walked = F.aggregate(F.sequence(F.lit(0), F.size("rows") - 1), first, lambda acc, i: F.concat(acc, F.array(F.struct(i.alias("i"), F.element_at(acc, -1)["bal"].alias("prev"), clip(F.element_at(acc, -1)["bal"] + F.get("rows", i)["s"], L, H).alias("bal")))))
-    out = carried.select("rows", F.explode(F.slice(walked, 2, F.size("rows"))).alias("w"))
-    return out.select(F.get("rows", F.col("w.i")).alias("r"), "w").select("r.row.*", F.col("w.prev").alias("balance_before"), F.col("w.bal").alias("balance"))
+    walked = F.aggregate(F.sequence(F.lit(0), F.size("__rows") - 1), first, lambda acc, i: F.concat(acc, F.array(F.struct(i.alias("i"), F.element_at(acc, -1)["bal"].alias("prev"), clip(F.element_at(acc, -1)["bal"] + F.get("__rows", i)["s"], L, H).alias("bal")))))
+    out = blocks.select("__rows", F.explode(F.slice(walked, 2, F.size("__rows"))).alias("w"))
+    return out.select(F.get("__rows", F.col("w.i")).alias("r"), "w").select("r.row.*", F.col("w.prev").alias("balance_before"), F.col("w.bal").alias("balance"))
 
 
 def wetness_state(balance: Column) -> Column:

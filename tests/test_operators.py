@@ -110,6 +110,20 @@ def test_clamped_balance_is_the_loop(spark):
     assert got[("t", start)] == (0.0, 0.0)
 
 
+def test_clamped_balance_of_a_dense_day(spark):
+    """Many blocks of rows in a day, and equal times by delta."""
+    draw = random.Random(4)
+    start = dt.datetime(2024, 1, 31, 20)
+    data = sorted((start + dt.timedelta(seconds=40 * (i // 2)), round(draw.uniform(-2, 2), 3)) for i in range(1000))
+    df = spark.createDataFrame([("s", t, d) for t, d in data], "k string, ts timestamp, d double").repartition(7)
+    got = [(r.balance_before, r.balance) for r in windows.clamped_balance(df, ["k"], "ts", "d", 0.0, 3.0, 1.0).orderBy("ts", "d").collect()]
+    x, wanted = 1.0, []
+    for _, d in data:
+        wanted.append((x, min(3.0, max(0.0, x + d))))
+        x = wanted[-1][1]
+    assert got == [pytest.approx(w, abs=1e-9) for w in wanted]
+
+
 def test_cap_redistribute_is_the_loop(spark):
     draw = random.Random(5)
     data = [(g, i, draw.uniform(0, 10), draw.uniform(0, 8)) for g in range(30) for i in range(draw.randrange(1, 9))]
