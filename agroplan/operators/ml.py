@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources.shared import written
 from .checks import error_metrics
 from .order import quantiles
 
@@ -72,24 +73,43 @@ def time_split(df: DataFrame, ts: str, q: float = 0.8) -> DataFrame:
     return df.crossJoin(F.broadcast(cut)).withColumn("is_train", F.unix_date(F.col(ts).cast("date")) <= F.col("__cut")).drop("__cut")  # one row
 
 
+def fold_predictions(df: DataFrame, label: str, options: dict[str, Callable[[DataFrame], Callable[[DataFrame], DataFrame]]], ts: str, folds: int = 3) -> DataFrame:
+    """Every candidate's predictions of every validation block, each fitted on the blocks before it, written once.
+
+    ``options``: name -> function that fits on rows and returns a function that adds ``prediction``.
+    Adds ``fold`` and ``candidate`` to the labelled rows; what is compared later reads this table only.
+    """
+    placed = written(time_folds(df.where(F.col(label).isNotNull()), ts, folds), "folds")
+    last, parts = placed.agg(F.max("fold")).first()[0] or 0, []
+    for i in range(1, last + 1):
+        for name, fit in options.items():
+            score = fit(placed.where(F.col("fold") < i))
+            parts.append(score(placed.where(F.col("fold") == i)).select(*placed.columns, F.lit(name).alias("candidate"), F.col("prediction").cast("double").alias("prediction")))
+    return written(reduce(DataFrame.unionByName, parts), "predictions") if parts else placed.limit(0).withColumns({"candidate": F.lit(""), "prediction": F.lit(0.0)})
+
+
+def fold_scores(predictions: DataFrame, label: str, weights: tuple[float, float, float] = (0.6, 0.3, 0.1)) -> tuple[DataFrame, DataFrame]:
+    """Errors by candidate and fold; and ``(candidate, score, best)`` by mean MAE, mean WAPE and deviation of the MAEs."""
+    errors = error_metrics(predictions, label, "prediction", None, ["candidate", "fold"])
+    a, b, c = weights
+    score = a * F.avg("mae") + b * F.avg(F.coalesce("wape", F.lit(0.0))) + c * F.stddev_pop("mae")
+    scores = errors.groupBy("candidate").agg(score.alias("score"))
+    return errors, scores.withColumn("best", F.row_number().over(W.orderBy("score", "candidate")) == 1)  # a row for each candidate
+
+
+def target_metrics(scored: DataFrame, targets: dict[str, str], by: list[str], prefix: str = "pred_") -> DataFrame:
+    """Weighted errors of several targets (name -> weight column) by segment, in one pass over the rows."""
+    cells = F.array(*(F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("y"), F.col(f"{prefix}{t}").cast("double").alias("p"), F.col(w).cast("double").alias("w")) for t, w in targets.items()))
+    return error_metrics(scored.select(*by, F.inline(cells)), "y", "p", "w", ["target", *by])
+
+
 def select_model(df: DataFrame, num: list[str], cat: list[str], label: str, options: dict, ts: str, folds: int = 3, weights: tuple[float, float, float] = (0.6, 0.3, 0.1)):
     """The candidate with the least MAE / WAPE / deviation score over forward folds, fitted on all rows; and the scores."""
-    placed = time_folds(df.where(F.col(label).isNotNull()), ts, folds).cache()
-    scores = {}
-    last = placed.agg(F.max("fold")).first()[0] or 0
-    for name, estimator in options.items():
-        maes, wapes = [], []
-        for i in range(1, last + 1):
-            model = feature_pipeline(num, cat, estimator).fit(placed.where(F.col("fold") < i))
-            m = error_metrics(model.transform(placed.where(F.col("fold") == i)), label, "prediction").first()
-            maes.append(m["mae"])
-            wapes.append(m["wape"] if m["wape"] is not None else 0.0)
-        a, b, c = weights
-        scores[name] = a * float(np.mean(maes)) + b * float(np.mean(wapes)) + c * float(np.std(maes)) if maes else math.inf
+    fits = {name: lambda rows, e=estimator: feature_pipeline(num, cat, e).fit(rows).transform for name, estimator in options.items()}
+    found = fold_scores(fold_predictions(df, label, fits, ts, folds), label, weights)[1].collect()  # a row for each candidate
+    scores = {name: math.inf for name in options} | {r["candidate"]: r["score"] for r in found}
     best = min(scores, key=lambda k: (scores[k], k))
-    fitted = feature_pipeline(num, cat, options[best]).fit(placed)
-    placed.unpersist()
-    return fitted, best, scores
+    return feature_pipeline(num, cat, options[best]).fit(df.where(F.col(label).isNotNull())), best, scores
 
 
 def train_per_level(df: DataFrame, level: str, num: list[str], cat: list[str], label: str, levels: list, constant: float, min_n: int = 20, seed: int = 1) -> Callable[[DataFrame], DataFrame]:
@@ -184,7 +204,7 @@ def zero_inflated(df: DataFrame, num: list[str], cat: list[str], label: str, see
 
 def benchmark_targets(df: DataFrame, targets: dict[str, str], num: list[str], cat: list[str], ts: str, q: float = 0.8):
     """Per target (name -> weight column) the candidate with the least validation MAE: ``{target: (name, model, maes)}``."""
-    split = time_split(df, ts, q).cache()
+    split = written(time_split(df, ts, q), "split")
     out = {}
     for target, weight in targets.items():
         rows = split.where(F.col(target).isNotNull() & (F.col(weight) > 0))
@@ -192,7 +212,6 @@ def benchmark_targets(df: DataFrame, targets: dict[str, str], num: list[str], ca
         maes = {name: error_metrics(m.transform(rows.where("not is_train")), target, "prediction", weight).first()["mae"] for name, m in fitted.items()}
         best = min(maes, key=lambda k: (math.inf if maes[k] is None else maes[k], k))
         out[target] = (best, fitted[best], maes)
-    split.unpersist()
     return out
 
 
