@@ -57,19 +57,61 @@ def field_views(stems: DataFrame, blocks: DataFrame) -> DataFrame:
     return aggs.rollup_levels(placed, [["day", "area", "grado"], ["day", "area"], ["week", "area"], ["day"]], ["tallos"])
 
 
+def _long(df: DataFrame, y: str, models: dict[str, str], weight: str | None, segments: list[str]) -> tuple[DataFrame, list]:
+    """Labelled rows, once for each model ``(model, y, p, w, segments)``, and the grouping sets of a KPI table."""
+    cells = F.array(*(F.struct(F.lit(m).alias("model"), F.col(p).cast("double").alias("p")) for m, p in models.items()))
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    rows = df.select(F.col(y).cast("double").alias("y"), w.alias("w"), *(F.col(s).cast("string").alias(s) for s in segments), F.inline(cells)).where("y is not null and p is not null and w > 0")
+    return rows, [["model"], *(["model", s] for s in segments)]
+
+
+def _by_segment(rows: DataFrame, sets: list, segments: list[str], measures: dict) -> DataFrame:
+    """``(segment, value, model, measures..)``; the grouping id tells which segment a row is of."""
+    keys = ["model", *segments]
+    out = rows.groupingSets([[F.col(k) for k in s] for s in sets], *keys).agg(*(c.alias(n) for n, c in measures.items()), F.grouping_id().alias("__g"))
+    code = lambda s: sum(1 << (len(keys) - 1 - keys.index(k)) for k in keys if k not in s)
+    name, value = F.when(F.col("__g") == code(["model"]), F.lit("ALL")), F.when(F.col("__g") == code(["model"]), F.lit("ALL"))
+    for s in segments:
+        name, value = name.when(F.col("__g") == code(["model", s]), F.lit(s)), value.when(F.col("__g") == code(["model", s]), F.col(s))
+    return out.select(name.alias("segment"), value.alias("value"), "model", *measures)
+
+
 def kpi_table(df: DataFrame, y: str, a: str, b: str, weight: str, segments: list[str]) -> DataFrame:
-    """``(segment, value, metric, model, amount)``: weighted error measures of two models over all and by segment."""
-    parts = []
-    for segment in [None, *segments]:
-        keys = [segment] if segment else []
-        for name, p in (("a", a), ("b", b)):
-            errors = checks.error_metrics(df, y, p, weight, keys)
-            logs = checks.log_ratio_mae(df, y, p, weight, keys)
-            joined = errors.join(logs.select(*keys, "log_mae"), keys) if keys else errors.crossJoin(logs.select("log_mae"))  # one row each
-            value = F.col(segment).cast("string") if segment else F.lit("ALL")
-            long = joined.select(F.lit(segment or "ALL").alias("segment"), value.alias("value"), F.lit(name).alias("model"), *(F.col(m).cast("double").alias(m) for m in ("mae", "bias", "wape", "log_mae")))
-            parts.append(long.unpivot(["segment", "value", "model"], ["mae", "bias", "wape", "log_mae"], "metric", "amount"))
-    return grain.union_all(parts)
+    """``(segment, value, metric, model, amount)``: weighted error measures of two models over all and by segment, in one pass."""
+    rows, sets = _long(df, y, {"a": a, "b": b}, weight, segments)
+    e, w, positive = F.col("p") - F.col("y"), F.col("w"), (F.col("y") > 0) & (F.col("p") > 0)
+    measures = {
+        "mae": F.sum(w * F.abs(e)) / F.sum(w), "bias": F.sum(w * e) / F.sum(w), "wape": F.when(F.sum(w * F.abs("y")) > 0, F.sum(w * F.abs(e)) / F.sum(w * F.abs("y"))),
+        "log_mae": F.sum(F.when(positive, w * F.abs(F.log(F.col("p") / F.col("y"))))) / F.sum(F.when(positive, w)),
+    }
+    return _by_segment(rows, sets, segments, measures).unpivot(["segment", "value", "model"], [*measures], "metric", "amount")
+
+
+def kpi_days(df: DataFrame, y: str, a: str, b: str, segments: list[str]) -> DataFrame:
+    """Starts, horizons and hydration days: MAE, bias, exact hits, within 3 days, and the error's quartiles of two models."""
+    rows, sets = _long(df, y, {"a": a, "b": b}, None, segments)
+    e = F.col("p") - F.col("y")
+    quartiles = {f"p{round(100 * q)}": F.percentile(F.abs(e), q) for q in (0.25, 0.5, 0.75, 0.95)}  # errors in days: few distinct values
+    measures = {"n": F.count(F.lit(1)), "mae": F.avg(F.abs(e)), "bias": F.avg(e), "exact": F.avg((F.rint(F.col("p")) == F.col("y")).cast("double")), "within_3": F.avg((F.abs(e) <= 3).cast("double")), **quartiles}
+    return _by_segment(rows, sets, segments, measures)
+
+
+def kpi_shares(df: DataFrame, groups: list[str], y: str, a: str, b: str, weight: str, segments: list[str]) -> DataFrame:
+    """Shares of two models, each scaled to 1 in its group first: weighted MAE and WAPE, and the part of groups whose raw shares miss 1.
+
+    ``weight``: the group's amount behind its shares.
+    """
+    w = W.partitionBy(*groups)
+    scaled = df
+    for p in (a, b):
+        total = F.sum(p).over(w)
+        scaled = scaled.withColumns({f"__off_{p}": (F.abs(total - 1) > 1e-6).cast("double"), f"__s_{p}": F.when(total > 0, F.col(p) / total)})
+    cells = F.array(*(F.struct(F.lit(m).alias("model"), F.col(f"__s_{p}").alias("p"), F.col(f"__off_{p}").alias("off")) for m, p in (("a", a), ("b", b))))
+    first = (F.row_number().over(w.orderBy(F.lit(0))) == 1).cast("double")
+    rows = scaled.withColumn("__first", first).select(F.col(y).cast("double").alias("y"), F.col(weight).cast("double").alias("w"), "__first", *(F.col(s).cast("string").alias(s) for s in segments), F.inline(cells)).where("y is not null and p is not null and w > 0")
+    e = F.abs(F.col("p") - F.col("y"))
+    measures = {"mae": F.sum(F.col("w") * e) / F.sum("w"), "wape": F.when(F.sum(F.col("w") * F.abs("y")) > 0, F.sum(F.col("w") * e) / F.sum(F.col("w") * F.abs("y"))), "off_rate": F.sum(F.col("off") * F.col("__first")) / F.sum("__first")}
+    return _by_segment(rows, [["model"], *(["model", s] for s in segments)], segments, measures)
 
 
 def offer_audit(offer: DataFrame, gold: DataFrame, cycles: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import windows
@@ -105,6 +106,39 @@ def kpi_post(spark, sf):
     return _kpi(spark, sf, ("destino",))
 
 
+SPANS = LINES + """, o AS (SELECT pedido, max(destino) FILTER (grado = 1) AS destino, (count(*))::VARCHAR AS tamano, date_diff('day', min(fecha), max(fecha)) AS y, 350 + 250 * count(*) AS pa, 500 + 200 * count(*) + avg(tallos) AS pb FROM l GROUP BY 1),
+m AS (SELECT o.*, model, CASE model WHEN 'a' THEN pa ELSE pb END AS p FROM o, (SELECT unnest(['a', 'b']) AS model)), s AS (SELECT 'ALL' AS segment, 'ALL' AS value, model, y, p FROM m UNION ALL SELECT 'destino', destino, model, y, p FROM m UNION ALL SELECT 'tamano', tamano, model, y, p FROM m)"""
+
+
+@query("kpi_harvest_horizon", "WITH " + SPANS + " SELECT segment, value, model, count(*) AS n, round(avg(abs(p - y)), 5) AS mae, round(avg(p - y), 5) AS bias, round(avg((round_even(p, 0) = y)::INT), 6) AS exact, round(avg((abs(p - y) <= 3)::INT), 6) AS within_3, " + ", ".join(f"round(quantile_cont(abs(p - y), {q}), 5) AS p{round(100 * q)}" for q in (0.25, 0.5, 0.75, 0.95)) + " FROM s GROUP BY 1, 2, 3")
+def kpi_horizon(spark, sf):
+    """Days between the first and the last shipment of an order, by two models."""
+    o = lines(spark, sf).groupBy("pedido").agg(F.max(F.when(F.col("grado") == 1, F.col("destino"))).alias("destino"), F.count(F.lit(1)).alias("tamano"), F.datediff(F.max("fecha"), F.min("fecha")).alias("y"), (350 + 250 * F.count(F.lit(1))).alias("pa"), (500 + 200 * F.count(F.lit(1)) + F.avg("tallos")).alias("pb"))
+    out = planning.kpi_days(o, "y", "pa", "pb", ["destino", "tamano"])
+    return out.select("segment", "value", "model", "n", *(F.round(c, 5).alias(c) for c in ("mae", "bias")), r6("exact"), r6("within_3"), *(F.round(c, 5).alias(c) for c in ("p25", "p50", "p75", "p95")))
+
+
+GRADED = LINES + """, g AS (SELECT ciclo, grado, sum(tallos) AS t, sum(peso) AS w, count(*) AS n FROM l GROUP BY 1, 2), s AS (SELECT ciclo, grado, sum(t) OVER c AS amount, t / sum(t) OVER c AS y, w / sum(w) OVER c AS pa, n / 600.0 AS pb FROM g WINDOW c AS (PARTITION BY ciclo)),
+m AS (SELECT ciclo, grado, amount, y, model, CASE model WHEN 'a' THEN pa ELSE pb END AS raw FROM s, (SELECT unnest(['a', 'b']) AS model)), z AS (SELECT *, raw / sum(raw) OVER c AS p, (abs(sum(raw) OVER c - 1) > 1e-6)::INT AS off, (grado = min(grado) OVER c)::INT AS f FROM m WINDOW c AS (PARTITION BY ciclo, model)),
+u AS (SELECT 'ALL' AS segment, 'ALL' AS value, * FROM z UNION ALL SELECT 'grado', grado::VARCHAR, * FROM z)"""
+
+
+@query("kpi_share_grado", "WITH " + GRADED + " SELECT segment, value, model, round(sum(amount * abs(p - y)) / sum(amount), 7) AS mae, round(sum(amount * abs(p - y)) / sum(amount * y), 6) AS wape FROM u GROUP BY 1, 2, 3")
+def kpi_share(spark, sf):
+    """Grade shares of a cycle by weight and by lines, against those of the stems."""
+    g = lines(spark, sf).groupBy("ciclo", "grado").agg(F.sum("tallos").alias("t"), F.sum("peso").alias("w"), F.count(F.lit(1)).alias("n"))
+    g = windows.share_within(windows.share_within(g, ["ciclo"], "t", out="y"), ["ciclo"], "w", out="pa").withColumns({"pb": F.col("n") / 600.0, "amount": F.sum("t").over(Window.partitionBy("ciclo"))})
+    out = planning.kpi_shares(g, ["ciclo"], "y", "pa", "pb", "amount", ["grado"])
+    return out.select("segment", "value", "model", F.round("mae", 7).alias("mae"), r6("wape"))
+
+
+@query("kpi_share_sums", "WITH " + GRADED + " SELECT model, round(sum(off * f) / sum(f), 6) AS off_rate FROM z GROUP BY 1")
+def kpi_share_sums(spark, sf):
+    g = lines(spark, sf).groupBy("ciclo", "grado").agg(F.sum("tallos").alias("t"), F.sum("peso").alias("w"), F.count(F.lit(1)).alias("n"))
+    g = windows.share_within(windows.share_within(g, ["ciclo"], "t", out="y"), ["ciclo"], "w", out="pa").withColumns({"pb": F.col("n") / 600.0, "amount": F.sum("t").over(Window.partitionBy("ciclo"))})
+    return planning.kpi_shares(g, ["ciclo"], "y", "pa", "pb", "amount", ["grado"]).where("segment = 'ALL'").select("model", r6("off_rate"))
+
+
 AUDITED = """, ck AS (SELECT 'AU1_unique' AS check_id, 'offer' AS source, (SELECT sum(n - 1) / sum(n) FROM (SELECT count(*) AS n FROM dy GROUP BY ciclo, day))::DOUBLE AS v UNION ALL SELECT 'AU1_unique', 'gold', (SELECT sum(n - 1) / sum(n) FROM (SELECT count(*) AS n FROM gd GROUP BY ciclo, day, grado))::DOUBLE
 UNION ALL SELECT 'AU4_mass_balance', 'gold', (SELECT count(*) FILTER (abs(coalesce(g, 0) - coalesce(o, 0)) > greatest(1e-3, 1e-5 * abs(coalesce(o, 0)))) FROM (SELECT ciclo, sum(tallos) AS g FROM gd GROUP BY 1) a FULL JOIN (SELECT ciclo, sum(tallos_day) AS o FROM dy GROUP BY 1) b ON a.ciclo = b.ciclo)::DOUBLE
 UNION ALL SELECT 'AU3_coverage', 'gold', (SELECT avg((ciclo NOT IN (SELECT ciclo FROM gd))::INT) FROM cy) UNION ALL SELECT 'AU7_dates', 'gold', (SELECT count(*) FILTER (m < start) FROM (SELECT gd.ciclo, min(day) AS m, any_value(start) AS start FROM gd JOIN cy ON gd.ciclo = cy.ciclo GROUP BY 1))::DOUBLE)
