@@ -153,7 +153,7 @@ def _hits(model: dict, words: np.ndarray, pairs: np.ndarray, lines: np.ndarray,
     return hits[np.lexsort((hits[:, 1], hits[:, 0]))]
 
 
-def training_rows(negatives: list[str], copies: int = 40, seed: int = 7) -> list[tuple[str, str, str]]:
+def training_rows(negatives: list[str], copies: int = 24, seed: int = 7) -> list[tuple[str, str, str]]:
     """``(family, paragraph, notice)``: the notices with words lost, added and put around, cut to windows, and the unknown rows.
 
     The copies of a notice name it, so that it can be held out as a whole; unknown rows name themselves.
@@ -211,7 +211,8 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     aside = held_out_notices()
     apart = [r[2] in aside or (r[0] == UNKNOWN and int.from_bytes(hashlib.sha1(r[2].encode()).digest()[:4]) % 5 == 0) for r in rows]
     # temperature and threshold from notices that the model never saw; then the same fit on all of them
-    weights, bias = _fitted(spark, [r for r, held in zip(rows, apart, strict=True) if not held], classes)
+    frame, seen = _vectors(spark, rows, apart, classes)
+    weights, bias = _fitted(frame.where("not held"), seen, classes)
     model = {"weights": weights, "bias": bias, "temperature": 1.0, "classes": classes}
     held = [r for r, out in zip(rows, apart, strict=True) if out]
     truth = np.array([classes.index(r[0]) for r in held])
@@ -226,7 +227,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     model["threshold"] = max(0.5, float(false[min(len(false) - 1, int(len(false) * (1 - false_rate)))])) if len(false) else 0.5
     picked = np.where(p[:, :-1].max(axis=1) >= model["threshold"], p[:, :-1].argmax(axis=1), len(classes) - 1)
     model["held_out_accuracy"] = float((picked == truth).mean())
-    model["weights"], model["bias"] = _fitted(spark, rows, classes)
+    model["weights"], model["bias"] = _fitted(frame, seen, classes)
     return model
 
 
@@ -235,16 +236,22 @@ def held_out_notices() -> set[str]:
     return {n for notices in WORDED.values() for n in notices[3::4]}
 
 
-def _fitted(spark: SparkSession, rows: list[tuple], classes: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights by bucket and class, and the classes' biases, of ``(family, paragraph, ..)``."""
+def _vectors(spark: SparkSession, rows: list[tuple], apart: list[bool], classes: list[str]) -> tuple[DataFrame, np.ndarray]:
+    """``(label, features, held)`` of ``(family, paragraph, ..)``, and the buckets that two or more rows have, in order."""
     buckets, bounds, _ = features([r[1].encode() for r in rows])
     each = [np.unique(buckets[a:b], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     seen = np.flatnonzero(np.bincount(np.concatenate([at for at, _ in each]), minlength=BUCKETS) > 1)
-    vectors = []
-    for (at, n), size in zip(each, np.diff(bounds), strict=True):
-        kept = np.isin(at, seen)
-        vectors.append(SparseVector(len(seen), np.searchsorted(seen, at[kept]).tolist(), (n[kept] / np.sqrt(max(1, size))).tolist()))
-    frame = spark.createDataFrame([(float(classes.index(r[0])), v) for r, v in zip(rows, vectors, strict=True)], ["label", "features"]).repartition(4)
+    place = np.full(BUCKETS, -1)
+    place[seen] = np.arange(len(seen))
+    out = []
+    for row, held, (at, n), size in zip(rows, apart, each, np.diff(bounds), strict=True):
+        kept = place[at] >= 0
+        out.append((float(classes.index(row[0])), SparseVector(len(seen), place[at[kept]].tolist(), (n[kept] / np.sqrt(max(1, size))).tolist()), held))
+    return spark.createDataFrame(out, ["label", "features", "held"]).repartition(4), seen
+
+
+def _fitted(frame: DataFrame, seen: np.ndarray, classes: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights by bucket and class, and the classes' biases."""
     fitted = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, standardization=False).fit(frame)
     weights = np.zeros((BUCKETS, len(classes)), dtype=np.float32)
     weights[seen] = fitted.coefficientMatrix.toArray().T
