@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import q_alloc, q_joins, q_ml2, q_models, q_planning, q_scalar, q_sequences, q_tables  # noqa: F401
+    from . import q_alloc, q_capacity, q_joins, q_master, q_ml2, q_models, q_planning, q_scalar, q_sequences, q_tables  # noqa: F401
 
 
 def queries() -> dict:
