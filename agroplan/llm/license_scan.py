@@ -14,8 +14,7 @@ and ``REACH`` words around it a family is confirmed where enough word pairs of o
 close together, half of those that tell it from all other families and its version numbers among them; of
 overlapping places the one counts whose pairs fit the notice best. Short names count beside a notice. The classifier counts the ``VARIETIES`` of a family as the family.
 
-All texts are scored, in vectorised steps with the weights (``BUCKETS`` times families, a fixed size)
-broadcast. Null, empty and wordless texts have no paragraph and get no family; repeated rows and null
+All texts are scored, in vectorised steps with the weights (at most ``BUCKETS`` times families) broadcast. Null, empty and wordless texts have no paragraph and get no family; repeated rows and null
 ids get results of their own; equal scores go to the earlier family, equal fits to the shorter and then
 the earlier place; no documents give no rows; other columns are not looked at.
 """
@@ -32,7 +31,7 @@ from pyspark.ml.linalg import SparseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, as_bytes, steps, window_hashes, word_hashes
+from .common import alnum_words, as_bytes, release, steps, window_hashes, word_hashes
 
 BUCKETS = 1 << 18
 WINDOWS, REACH = (4, 8, 16, 32), 48
@@ -118,11 +117,11 @@ def _calibrated(model: dict, sums: np.ndarray, n: np.ndarray) -> np.ndarray:
     return logits
 
 
-def _sums(weights: np.ndarray, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _sums(model: dict, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Summed weights by line and class, and each line's number of features."""
     buckets, bounds, _ = features(lines)
-    sums = np.zeros((len(buckets) + 1, weights.shape[1]))
-    np.cumsum(weights[buckets], axis=0, out=sums[1:])
+    sums = np.zeros((len(buckets) + 1, model["weights"].shape[1]))
+    np.cumsum(model["weights"][model["place"][buckets]], axis=0, out=sums[1:])
     return sums[bounds[1:]] - sums[bounds[:-1]], np.diff(bounds)
 
 
@@ -140,8 +139,8 @@ def _hits(model: dict, words: np.ndarray, pairs: np.ndarray, lines: np.ndarray,
     """Rows (start, end, class, score) of the lines and windows over the threshold, by start."""
     width = model["weights"].shape[1]
     one, two = np.zeros((len(words) + 1, width)), np.zeros((len(pairs) + 1, width))
-    np.cumsum(model["weights"][(words % np.uint64(BUCKETS)).astype(np.int64)], axis=0, out=one[1:])
-    np.cumsum(model["weights"][(pairs % np.uint64(BUCKETS)).astype(np.int64)], axis=0, out=two[1:])
+    np.cumsum(model["weights"][model["place"][words % np.uint64(BUCKETS)]], axis=0, out=one[1:])
+    np.cumsum(model["weights"][model["place"][pairs % np.uint64(BUCKETS)]], axis=0, out=two[1:])
     hits = []
     full = np.diff(lines) > 0
     for start, end in [(lines[:-1][full], lines[1:][full]), *_windows(texts)]:
@@ -202,7 +201,8 @@ def unknown_rows(docs: DataFrame, text_col: str, sample: int) -> list[str]:
 def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rate: float = 0.001) -> dict:
     """Weights, bias, temperature, threshold and class names; ``sample`` bounds the corpus rows used.
 
-    The regression is fitted on the features that two or more training rows have; all others weigh nothing.
+    The regression is fitted on the features that two or more training rows have; all others weigh
+    nothing and share the last row of ``weights``, to which ``place`` leads from a bucket.
     """
     spark: SparkSession = docs.sparkSession
     classes = [*NOTICES, UNKNOWN]
@@ -211,12 +211,13 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     aside = held_out_notices()
     apart = [r[2] in aside or (r[0] == UNKNOWN and int.from_bytes(hashlib.sha1(r[2].encode()).digest()[:4]) % 5 == 0) for r in rows]
     # temperature and threshold from notices that the model never saw; then the same fit on all of them
-    frame, seen = _vectors(spark, rows, apart, classes)
-    weights, bias = _fitted(frame.where("not held"), seen, classes)
-    model = {"weights": weights, "bias": bias, "temperature": 1.0, "classes": classes}
+    frame, place = _vectors(spark, rows, apart, classes)
+    release()
+    weights, bias = _fitted(frame.where("not held"))
+    model = {"weights": weights, "place": place, "bias": bias, "temperature": 1.0, "classes": classes}
     held = [r for r, out in zip(rows, apart, strict=True) if out]
     truth = np.array([classes.index(r[0]) for r in held])
-    sums, n = _sums(weights, [r[1].encode() for r in held])
+    sums, n = _sums(model, [r[1].encode() for r in held])
     losses = {}
     for temperature in np.geomspace(0.25, 4, 17):
         p = _calibrated(model | {"temperature": temperature}, sums, n)
@@ -227,7 +228,9 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = 4000, false_rat
     model["threshold"] = max(0.5, float(false[min(len(false) - 1, int(len(false) * (1 - false_rate)))])) if len(false) else 0.5
     picked = np.where(p[:, :-1].max(axis=1) >= model["threshold"], p[:, :-1].argmax(axis=1), len(classes) - 1)
     model["held_out_accuracy"] = float((picked == truth).mean())
-    model["weights"], model["bias"] = _fitted(frame, seen, classes)
+    del rows, held, sums, p
+    release()
+    model["weights"], model["bias"] = _fitted(frame)
     return model
 
 
@@ -237,25 +240,24 @@ def held_out_notices() -> set[str]:
 
 
 def _vectors(spark: SparkSession, rows: list[tuple], apart: list[bool], classes: list[str]) -> tuple[DataFrame, np.ndarray]:
-    """``(label, features, held)`` of ``(family, paragraph, ..)``, and the buckets that two or more rows have, in order."""
+    """``(label, features, held)`` of ``(family, paragraph, ..)``, and the feature of each bucket: those of two or more rows in order, then one for all others."""
     buckets, bounds, _ = features([r[1].encode() for r in rows])
     each = [np.unique(buckets[a:b], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     seen = np.flatnonzero(np.bincount(np.concatenate([at for at, _ in each]), minlength=BUCKETS) > 1)
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, len(seen), dtype=np.int32)
     place[seen] = np.arange(len(seen))
     out = []
     for row, held, (at, n), size in zip(rows, apart, each, np.diff(bounds), strict=True):
-        kept = place[at] >= 0
+        kept = place[at] < len(seen)
         out.append((float(classes.index(row[0])), SparseVector(len(seen), place[at[kept]].tolist(), (n[kept] / np.sqrt(max(1, size))).tolist()), held))
-    return spark.createDataFrame(out, ["label", "features", "held"]).repartition(4), seen
+    return spark.createDataFrame(out, ["label", "features", "held"]).repartition(4), place
 
 
-def _fitted(frame: DataFrame, seen: np.ndarray, classes: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights by bucket and class, and the classes' biases."""
+def _fitted(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Weights by feature and class, with a last row of zeros, and the classes' biases."""
     fitted = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, standardization=False).fit(frame)
-    weights = np.zeros((BUCKETS, len(classes)), dtype=np.float32)
-    weights[seen] = fitted.coefficientMatrix.toArray().T
-    return weights, fitted.interceptVector.toArray()
+    weights = fitted.coefficientMatrix.toArray().T.astype(np.float32)
+    return np.concatenate([weights, np.zeros_like(weights[:1])]), fitted.interceptVector.toArray()
 
 
 def _pairs(texts: list[str]) -> list[list[int]]:
