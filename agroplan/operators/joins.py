@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .order import sliced
+from .order import sliced, slices
 
 
 def enrich(df: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
@@ -51,9 +51,13 @@ def _with_neighbours(both: DataFrame, by: list[str], ahead: bool) -> DataFrame:
     """Tagged rows ``(by, __ts, __side, __r, __l)`` with their slice, and right rows carried into it.
 
     ``__part`` orders a slice: 0 is the last right row of the slices before, 1 the slice's own rows, 2
-    the first right row of those behind. A key has at most as many carried rows as slices.
+    the first right row of those behind. A key has at most as many carried rows as slices; where all keys
+    are short there is one slice and nothing to carry.
     """
-    cut = sliced(both, "__ts")
+    n = slices(both, by)
+    cut = sliced(both, "__ts", n=n)
+    if n == 1:
+        return cut.withColumn("__part", F.lit(1))
     # the right rows' edges by slice, and the slices that have left rows: the left side only counts
     at = F.struct("__ts", "__r")
     edges = cut.where("__side = 0").groupBy(*by, "__slice").agg(F.max(at).alias("__last"), *([F.min(at).alias("__first")] if ahead else []))
@@ -61,7 +65,7 @@ def _with_neighbours(both: DataFrame, by: list[str], ahead: bool) -> DataFrame:
     order = W.partitionBy(*by).orderBy("__slice")  # two rows for each slice
     carried = [places.select(*by, "__slice", F.last("__last", ignorenulls=True).over(order.rangeBetween(W.unboundedPreceding, -1)).alias("__c"), F.lit(0).alias("__part"))]
     if ahead:
-        carried.append(places.select(*by, "__slice", F.first("__first", ignorenulls=True).over(order.rangeBetween(1, W.unboundedFollowing)).alias("__c"), F.lit(2).alias("__part")))
+        carried.append(places.select(*by, "__slice", F.last("__first", ignorenulls=True).over(W.partitionBy(*by).orderBy(F.desc("__slice")).rangeBetween(W.unboundedPreceding, -1)).alias("__c"), F.lit(2).alias("__part")))
     rows = reduce(DataFrame.unionByName, carried).where("__c is not null").select(*by, "__slice", "__part", "__c.*", F.lit(0).alias("__side"))
     return cut.withColumn("__part", F.lit(1)).unionByName(rows, allowMissingColumns=True)
 
@@ -95,9 +99,10 @@ def nearest_join(left: DataFrame, right: DataFrame, by: list[str], left_x: str,
     tagged_r = right.select(*by, F.col(right_x).alias("__ts"), F.lit(0).alias("__side"), payload.alias("__r"))
     tagged_l = left.select(*by, F.col(left_x).alias("__ts"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__l"))
     both = _with_neighbours(tagged_l.unionByName(tagged_r, allowMissingColumns=True), by, ahead=True)
-    w = W.partitionBy(*by, "__slice").orderBy("__part", "__ts", "__side", "__r")
-    back = F.last("__r", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
-    ahead = F.first("__r", ignorenulls=True).over(w.rowsBetween(W.currentRow, W.unboundedFollowing))
+    place, group = ("__part", "__ts", "__side", "__r"), W.partitionBy(*by, "__slice")
+    upto = lambda order: F.last("__r", ignorenulls=True).over(group.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))
+    # the rows ahead are met by walking back: a frame to the group's end would be read anew for each row
+    back, ahead = upto(place), upto([F.desc(c) for c in place])
     both = both.withColumns({"__b": back, "__f": ahead}).where("__side = 1").withColumn("__x", F.col("__ts"))
     to_back, to_ahead = F.col("__x") - F.col("__b.x"), F.col("__f.x") - F.col("__x")
     best = F.when(F.col("__f").isNull() | (to_back <= to_ahead), F.col("__b")).otherwise(F.col("__f"))

@@ -16,6 +16,9 @@ from pyspark.sql import Window as W
 #: Ranges of a column, and the accuracy of the sketch that finds them.
 RANGES, ACCURACY = 256, 10_000
 
+#: Rows of a key that one task sorts; only keys of more rows are cut into slices.
+KEY_ROWS = 500_000
+
 
 def cut_points(x: Column, ranges: int = RANGES) -> Column:
     """Aggregate: approximate quantiles of ``x`` that part it into so many ranges (equal ones merged)."""
@@ -95,14 +98,20 @@ def average_ranks(df: DataFrame, by: list[str], x: str, out: str = "rank", range
 # --- a key's rows over many tasks ---------------------------------------------------------------
 
 
-def slices(spark) -> int:
-    """Slices of time that a key's rows are dealt into: as many as shuffle partitions."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def slices(df: DataFrame, by: list[str]) -> int:
+    """Slices of time that the longest key's rows need: one for each ``KEY_ROWS`` of them.
+
+    The number follows from the keys, not from the cluster: a slice costs each key a carried row, and
+    with more slices for more input these would grow faster than it does.
+    """
+    longest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return -(-longest // KEY_ROWS) or 1
 
 
-def sliced(df: DataFrame, ts: str, out: str = "__slice", n: int | None = None) -> DataFrame:
+def sliced(df: DataFrame, ts: str, out: str = "__slice", n: int = 1) -> DataFrame:
     """``df`` with the slice of its ``ts`` (null: the first). Slices hold about equally many rows of the table, in order."""
-    n = n or slices(df.sparkSession)
+    if n <= 1:
+        return df.withColumn(out, F.lit(0))
     cuts = df.agg(cut_points(F.col(ts), n).alias("__cuts"))
     return df.crossJoin(F.broadcast(cuts)).withColumn(out, F.coalesce(range_of(F.col(ts), F.col("__cuts"), n), F.lit(0))).drop("__cuts")  # one row
 
@@ -110,12 +119,16 @@ def sliced(df: DataFrame, ts: str, out: str = "__slice", n: int | None = None) -
 def running_sums(df: DataFrame, by: list[str], ts: str, sums: dict[str, Column], maxima: dict[str, Column] | None = None, ties: list[str] = ()) -> DataFrame:
     """``df`` with running sums and maxima (``name``: expression) by key in order of ``ts``, then of ``ties``.
 
-    A key's slices are summed apart; what went before a slice enters it as a row of its own. Null values
+    A long key's slices are summed apart; what went before a slice enters it as a row of its own. Null values
     add nothing to a sum; a maximum is null until there is a value.
     """
     maxima = maxima or {}
     fold = {n: F.sum for n in sums} | {n: F.max for n in maxima}
-    cut = sliced(df, ts).withColumns({f"__v_{n}": F.coalesce(c, F.lit(0)) for n, c in sums.items()} | {f"__v_{n}": c for n, c in maxima.items()})
+    n = slices(df, by)
+    if n == 1:
+        w = W.partitionBy(*by).orderBy(ts, *ties).rowsBetween(W.unboundedPreceding, 0)
+        return df.select("*", *(F.sum(F.coalesce(c, F.lit(0))).over(w).alias(k) for k, c in sums.items()), *(F.max(c).over(w).alias(k) for k, c in maxima.items()))
+    cut = sliced(df, ts, n=n).withColumns({f"__v_{n}": F.coalesce(c, F.lit(0)) for n, c in sums.items()} | {f"__v_{n}": c for n, c in maxima.items()})
     totals = cut.groupBy(*by, "__slice").agg(*(f(f"__v_{n}").alias(f"__v_{n}") for n, f in fold.items()))
     earlier = W.partitionBy(*by).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)  # a row for each slice
     carried = totals.select(*by, "__slice", *(f(f"__v_{n}").over(earlier).alias(f"__v_{n}") for n, f in fold.items()), F.lit(0).alias("__own"))

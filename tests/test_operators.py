@@ -301,6 +301,27 @@ def test_asof_of_one_hot_key(spark):
     assert len(counts) == 16 and max(counts) < 300
 
 
+def test_slices_follow_the_longest_key(spark, monkeypatch):
+    """Short keys are not cut, however many shuffle partitions there are; a long one is, and its rows find the same neighbours."""
+    from agroplan.operators import order
+
+    short = spark.range(2000).selectExpr("id % 500 as k", "id as t")
+    assert order.slices(short, ["k"]) == 1 and order.slices(short.limit(0), ["k"]) == 1
+    monkeypatch.setattr(order, "KEY_ROWS", 200)
+    assert order.slices(short.withColumn("k", F.lit("hot")), ["k"]) == 10
+    test_asof_of_one_hot_key(spark)
+    test_running_sums_of_one_hot_key(spark)
+
+
+def test_neighbours_ahead_take_one_pass(spark):
+    """A frame up to the group's end is read anew for each of its rows."""
+    from agroplan.operators import joins
+
+    l, r = spark.range(20).selectExpr("1 as k", "id as t"), spark.range(20).selectExpr("1 as k", "id as s", "id as v")  # noqa: E741
+    plan = joins.nearest_join(l, r, ["k"], "t", "s", ["v"])._jdf.queryExecution().executedPlan().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+
+
 def test_running_sums_of_one_hot_key(spark):
     from agroplan.operators import order
 
