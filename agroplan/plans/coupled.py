@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.columns import apply_corr, clip
-from ..sources.shared import written
+from ..sources import shared
 
 VEG, HG, POST = "VEG", "HARVEST_GRADE", "POST"
 
@@ -109,15 +109,21 @@ def score_coupled(events: DataFrame, targets: list[Target], max_rounds: int = 3,
     """Rounds of predictions and links, until no prediction changes by more than ``tol``, relatively.
 
     Each round is a written table: its plan does not grow with the rounds, and a lost executor costs one
-    round at most. The change is one aggregate of the round and the one before, joined in the row.
+    round at most. It is in buckets by cycle, so that the next round's links and windows read it without
+    a shuffle; the round before goes once it is there. The change is observed while the round is written.
     """
-    state, changes = events, []
+    spark = events.sparkSession
+    buckets, state, changes, last = max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), events, [], None
     for _ in range(max(1, max_rounds)):
         before = state.withColumns({f"__{t.column}": F.col(t.column) for t in targets})
-        state = written(recompute_links(predict_round(before, targets)), "round")
-        moved = [F.max(F.abs(F.col(t.column) - F.col(f"__{t.column}")) / F.greatest(F.abs(F.col(f"__{t.column}")), F.lit(1e-6))) for t in targets]
-        change = state.agg(F.greatest(F.lit(0.0), *(F.coalesce(m, F.lit(0.0)) for m in moved))).first()[0]
-        state = state.drop(*(f"__{t.column}" for t in targets))
+        moved = [F.max(F.abs(F.col(t.column) - F.col(f"__{t.column}")) / F.greatest(F.abs(F.col(f"__{t.column}")), F.lit(1e-6))).alias(t.name) for t in targets]
+        seen = Observation()
+        new = recompute_links(predict_round(before, targets)).observe(seen, *moved).drop(*(f"__{t.column}" for t in targets))
+        state = shared.write_dealt(new, ["ciclo"], buckets, "round")
+        change = max([0.0, *(v for v in seen.get.values() if v is not None)])
+        if last is not None:
+            shared.discard(last)
+        last = state
         changes.append(float(change))
         if change <= tol:
             break

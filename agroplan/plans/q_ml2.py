@@ -32,8 +32,11 @@ CASE WHEN stage = 'POST' THEN kpref * rk ELSE kg1 END AS kg, tpref * rt AS tp, C
 
 
 def _events(spark, sf):
-    """Cycles, their days by grade, and what of a grade goes to each finish, as planned by a baseline."""
-    l = lines(spark, sf)  # noqa: E741
+    """Cycles, their days by grade, and what of a grade goes to each finish, as planned by a baseline.
+
+    Lines are dealt by cycle, which all groups, joins and windows here and in the rounds are parts of.
+    """
+    l = lines(spark, sf).select("ciclo", "fecha", "grado", "destino", "tallos", "peso", "desc").repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), "ciclo")  # noqa: E741
     null = lambda kind: F.lit(None).cast(kind)
     hg = l.groupBy("ciclo", "fecha", "grado").agg(F.sum("tallos").alias("t"), (F.avg(F.col("peso") / F.col("tallos")) / 50).alias("peso_g"), F.avg("desc").alias("ds"))
     days = hg.groupBy("ciclo", "fecha").agg(F.sum("t").alias("day_t"))

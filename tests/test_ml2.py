@@ -42,6 +42,15 @@ def test_coupled_scoring_stops_at_a_fixed_point(spark):
             assert mine["tallos_post"] == pytest.approx(r["tallos_post_ref"] * parent["tallos_grado"] / parent["tallos_grado_ref"])
 
 
+def test_coupled_rounds_leave_one_table_and_need_no_shuffle(spark, tmp_path, monkeypatch):
+    """Rounds after the first read the one before in its buckets; only the last one's files stay."""
+    monkeypatch.setattr(coupled.shared, "new_path", lambda _, name: f"file://{tmp_path}/{name}-{len([*tmp_path.iterdir()])}")
+    done = coupled.score_coupled(q_ml2._events(spark, DATA), q_ml2.coupled_targets(), 2, 0.0)
+    assert done.rounds == 2 and [f.name for f in tmp_path.iterdir()] == ["round-1"]
+    plan = coupled.recompute_links(done.state)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and done.state.count() > 0
+
+
 def test_coupled_links_without_calendar_or_grades(spark):
     """A cycle without VEG keeps its calendar, a day without shares gets even ones, a POST row without a grade keeps its plan."""
     all_ = q_ml2._events(spark, DATA)
