@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import grids, linear, ml
+from ..sources.shared import written
 from .base import DAILY, LINES, daily, lines, long, r6, table
 from .registry import query
 
@@ -145,14 +146,14 @@ def md5_scores(spark, sf):
 
 
 def _sales(spark, sf) -> DataFrame:
-    """Orders with labels that follow the customer's balance and segment, by day; ``is_train`` marks the first 80 %."""
+    """Orders with labels that follow the customer's balance and segment, by day; ``is_train`` marks the first 80 %. Written: fits read it many times."""
     o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     noise = F.pmod(F.xxhash64("o_orderkey"), F.lit(1000)) / 1000.0
     rows = o.select(
         "o_orderkey", F.to_date("o_orderdate").alias("day"), F.month("o_orderdate").cast("double").alias("month"), "c_acctbal", "c_mktsegment", "o_orderpriority", F.lit(1.0).alias("w"),
         (2 + F.col("c_acctbal") / 1000 + F.when(F.col("c_mktsegment") == "BUILDING", 3.0).otherwise(0.0) + noise).alias("y"),
     )
-    return ml.time_split(rows, "day", 0.8)
+    return written(ml.time_split(rows, "day", 0.8), "sales")
 
 
 NUM, CAT = ["c_acctbal", "month"], ["c_mktsegment"]

@@ -37,3 +37,25 @@ def test_no_data_is_the_constant(spark):
     empty = spark.createDataFrame([], "level string, x double, y double")
     score = ml.train_per_level(empty, "level", ["x"], [], "y", ["a"], 7.0)
     assert [r.prediction for r in score(spark.createDataFrame([("a", 1.0, 2.0), (None, 1.0, 2.0)], "level string, x double, y double")).collect()] == [7.0, 7.0]
+
+
+def test_fits_read_written_vectors(spark):
+    """Estimators pass over a written table of vectors, not over the plan that made the rows; a saved gate has no summary."""
+    rows = spark.range(400).selectExpr("cast(id % 17 as double) as x", "cast(id % 2 as string) as c", "cast(id % 17 > 8 as double) as y", "1.0D as w").cache()
+    seen = []
+
+    class Spy(ml.LogisticRegression):
+        def fit(self, data):
+            seen.append((data.columns, data._jdf.queryExecution().optimizedPlan().toString()))
+            return super().fit(data)
+
+    model = ml.fit_pipeline(rows, ["x"], ["c"], Spy(labelCol="y", weightCol="w"))
+    assert seen[0][0] == ["features", "y", "w"] and "parquet" in seen[0][1] and "InMemory" not in seen[0][1]
+    assert model.stages[-1].hasSummary
+    bare = ml.without_summary(model, spark)
+    assert not bare.stages[-1].hasSummary and bare.stages[-1].coefficients == model.stages[-1].coefficients
+
+
+def test_best_threshold_takes_the_smaller_of_equals(spark):
+    scored = spark.createDataFrame([(1.0, 0.9), (1.0, 0.62), (0.0, 0.5), (0.0, 0.1)], "y double, p double")
+    assert ml.best_threshold(scored, "y", "p") == 0.55
