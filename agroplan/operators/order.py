@@ -13,8 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources.shared import small
+
 #: Ranges of a column, and the accuracy of the sketch that finds them.
 RANGES, ACCURACY = 256, 10_000
+#: How far around a wanted quantile its range is cut: some times the sketch's error.
+NEAR = 4 / ACCURACY
 
 #: Rows of a key that one task sorts; only keys of more rows are cut into slices.
 KEY_ROWS = 500_000
@@ -57,21 +61,28 @@ def count_index(counted: DataFrame, by: list[str]) -> DataFrame:
     return sizes.withColumns({"__before": before, "__total": F.sum("__size").over(group)})
 
 
-def quantiles(df: DataFrame, by: list[str], x: str, qs: tuple[float, ...], ranges: int = RANGES) -> DataFrame:
+def quantiles(df: DataFrame, by: list[str], x: str, qs: tuple[float, ...], ranges: int = 8) -> DataFrame:
     """``(by, q, n)``: exact quantiles (array, linear between neighbours) and the number of values.
 
     The same numbers as ``percentile``. Groups without a value are not returned; without ``by`` there
-    is always one row, of nulls and 0 if there is no value.
+    is always one row, of nulls and 0 if there is no value. Ranges are cut close around the sketched
+    quantiles, and evenly into ``ranges`` besides; rows are only counted by range, and those of the ranges
+    that hold a quantile's places are sorted. ``df`` is read three times.
     """
     keys = by or ["__all"]
     base = df.select(*by, F.col(x).cast("double").alias("__x")) if by else df.select(F.lit(0).alias("__all"), F.col(x).cast("double").alias("__x"))
-    counted = _counted(base, keys, "__x", ranges)
-    index = count_index(counted, keys)
+    base = base.where("__x is not null")
+    at = sorted({min(max(q + d, 0.0), 1.0) for q in qs for d in (-NEAR, NEAR)} | {i / ranges for i in range(1, ranges)})
+    cuts = F.array_distinct(F.percentile_approx("__x", F.array(*map(F.lit, at)), F.lit(ACCURACY)))
+    cuts = small(base.groupBy(*keys).agg(cuts.alias("__cuts")), "cuts")
+    ranged = _null_safe(base, cuts, keys).withColumn("__range", range_of(F.col("__x"), F.col("__cuts"), len(at) + 1)).drop("__cuts")
+    index = count_index(ranged.withColumn("__n", F.lit(1)), keys)
     place = lambda q: (F.col("__total") - 1) * F.lit(float(q))
     wanted = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(place(q)), F.ceil(place(q))) for q in qs))))
     here = F.filter(wanted, lambda k: (k >= F.col("__before")) & (k < F.col("__before") + F.col("__size")))
-    asked = index.withColumn("__ks", here).where(F.size("__ks") > 0).select(*keys, "__range", "__before", "__total", "__ks")
-    read = _null_safe(counted, asked, [*keys, "__range"])  # the ranges that hold a wanted place
+    asked = small(index.withColumn("__ks", here).where(F.size("__ks") > 0).select(*keys, "__range", "__before", "__total", "__ks"), "asked")
+    # the ranges that hold a wanted place; what is told of a range is the same for all its rows
+    read = _null_safe(ranged, asked, [*keys, "__range"]).groupBy(*keys, "__range", "__x").agg(F.count(F.lit(1)).alias("__n"), *(F.any_value(c).alias(c) for c in ("__before", "__total", "__ks")))
     upto = F.col("__before") + F.sum("__n").over(W.partitionBy(*keys, "__range").orderBy("__x").rowsBetween(W.unboundedPreceding, 0))
     found = read.withColumn("__upto", upto).withColumn("__ks", F.filter("__ks", lambda k: (k < F.col("__upto")) & (k >= F.col("__upto") - F.col("__n")))).where(F.size("__ks") > 0)
     at = F.map_from_entries(F.flatten(F.collect_list(F.transform("__ks", lambda k: F.struct(k.alias("k"), F.col("__x").alias("x"))))))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import aggs, alloc, checks, curves, grain, grids, joins, windows
+from ..sources.shared import small, written
 
 
 def universe_grid(cycles: DataFrame) -> DataFrame:
@@ -45,8 +46,9 @@ def kg_and_boxes(stems: DataFrame, weights: DataFrame) -> DataFrame:
 
 def smoothed_curve(curve: DataFrame, min_n: int = 20, window: int = 5) -> DataFrame:
     """Daily shares bounded by the 5 and 95 % quantiles of their position's tenth, then smoothed. ``curve``: ciclo, order, rel, share."""
-    binned = curve.withColumn("bin", F.least(F.floor(F.col("rel") * 10), F.lit(9)))
-    caps = aggs.segment_caps(binned, ["bin"], "share", (0.05, 0.95), min_n).select("bin", "lo", "hi")
+    # the quantiles read the curve several times
+    binned = written(curve.withColumn("bin", F.least(F.floor(F.col("rel") * 10), F.lit(9))), "curve")
+    caps = small(aggs.segment_caps(binned, ["bin"], "share", (0.05, 0.95), min_n).select("bin", "lo", "hi"), "caps")
     bounded = alloc.bound_share(joins.enrich(binned, caps, ["bin"]), ["ciclo"], "share", "lo", "hi")
     return windows.smooth_share(bounded, ["ciclo"], ["order"], "share", window)
 
