@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -22,27 +24,41 @@ def beta_share(df: DataFrame, keys: list[str], rel: str, a: str, b: str, out: st
 def fit_beta(df: DataFrame, keys: list[str], rel: str, share: str, steps: int = 7, width: float = 0.12) -> DataFrame:
     """Per key the (alpha, beta) of least cross entropy on a log grid around the moment estimate.
 
-    The grid of (2 steps + 1)^2 candidates is exploded per row: its size is fixed, so the work is
-    linear in the rows. The moment estimate itself wins ties, then the smaller grid indices.
+    The grid's (2 steps + 1)^2 candidates are priced in 2 steps + 1 sums of as many copies of a row, an
+    exponential each; what is linear in the row's logarithms is summed once by key. The moment estimate
+    itself wins ties, then the smaller grid indices.
     """
     x = F.greatest(F.lit(1e-4), F.least(F.lit(1 - 1e-4), F.col(rel)))
-    pos = df.where(F.col(share) > 0)
-    m = pos.groupBy(*keys).agg((F.sum(x * F.col(share)) / F.sum(share)).alias("mu"), (F.sum(x * x * F.col(share)) / F.sum(share)).alias("m2"))
+    pos = F.when(F.col(share) > 0, F.col(share))
+    rows = df.select(*keys, F.col(share).alias("__s"), x.alias("__x"), F.log(x).alias("__lx"), F.log(1 - x).alias("__ly"), pos.alias("__pos"))
+    m = rows.groupBy(*keys).agg(
+        (F.sum(F.col("__x") * F.col("__pos")) / F.sum("__pos")).alias("mu"), (F.sum(F.col("__x") * F.col("__x") * F.col("__pos")) / F.sum("__pos")).alias("m2"), F.sum("__s").alias("__total"),
+        F.sum(F.when(F.col("__x").isNotNull(), F.col("__s"))).alias("__w"), F.sum(F.col("__s") * F.col("__lx")).alias("__wx"), F.sum(F.col("__s") * F.col("__ly")).alias("__wy"),
+    ).where("mu is not null")
     var = F.greatest(F.col("m2") - F.col("mu") * F.col("mu"), F.lit(1e-4))
     k = F.greatest(F.col("mu") * (1 - F.col("mu")) / var - 1, F.lit(2.05))
-    start = m.select(*keys, F.greatest(F.col("mu") * k, F.lit(1.01)).alias("a0"), F.greatest((1 - F.col("mu")) * k, F.lit(1.01)).alias("b0"))
-    grid = F.sequence(F.lit(-steps), F.lit(steps))
-    total = F.sum(share).over(W.partitionBy(*keys))
-    rows = df.withColumn("__w", F.col(share) / total).join(start, keys).select(*keys, x.alias("x"), "__w", "a0", "b0", F.explode(grid).alias("ia"))
-    rows = rows.select("*", F.explode(grid).alias("ib"))
-    rows = rows.withColumns({"al": F.greatest(F.col("a0") * F.exp(F.col("ia") * width), F.lit(1.0001)), "be": F.greatest(F.col("b0") * F.exp(F.col("ib") * width), F.lit(1.0001))})
-    l = (F.col("al") - 1) * F.log("x") + (F.col("be") - 1) * F.log(1 - F.col("x"))  # noqa: E741
-    # -sum(w ln p) with p = e^l / sum(e^l); l is taken from its value at the density's mode, so that e^l stays in range
-    mode = (F.col("al") - 1) / (F.col("al") + F.col("be") - 2)
-    top = (F.col("al") - 1) * F.log(mode) + (F.col("be") - 1) * F.log(1 - mode)
-    fit = rows.withColumn("l", l - top).groupBy(*keys, "ia", "ib", "al", "be").agg((F.log(F.sum(F.exp("l"))) - F.sum(F.col("__w") * F.col("l"))).alias("nll"))
-    best = F.min(F.struct("nll", ((F.col("ia") != 0) | (F.col("ib") != 0)).alias("off"), "ia", "ib", "al", "be"))
-    return fit.groupBy(*keys).agg(best.alias("b")).select(*keys, F.col("b.al").alias("alpha"), F.col("b.be").alias("beta"), F.col("b.nll").alias("nll"))
+    start = m.withColumns({"a0": F.greatest(F.col("mu") * k, F.lit(1.01)), "b0": F.greatest((1 - F.col("mu")) * k, F.lit(1.01))}).select(*keys, "a0", "b0", "__total", "__w", "__wx", "__wy")
+    grid = range(-steps, steps + 1)
+    cells = start.withColumn("ia", F.explode(F.array(*map(F.lit, grid)))).withColumn("al", F.greatest(F.col("a0") * F.exp(F.col("ia") * F.lit(width)), F.lit(1.0001)))
+    beta = lambda j: F.greatest(F.col("b0") * F.exp(F.lit(j) * F.lit(width)), F.lit(1.0001))
+    cells = cells.withColumns({f"be{n}": beta(j) for n, j in enumerate(grid)})
+
+    def top(n: int) -> Column:
+        """The density's value at its mode, from which it is taken so that e^l stays in range."""
+        be = F.col(f"be{n}")
+        mode = (F.col("al") - 1) / (F.col("al") + be - 2)
+        return (F.col("al") - 1) * F.log(mode) + (be - 1) * F.log(1 - mode)
+
+    cells = cells.withColumns({f"top{n}": top(n) for n in range(len(grid))})
+    # -sum(w ln p) with p = e^l / sum(e^l)
+    l = lambda n: (F.col("al") - 1) * F.col("__lx") + (F.col(f"be{n}") - 1) * F.col("__ly") - F.col(f"top{n}")  # noqa: E731, E741
+    own = [f"{c}{n}" for c in ("be", "top") for n in range(len(grid))]
+    sums = rows.select(*keys, "__lx", "__ly").join(cells.select(*keys, "ia", "al", *own), keys).groupBy(*keys, "ia").agg(*(F.sum(F.exp(l(n))).alias(f"z{n}") for n in range(len(grid))))
+    part = lambda n: ((F.col("al") - 1) * F.col("__wx") + (F.col(f"be{n}") - 1) * F.col("__wy") - F.col(f"top{n}") * F.col("__w")) / F.col("__total")
+    # a candidate whose density is 0 at every row has no logarithm: it is the worst
+    price = [F.struct(F.coalesce(F.log(f"z{n}") - part(n), F.lit(math.inf)).alias("nll"), ((F.col("ia") != 0) | F.lit(j != 0)).alias("off"), F.col("ia"), F.lit(j).alias("ib"), F.col("al"), F.col(f"be{n}").alias("be")) for n, j in enumerate(grid)]
+    fit = cells.join(sums, [*keys, "ia"]).select(*keys, F.array_min(F.array(*price)).alias("b"))
+    return fit.groupBy(*keys).agg(F.min("b").alias("b")).select(*keys, F.col("b.al").alias("alpha"), F.col("b.be").alias("beta"), F.col("b.nll").alias("nll"))
 
 
 def log_multiplier(df: DataFrame, keys: list[str], real: str, base: str, bound: float = 4.0, eps: float = 1e-6, out: str = "log_mult") -> DataFrame:
