@@ -122,7 +122,7 @@ i{n} AS (SELECT *, fl + CASE WHEN seen IS NULL THEN greatest(total - fs, 0) * CA
 @query("gold_reconciled_hierarchy", _tree_sql())
 def reconciled(spark, sf):
     """Stems planned by cycle, day, grade and finish; days before 1994, large grades and large finishes are observed."""
-    leaves = lines(spark, sf).groupBy(*LEVELS[3]).agg(F.sum("tallos").alias("plan"), F.sum(F.col("tallos") * (1.2 - F.col("desc"))).alias("act"))
+    leaves = shared.written(lines(spark, sf).groupBy(*LEVELS[3]).agg(F.sum("tallos").alias("plan"), F.sum(F.col("tallos") * (1.2 - F.col("desc"))).alias("act")), "leaves")
     by = lambda n: leaves.groupBy(*LEVELS[n]).agg(F.sum("plan").alias("plan"))
     days = by(1).withColumn("seen", F.when(F.col("fecha") < "1994-01-01", F.col("plan") * 1.05))
     grades = by(2).withColumn("seen", F.when(F.col("plan") > 60, 0.9 * F.col("plan")))

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from agroplan.operators import curves, order
+from agroplan.operators import curves, order, reconcile
 
 
 def _plan(df):
@@ -47,3 +47,16 @@ def test_beta_fit_prices_candidates_without_a_row_for_each(spark):
 
         best = min(nll(max(a0 * math.exp(0.12 * i), 1.0001), max(b0 * math.exp(0.12 * j), 1.0001)) for i in range(-7, 8) for j in range(-7, 8))
         assert math.isclose(r.nll, best, rel_tol=1e-9) and math.isclose(nll(r.alpha, r.beta), best, rel_tol=1e-9)
+
+
+def test_reconciled_partitions_follow_the_leaves(spark, monkeypatch):
+    """No task's part of a level grows with the table; null keys are cells of their own, observations without a cell are none."""
+    monkeypatch.setattr(reconcile, "TASK_ROWS", 20)
+    leaves = spark.createDataFrame([(c, d, float(d % 5)) for c in (1, 2, None) for d in range(140)], "c int, d int, plan double")
+    seen = spark.createDataFrame([(None, 3, 50.0), (1, 7, 10.0), (9, 9, 1000.0)], "c long, d long, v double")
+    out = reconcile.reconcile_hierarchy(leaves, [["c"], ["c", "d"]], "plan", [None, (seen, "v")])
+    assert out.rdd.getNumPartitions() == 21  # 420 leaves
+    rows = {(r.c, r.d): r.value for r in out.collect()}
+    assert len(rows) == 420 and math.isclose(rows[None, 3], 50.0) and math.isclose(rows[1, 7], 10.0) and out.schema["c"].dataType.simpleString() == "int"
+    for c in (1, 2, None):
+        assert math.isclose(sum(v for (k, _), v in rows.items() if k == c), 280.0)
