@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import discard, written
@@ -43,9 +44,9 @@ def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     ``postings`` has ``(bucket, item, ...)``; ``verify`` takes distinct pairs ``(a, b)`` with a < b and
     returns those that are links. In each star round the items of a bucket are compared with one of them: first with the hub, the item with the most bucket
     mates over all (the original of a group of copies), then with others. Buckets whose items are all
-    in one component are done. Once the pairs left between components are fewer than the postings, or
+    in one component are done, and so is the first hub. Once the pairs left between components are fewer than the postings, or
     a round finds no link, those pairs are compared, so that no link between components is lost.
-    ``cross`` may find those links from the postings (with a column ``component``) by an operator's
+    ``cross`` may find those links from the postings (with columns ``component`` and ``hub``, the first round's) by an operator's
     own candidate filter. ``fits`` is a cheap, symmetric test of star pairs over the postings' columns
     ``carry``, which it sees as ``<name>_a`` and ``<name>_b``.
     """
@@ -70,7 +71,8 @@ def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
         links = found if links is None else links.unionAll(found)
         if new:
             components = written(connected_components(links, name), name)
-            old, posted = posted, written(_mixed(posted, components), name)
+        if new or not turn:
+            old, posted = posted, written(_mixed(posted, components, None if turn else order), name)
             discard(old)
         if turn + 1 == rounds:
             break
@@ -90,8 +92,15 @@ def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     return components
 
 
-def _mixed(postings: DataFrame, components: DataFrame) -> DataFrame:
-    """The postings, with each item's component, of the buckets that hold more than one component."""
-    with_component = postings.drop("component").join(components.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
-    open_ = with_component.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    return with_component.join(open_, "bucket", "left_semi")
+def _mixed(postings: DataFrame, components: DataFrame | None, order: Column | None = None) -> DataFrame:
+    """The postings, with each item's component, of the buckets that hold more than one component.
+
+    With the ``order`` of the hubs, a bucket's ``hub`` is a column, and no row: it has been compared with all others.
+    """
+    with_component = postings
+    if components is not None:
+        with_component = postings.drop("component").join(components.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
+    own = W.partitionBy("bucket")
+    if order is not None:
+        with_component = with_component.withColumn("hub", F.max_by("item", order).over(own)).where("item <> hub")
+    return with_component.withColumns({"lo": F.min("component").over(own), "hi": F.max("component").over(own)}).where("lo <> hi").drop("lo", "hi")

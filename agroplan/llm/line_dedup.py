@@ -23,16 +23,22 @@ gives an empty one; other columns pass through :func:`dedup_lines` untouched, wh
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .common import discard, shuffle_partitions, small_side, written
 from .components import link_buckets
 
-BANDS, ROWS, SAMPLE, CHARS = 20, 5, 130, 5
-#: Words of the bitmap, and by how much of a hundred its similarity may fall short of the sets'.
-WORDS, SLACK = 4, 10
+BANDS, ROWS, SAMPLE, CHARS = 20, 5, 200, 5
+#: Words of the bitmap, its bits, and by how much of a hundred the similarity estimated from it may fall short.
+WORDS, SLACK = 10, 10
+BITS = 64 * WORDS
+#: Items of a hub that one task compares with as many others, on average.
+BLOCK = 1000
 
 
 def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -73,19 +79,28 @@ def line_sets(lines: DataFrame) -> DataFrame:
     return _units(lines).selectExpr("item", hashes)
 
 
+def _same(one: DataFrame, two: DataFrame, key: list[str]) -> Column:
+    return reduce(and_, (one[k] == two[k] for k in key))
+
+
 def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
     """``(item, component)`` of the lines of ``(item, line)`` that are linked with another one; ``texts(items)`` gives a few of them again."""
     signed = written(line_signatures(seen), "signatures")
-    words = ["n", *(f"w{i}" for i in range(WORDS))]
+    bits = [f"w{i}" for i in range(WORDS)]
+    words = ["n", "marks", *bits]
+    # how many hashes set so many of the bits, when some fell on the same one
+    count = lambda taken: f"(-{BITS} * ln(1 - least({taken}, {BITS - 1}) / {BITS}))"
+    marked = signed.select("item", "n", F.expr(count(" + ".join(f"bit_count({w})" for w in bits))).alias("marks"), *bits)
     dealt = signed.select("item", F.explode("bands").alias("bucket"))
     # buckets of one item go; each (item, bucket) is dealt once, and a large bucket's window spills
     own = W.partitionBy("bucket")
     met = dealt.withColumns({"lo": F.min("item").over(own), "hi": F.max("item").over(own)}).where("lo <> hi")
-    postings, bitmaps, verified = written(met.select("item", "bucket"), "met"), written(signed.select("item", *words), "bitmaps"), []
+    postings, bitmaps, verified = written(met.select("item", "bucket"), "met"), written(marked, "bitmaps"), []
     discard(signed)
-    both, any_ = (" + ".join(f"bit_count({w}_a {sign} {w}_b)" for w in words[1:]) for sign in "&|")
-    # lines of unlike lengths are sampled down to unlike hashes, by as much as their lengths differ
-    fits = f"100L * ({both}) * greatest(n_a, n_b) >= {percent - SLACK}L * ({any_}) * least(n_a, n_b) and 100 * ({both}) >= {percent - 3 * SLACK} * ({any_})"
+    # of lines of unlike lengths, the longer one has the smaller share of its hashes, and so has what they share
+    either = " + ".join(f"bit_count({w}_a | {w}_b)" for w in bits)
+    shared = f"(marks_a + marks_b - {count(either)}) * greatest(n_a, n_b)"
+    fits = f"{100 + percent - SLACK} * {shared} >= {percent - SLACK} * (marks_a * n_a + marks_b * n_b)"
     alike = F.expr(f"{100 + percent}L * size(array_intersect(s_a, s_b)) >= {percent}L * (size(s_a) + size(s_b))")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -105,10 +120,27 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
         return verify(met.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")))
 
     def cross(posted: DataFrame) -> DataFrame:
-        """Of the buckets that are still mixed: many pairs, so that bitmaps go with the postings and unlike pairs never leave the join."""
-        one, two = (posted.select("bucket", F.col("item").alias(f"item_{k}"), F.col("component").alias(f"component_{k}")).join(named(k), f"item_{k}") for k in "ab")
-        pairs = one.join(two, "bucket").where("item_a < item_b and component_a <> component_b").where(fits)
-        return verify(pairs.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")).distinct())
+        """Of the buckets that are still mixed: many pairs, so that they are compared inside a join and only links leave it."""
+        discard(*verified)
+        # items of a bucket have its hub in common; a hub's items are dealt in blocks, each against each
+        members = posted.select("hub", "item", "component").distinct()
+        members = members.withColumn("blocks", F.expr(f"cast(count(*) over (partition by hub) div {BLOCK} + 1 as int)"))
+        members = written(members.withColumn("block", F.expr("cast(pmod(item, blocks) as int)")).join(bitmaps, "item"), "members")
+
+        def sides(rows: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+            every = "explode(sequence(0, blocks - 1))"
+            keys = {"a": ["hub", "block as i", f"{every} as j"], "b": ["hub", f"{every} as i", "block as j"]}
+            return tuple(rows.selectExpr(*keys[k], *(f"{c} as {c}_{k}" for c in ("item", "component", *words, *columns))) for k in "ab")
+
+        key = ["hub", "i", "j"]
+        one, two = sides(members)
+        met = one.join(two, (F.expr("item_a <> item_b and component_a <> component_b") & F.expr(fits)) & _same(one, two, key), "left_semi")
+        near = written(met.select("hub", F.col("item_a").alias("item")).distinct(), "near")
+        sets = written(line_sets(texts(near.select("item").distinct()).repartition(shuffle_partitions(posted.sparkSession), "item")), "sets")
+        verified[:] = [members, near, sets]
+        one, two = sides(members.join(near, ["hub", "item"], "left_semi").join(sets, "item"), "s")
+        links = one.join(two, (F.expr("item_a < item_b and component_a <> component_b") & F.expr(fits) & alike) & _same(one, two, key))
+        return links.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")).distinct()
 
     groups = link_buckets(postings, starred, cross, "lines").withColumnRenamed("node", "item")
     discard(postings, bitmaps, *verified)

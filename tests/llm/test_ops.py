@@ -663,3 +663,31 @@ def test_one_long_line(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
     assert {r.doc_id for r in docs.collect()} == {1}
+
+
+def test_op10_near_group_grows_with_its_items(spark, monkeypatch):
+    """Copies that miss 0.75 with their original and with each other leave no pairs in a join, and those that link are found."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(60)]
+
+    def copy(changed):
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) if i in changed else w for i, w in enumerate(words))
+
+    texts = [" ".join(words), *(copy(set(rng.sample(range(60), 6))) for _ in range(300))]
+    twin = copy(set(range(40, 51)))
+    texts += [twin, twin[:-3] + "xyz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = []
+    plain = line_dedup.written
+
+    def written(df, name):
+        table = plain(df, name)
+        if name == "pairs":
+            asked.append(table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup, "written", written)
+    monkeypatch.setattr(line_dedup, "BLOCK", 50, raising=False)
+    cut = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed}
+    assert cut == brute_lines(list(enumerate(texts)))[1]
+    assert len(texts) - 1 in cut and sum(asked) <= 2 * len(texts), asked
