@@ -11,8 +11,8 @@ one of ``BANDS`` x ``ROWS`` bins, and each bin keeps its least hash. Only hashes
 looked at further: the least ``SAMPLE`` of a line's on average. A line with fewer shingles hashes them
 under more seeds, so that its bins fill as well; one that repeats itself without blanks fills fewer and
 is found less surely. Lines that agree in all bins of a band are candidates;
-pairs that share no band are not found. Of the candidates, those whose bitmaps of the same hashes are
-unlike (``SLACK`` below the threshold) go, and the sets of the others are compared exactly, as 32-bit
+pairs that share no band are not found. Of the candidates, those whose similarity, estimated from
+bitmaps of the same hashes, is ``SLACK`` below the threshold go, and the sets of the others are compared exactly, as 32-bit
 hashes of their shingles. Equal lines always meet: a line is known by 64 bits of one hash and 32 of
 another; lines of which only the first hash is equal stay as they are.
 
@@ -53,7 +53,7 @@ def _units(lines: DataFrame, *others: str) -> DataFrame:
 
 
 def line_signatures(lines: DataFrame) -> DataFrame:
-    """``(item, n, bands, w0 .. w3)`` of the lines of ``(item, line)``, each item once: about how many shingles, the bands, and a bitmap of the shingles they come from."""
+    """``(item, n, bands, w0 .. w9)`` of the lines of ``(item, line)``, each item once: about how many shingles, the bands, and a bitmap of the shingles they come from."""
     # a line that repeats its words has as many times fewer distinct shingles
     words = lines.withColumn("words", F.split("line", "[ \t]+"))
     fewer = F.expr("cast(greatest(cast(n as double) * size(array_distinct(words)) / size(words), 1) as int)")
