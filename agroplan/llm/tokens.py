@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces that one worker remembers; beyond that it starts afresh.
+#: Pieces after which a worker begins a new memory; of the one before, it carries on with the pieces that come again.
 REMEMBERED = 300_000
 #: New pieces that are encoded in one call, set apart by a separator with an id of its own.
 TOGETHER = 20_000
@@ -30,6 +30,8 @@ _BARE = "\x00"
 _APART = re.compile(r"[\s\x1c-\x1f\u180e]|<\|").search
 #: A full stop or comma between a letter or digit and a blank is a pre-token of its own.
 _STOP = "([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,]) "
+#: Where a blank belongs to the word behind it, so is any run of ASCII punctuation there (but for the marks of a special token).
+_STOPS = "([0-9A-Za-zÀ-ÖØ-öø-ÿ])([!-/:;=?@\\[-`{}~]+) "
 
 
 class Encoder:
@@ -50,6 +52,7 @@ class Encoder:
         (self.mark,) = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
         self.lowers = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, new: list[str]) -> None:
         if self.drops_space:
@@ -58,7 +61,8 @@ class Encoder:
             bare, others = [k for k in new if k[:1] == _BARE], [k for k in new if k[:1] != _BARE]
             groups = [("", bare, [k[1:] for k in bare]), (" ", others, others)]
         for blank, keys, texts in groups:
-            plain = [i for i, t in enumerate(texts) if t and not _APART(t)]
+            one_by_one = _APART("".join(texts))
+            plain = [i for i, t in enumerate(texts) if t and not (one_by_one and _APART(t))]
             for at in range(0, len(plain), TOGETHER):
                 part = plain[at : at + TOGETHER]
                 ids = np.array(self.tokenizer.encode_batch_fast([blank + (self.separator + blank).join([texts[i] for i in part])], add_special_tokens=False)[0].ids, dtype=self.dtype)
@@ -82,7 +86,7 @@ class Encoder:
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         bare, none = (pa.scalar(x, texts.type) for x in (_BARE, ""))
         marked = pc.replace_substring(pc.binary_join_element_wise(bare, texts, none), "\n", f" {_BARE}\n {_BARE}")
-        cut = pc.split_pattern(pc.replace_substring_regex(marked, _STOP, f"\\1 {_BARE}\\2 "), " ")
+        cut = pc.split_pattern(pc.replace_substring_regex(marked, _STOPS, f"\\1 {_BARE}\\2 "), " ")
         offsets = cut.offsets.to_numpy().astype(np.int64)
         if not odd.any():
             return cut.flatten(), offsets
@@ -102,9 +106,11 @@ class Encoder:
         pieces, offsets = self.pieces(pc.fill_null(column.cast(pa.large_string()), ""))
         coded = pieces.dictionary_encode()
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         keys = coded.dictionary.to_pylist()
-        self.learn([k for k in keys if k not in self.known])
+        new = [k for k in keys if k not in self.known]
+        self.known.update((k, self.older[k]) for k in new if k in self.older)
+        self.learn([k for k in new if k not in self.known] if self.older else new)
         coded_ids = list(map(self.known.__getitem__, keys))
         table = np.frombuffer(b"".join(coded_ids), dtype=self.dtype)
         sizes = np.fromiter(map(len, coded_ids), dtype=np.int64, count=len(keys)) // self.dtype.itemsize

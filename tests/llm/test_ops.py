@@ -691,3 +691,16 @@ def test_op10_near_group_grows_with_its_items(spark, monkeypatch):
     cut = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed}
     assert cut == brute_lines(list(enumerate(texts)))[1]
     assert len(texts) - 1 in cut and sum(asked) <= 2 * len(texts), asked
+
+
+@pytest.mark.parametrize(("name", "drops"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_pieces_that_come_again_are_encoded_once(name, drops, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 150)
+    path = queries.vocabulary(name)
+    own, plain, learned = tokens.Encoder(path, drops), Tokenizer.from_file(path), []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda new: (learned.extend(new), learn(new)))
+    for turn in range(6):
+        text = " ".join(f"{w}{end}" for w in ("mean", "wave", f"gr{'abcdef'[turn]}ve") for end in ("", ".", "%%%", ".'&&", "<|endoftext|>", "'s.'")) + " " + " ".join(f"x{'abcdef'[turn]}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(100)) + " end"
+        assert np.frombuffer(own.encode([text])[0], dtype=own.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert learned.count("wave") == 1 and (drops or "wave%%%" not in learned)
