@@ -92,6 +92,24 @@ def link_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     return components
 
 
+def link_hubs(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], cross: Callable[[DataFrame], DataFrame], name: str = "links") -> DataFrame:
+    """:func:`link_buckets` in one round, of postings ``(bucket, item, mates)`` of which each is there once; ``mates`` counts the bucket's items.
+
+    The postings are dealt twice, by item for the hubs' order and by bucket for the hubs; those of hubs end
+    there, and those of buckets of two once their pair has been compared.
+    """
+    weighed = postings.withColumn("weight", F.sum("mates").over(W.partitionBy("item")))
+    hubbed = weighed.withColumn("hub", F.max_by("item", F.struct("weight", "item")).over(W.partitionBy("bucket")))
+    met = written(hubbed.where("item <> hub").select("bucket", "item", "hub", "mates"), name)
+    links = written(verify(met.select(F.least("item", "hub").alias("a"), F.greatest("item", "hub").alias("b")).distinct()).select("a", "b"), name)
+    components = written(connected_components(links, name), name)
+    posted = written(_mixed(met.where("mates > 2").drop("mates"), components), name)
+    discard(met)
+    found = written(cross(posted).select("a", "b"), name)
+    discard(posted)
+    return components if found.isEmpty() else connected_components(links.unionAll(found), name)
+
+
 def _mixed(postings: DataFrame, components: DataFrame | None, order: Column | None = None) -> DataFrame:
     """The postings, with each item's component, of the buckets that hold more than one component.
 

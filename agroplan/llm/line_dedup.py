@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .common import discard, shuffle_partitions, small_side, written
-from .components import link_buckets
+from .components import link_hubs
 
 BANDS, ROWS, SAMPLE, CHARS = 20, 5, 200, 5
 #: Words of the bitmap, its bits, and by how much of a hundred the similarity estimated from it may fall short.
@@ -53,7 +53,7 @@ def _units(lines: DataFrame, *others: str) -> DataFrame:
 
 
 def line_signatures(lines: DataFrame) -> DataFrame:
-    """``(item, n, bands, w0 .. w9)`` of the lines of ``(item, line)``, each item once: about how many shingles, the bands, and a bitmap of the shingles they come from."""
+    """``(item, n, band, bits, bucket)`` of the lines of ``(item, line)``, each item once, by band: about how many shingles, and a bitmap of those that the band comes from."""
     # a line that repeats its words has as many times fewer distinct shingles
     words = lines.withColumn("words", F.split("line", "[ \t]+"))
     fewer = F.expr("cast(greatest(cast(n as double) * size(array_distinct(words)) / size(words), 1) as int)")
@@ -62,14 +62,13 @@ def line_signatures(lines: DataFrame) -> DataFrame:
     limited = seeded.withColumn("most", F.expr(f"cast(least(1D, {SAMPLE} / fewer - seed) * {2**31 - 1} as int)"))
     hashed = limited.withColumn("at", F.explode(F.expr("sequence(1, 2 * n - 1, 2)"))).selectExpr("item", "fewer", "most", f"hash(substring(units, at, {2 * CHARS}), seed) & {2**31 - 1} as h").where("h < most")
     row = f"h div {BANDS} % {ROWS}"
-    least = [F.min(F.expr(f"if({row} = {i}, h, null)")).alias(f"m{i}") for i in range(ROWS)]
+    # an empty bin stands at a number that no hash reaches
+    least = [F.min(F.expr(f"if({row} = {i}, h, {2**31 - 1})")).alias(f"m{i}") for i in range(ROWS)]
     bits = F.expr(f"bit_or(shiftleft(1L, cast(h div {BANDS * ROWS} % 64 as int)))").alias("bits")
-    minima = hashed.groupBy("item", F.expr(f"h % {BANDS}").alias("band")).agg(*least, bits, F.max("fewer").alias("n"))
-    named = minima.select("item", "band", "bits", "n", F.xxhash64("band", *(f"m{i}" for i in range(ROWS))).alias("bucket"))
-    words = [F.expr(f"bit_or(if(band % {WORDS} = {i}, bits, 0L))").alias(f"w{i}") for i in range(WORDS)]
-    buckets = [F.max(F.expr(f"if(band = {i}, bucket, null)")).alias(f"b{i}") for i in range(BANDS)]
-    one = named.groupBy("item").agg(F.max("n").alias("n"), *words, *buckets)
-    return one.select("item", "n", F.array_compact(F.array(*(f"b{i}" for i in range(BANDS)))).alias("bands"), *(f"w{i}" for i in range(WORDS)))
+    minima = hashed.groupBy("item", F.col("fewer").alias("n"), F.expr(f"h % {BANDS}").alias("band")).agg(*least, bits)
+    # 48 bits tell 30 GB of buckets apart but for some ten thousand pairs, which are compared like all others
+    bucket = F.xxhash64("band", *(f"m{i}" for i in range(ROWS))).bitwiseAND(F.lit(2**48 - 1))
+    return minima.select("item", "n", "band", "bits", bucket.alias("bucket"))
 
 
 def line_sets(lines: DataFrame) -> DataFrame:
@@ -88,14 +87,13 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
     signed = written(line_signatures(seen), "signatures")
     bits = [f"w{i}" for i in range(WORDS)]
     words = ["n", "marks", *bits]
+    maps = signed.groupBy("item").agg(F.max("n").alias("n"), *(F.expr(f"bit_or(if(band % {WORDS} = {i}, bits, 0L))").alias(w) for i, w in enumerate(bits)))
     # how many hashes set so many of the bits, when some fell on the same one
     count = lambda taken: f"(-{BITS} * ln(1 - least({taken}, {BITS - 1}) / {BITS}))"
-    marked = signed.select("item", "n", F.expr(count(" + ".join(f"bit_count({w})" for w in bits))).alias("marks"), *bits)
-    dealt = signed.select("item", F.explode("bands").alias("bucket"))
+    marked = maps.select("item", "n", F.expr(count(" + ".join(f"bit_count({w})" for w in bits))).alias("marks"), *bits)
     # buckets of one item go; each (item, bucket) is dealt once, and a large bucket's window spills
-    own = W.partitionBy("bucket")
-    met = dealt.withColumns({"lo": F.min("item").over(own), "hi": F.max("item").over(own)}).where("lo <> hi")
-    postings, bitmaps, verified = written(met.select("item", "bucket"), "met"), written(marked, "bitmaps"), []
+    met = signed.select("item", "bucket").withColumn("mates", F.count(F.lit(1)).over(W.partitionBy("bucket"))).where("mates > 1")
+    postings, bitmaps, verified = written(met, "met"), written(marked, "bitmaps"), []
     discard(signed)
     # of lines of unlike lengths, the longer one has the smaller share of its hashes, and so has what they share
     either = " + ".join(f"bit_count({w}_a | {w}_b)" for w in bits)
@@ -142,7 +140,7 @@ def near_groups(seen: DataFrame, texts, percent: int) -> DataFrame:
         links = one.join(two, (F.expr("item_a < item_b and component_a <> component_b") & F.expr(fits) & alike) & _same(one, two, key))
         return links.select(F.col("item_a").alias("a"), F.col("item_b").alias("b")).distinct()
 
-    groups = link_buckets(postings, starred, cross, "lines").withColumnRenamed("node", "item")
+    groups = link_hubs(postings, starred, cross, "lines").withColumnRenamed("node", "item")
     discard(postings, bitmaps, *verified)
     return groups
 

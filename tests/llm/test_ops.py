@@ -693,6 +693,25 @@ def test_op10_near_group_grows_with_its_items(spark, monkeypatch):
     assert len(texts) - 1 in cut and sum(asked) <= 2 * len(texts), asked
 
 
+def test_link_hubs(spark):
+    """Hubs and buckets of two end with the star; what is left of mixed buckets reaches the cross step, and no link is lost."""
+    buckets = {1: [1, 2], 2: [2, 3, 4, 5], 3: [6, 7], 4: [4, 5]}
+    rows = [(b, i, len(items)) for b, items in buckets.items() for i in items]
+    linked, crossed = {(2, 5), (6, 7)}, []
+
+    def verify(pairs):
+        return pairs.where(" or ".join(f"(a = {a} and b = {b})" for a, b in linked))
+
+    def cross(posted):
+        crossed.extend((r.bucket, r.item, r.component) for r in posted.select("bucket", "item", "component").collect())
+        return spark.createDataFrame([(3, 4)], "a long, b long")
+
+    groups = components.link_hubs(spark.createDataFrame(rows, "bucket long, item long, mates long"), verify, cross)
+    # 5 and 4 have the same weight, so that the greater one is the hub of bucket 2
+    assert sorted(crossed) == [(2, 2, 2), (2, 3, 3), (2, 4, 4)]
+    assert {r.node: r.component for r in groups.collect()} == {2: 2, 5: 2, 3: 3, 4: 3, 6: 6, 7: 6}
+
+
 @pytest.mark.parametrize(("name", "drops"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
 def test_pieces_that_come_again_are_encoded_once(name, drops, monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 150)
