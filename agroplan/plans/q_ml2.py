@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..operators import linear, observed, panel, reconcile, windows
 from ..sources import incremental, shared
@@ -31,27 +32,51 @@ s{r} AS (SELECT stage, ciclo, fecha, grado, destino, n_start AS p_start, n_days
 CASE WHEN stage = 'POST' THEN kpref * rk ELSE kg1 END AS kg, tpref * rt AS tp, CASE WHEN stage = 'POST' THEN fecha + round_even(n_dh, 0)::INT END AS fp FROM x{r})"""
 
 
-def _events(spark, sf):
-    """Cycles, their days by grade, and what of a grade goes to each finish, as planned by a baseline.
+#: Lines of a bucket of cycles, which one task sorts.
+BUCKET_LINES = 250_000
+
 
-    Lines are dealt by cycle, which all groups, joins and windows here and in the rounds are parts of.
+def _planned(spark, sf):
+    """Cycles, their days by grade, and what of a grade goes to each finish, as a baseline plans them, without :func:`_references`; and their buckets.
+
+    Lines are dealt by cycle once, and sorted; all sums here are windows over them, and a line that is the first
+    of a finish, a grade or a cycle makes the row of it.
     """
-    l = lines(spark, sf).select("ciclo", "fecha", "grado", "destino", "tallos", "peso", "desc").repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), "ciclo")  # noqa: E741
-    null = lambda kind: F.lit(None).cast(kind)
-    hg = l.groupBy("ciclo", "fecha", "grado").agg(F.sum("tallos").alias("t"), (F.avg(F.col("peso") / F.col("tallos")) / 50).alias("peso_g"), F.avg("desc").alias("ds"))
-    days = hg.groupBy("ciclo", "fecha").agg(F.sum("t").alias("day_t"))
-    share, kg = F.col("t") / F.col("day_t"), F.col("t") * F.col("peso_g") / 1000
-    veg = l.groupBy("ciclo").agg(F.date_sub(F.min("fecha"), 60).alias("fecha")).select(F.lit(VEG).alias("stage"), "ciclo", "fecha", (60.0 + F.col("ciclo") % 5).alias("pred_d_start"), (400.0 + F.col("ciclo") % 11).alias("pred_n_days"))
-    grades = hg.join(days, ["ciclo", "fecha"]).select(
-        F.lit(HG).alias("stage"), "ciclo", "fecha", "grado", (1 + F.col("ds")).alias("pred_factor"), share.alias("pred_share"), F.lit(1.0).alias("pred_peso"), F.col("day_t").alias("tallos_dia_ref"), (1 + F.col("ds")).alias("factor_ref"), share.alias("share_base"), "peso_g", F.col("t").alias("tallos_grado_ref"),
-        kg.alias("kg_ref"), (share * F.exp(0.03 * (F.col("grado") - 4))).alias("real_share"), F.lit(0.5).alias("rel_pos"), F.col("day_t").alias("tallos_dia"), F.col("t").alias("tallos_grado"), kg.alias("kg"),
-    )
-    post = l.groupBy("ciclo", "fecha", "grado", "destino").agg(F.sum("tallos").alias("t")).join(hg.select("ciclo", "fecha", "grado", "peso_g"), ["ciclo", "fecha", "grado"]).select(
-        F.lit(POST).alias("stage"), "ciclo", "fecha", "grado", "destino", (5.0 + F.col("grado")).alias("pred_dh"), F.col("t").alias("tallos_post_ref"), kg.alias("kg_post_ref"), (kg / 10).alias("cajas_ref"), F.when(F.col("destino") == "R", 7.0).alias("real_dh"), F.lit(0.5).alias("rel_pos"),
-        F.col("t").alias("tallos_grado"), kg.alias("kg"), F.col("t").alias("tallos_post"), (kg / 10).alias("cajas"),
-    )
-    out = veg.unionByName(grades, allowMissingColumns=True).unionByName(post, allowMissingColumns=True)
-    return out.withColumns({"harvest_start": null("date"), "day_in_harvest": null("double"), "fecha_post": null("date")})
+    lots = lines(spark, sf).select("ciclo", "fecha", "grado", "destino", "tallos", "peso", "desc").where("ciclo IS NOT NULL")
+    buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lots.count() // BUCKET_LINES))
+    keys = ["ciclo", "fecha", "grado", "destino"]
+    cycle, day, grade, finish = (W.partitionBy(*keys[:n]) for n in (1, 2, 3, 4))
+    nth = F.row_number().over(grade.orderBy("destino"))
+    l = lots.repartition(buckets, "ciclo").sortWithinPartitions(*keys).withColumns({  # noqa: E741
+        "nth": nth, "first_of_finish": nth == F.rank().over(grade.orderBy("destino")), "finish_t": F.sum("tallos").over(finish), "grade_t": F.sum("tallos").over(grade), "peso_g": F.avg(F.col("peso") / F.col("tallos")).over(grade) / 50, "factor": 1 + F.avg("desc").over(grade), "day_t": F.sum("tallos").over(day),
+        "first_of_cycle": F.row_number().over(cycle.orderBy("fecha", "grado", "destino")) == 1, "start": F.date_sub(F.min("fecha").over(cycle), 60),
+    })
+    kinds = {"stage": "string", "fecha": "date", "grado": "int", "destino": "string"} | dict.fromkeys(("pred_d_start", "pred_n_days", "pred_factor", "pred_share", "pred_peso", "pred_dh", "tallos", "peso_tallo", "tallos_dia_ref", "factor_ref"), "double")
+    row = lambda **of: F.struct(*(of.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()))
+    fecha, grado = F.col("fecha"), F.col("grado")
+    veg = row(stage=F.lit(VEG), fecha=F.col("start"), pred_d_start=60.0 + F.col("ciclo") % 5, pred_n_days=400.0 + F.col("ciclo") % 11)
+    grades = row(stage=F.lit(HG), fecha=fecha, grado=grado, pred_factor=F.col("factor"), pred_share=F.col("grade_t") / F.col("day_t"), pred_peso=F.lit(1.0), tallos=F.col("grade_t"), peso_tallo=F.col("peso_g"), tallos_dia_ref=F.col("day_t"), factor_ref=F.col("factor"))
+    post = row(stage=F.lit(POST), fecha=fecha, grado=grado, destino=F.col("destino"), pred_dh=5.0 + grado, tallos=F.col("finish_t"), peso_tallo=F.col("peso_g"))
+    dated = fecha.isNotNull()
+    rows = F.array_compact(F.array(F.when(F.col("first_of_cycle"), veg), F.when((F.col("nth") == 1) & dated, grades), F.when(F.col("first_of_finish") & dated & grado.isNotNull(), post)))
+    return l.select("ciclo", F.inline(rows)), buckets
+
+
+def _references():
+    """What follows from a row of :func:`_planned`: the references of its stage and the values that the links begin with."""
+    is_hg, is_post, null = F.col("stage") == HG, F.col("stage") == POST, lambda kind: F.lit(None).cast(kind)
+    share, kg = F.col("tallos") / F.col("tallos_dia_ref"), F.col("tallos") * F.col("peso_tallo") / 1000
+    hg, post = lambda c: F.when(is_hg, c), lambda c: F.when(is_post, c)
+    return {
+        "peso_g": hg(F.col("peso_tallo")), "share_base": hg(share), "tallos_grado_ref": hg(F.col("tallos")), "kg_ref": hg(kg), "real_share": hg(share * F.exp(0.03 * (F.col("grado") - 4))), "tallos_post_ref": post(F.col("tallos")), "kg_post_ref": post(kg), "cajas_ref": post(kg / 10),
+        "real_dh": post(F.when(F.col("destino") == "R", 7.0)), "rel_pos": F.when(is_hg | is_post, 0.5), "tallos_dia": F.col("tallos_dia_ref"), "tallos_grado": F.col("tallos"), "kg": kg, "tallos_post": post(F.col("tallos")), "cajas": post(kg / 10),
+        "harvest_start": null("date"), "day_in_harvest": null("double"), "fecha_post": null("date"),
+    }
+
+
+def _events(spark, sf):
+    """The planned rows with their references."""
+    return _planned(spark, sf)[0].withColumns(_references()).drop("tallos", "peso_tallo")
 
 
 def coupled_targets():
@@ -64,7 +89,8 @@ def coupled_targets():
 
 @query("ml2_coupled_scoring", "WITH " + EVENTS + "".join(ROUND.format(r=r, p=r - 1) for r in (1, 2, 3)) + " SELECT stage, ciclo, fecha, grado::BIGINT AS grado, destino, round(p_start, 5) AS d_start, round(p_factor, 5) AS factor, round(p_share, 5) AS share, round(p_peso, 5) AS peso, round(p_dh, 5) AS dh, round(rel, 5) AS rel_pos, round(td, 4) AS tallos_dia, round(tg, 4) AS tallos_grado, round(kg, 5) AS kg, round(tp, 4) AS tallos_post, fp AS fecha_post FROM s3")
 def coupled_scoring(spark, sf):
-    done = coupled.score_coupled(_events(spark, sf), coupled_targets(), 3, 0.0)
+    planned, buckets = _planned(spark, sf)
+    done = coupled.score_coupled(planned, coupled_targets(), 3, 0.0, _references(), buckets)
     r5 = lambda c, n: F.round(c, 5).alias(n)
     return done.state.select(
         "stage", "ciclo", "fecha", long("grado"), "destino", r5("pred_d_start", "d_start"), r5("pred_factor", "factor"), r5("pred_share", "share"), r5("pred_peso", "peso"), r5("pred_dh", "dh"), r5("rel_pos", "rel_pos"),

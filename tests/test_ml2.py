@@ -4,12 +4,13 @@ import datetime as dt
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from agroplan.operators import checks, linear, observed, panel, reconcile, windows
-from agroplan.plans import coupled, q_ml2
+from agroplan.plans import coupled, q_ml2, registry
 from agroplan.sources import incremental, shared
 
 DATA = "/root/testdata/sf0.001"
@@ -51,6 +52,46 @@ def test_coupled_rounds_leave_one_table_and_need_no_shuffle(spark, tmp_path, mon
     assert "Exchange hashpartitioning" not in plan and done.state.count() > 0
 
 
+def test_coupled_rounds_hold_only_events_and_predictions(spark, tmp_path, monkeypatch):
+    """Lines are shuffled once, into buckets that follow their count; references and links are not written, and the state is that of rounds that hold them."""
+    paths = [f"file://{tmp_path}/round-{i}" for i in range(4)]
+    monkeypatch.setattr(coupled.shared, "new_path", lambda *_: paths.pop(0))
+    monkeypatch.setattr(q_ml2, "BUCKET_LINES", 500)
+    planned, buckets = q_ml2._planned(spark, DATA)
+    assert buckets == 12 and planned._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # of 6,000 lines
+    done = coupled.score_coupled(planned, q_ml2.coupled_targets(), 2, 0.0, q_ml2._references(), buckets)
+    (left,) = tmp_path.iterdir()
+    written = spark.read.parquet(f"file://{left}").columns
+    assert sorted(written) == sorted(planned.columns) and not {*q_ml2._references()} & {*written} and len([*left.glob("part-*")]) > 4
+    whole = coupled.score_coupled(planned.withColumns(q_ml2._references()), q_ml2.coupled_targets(), 2, 0.0)
+    assert done.changes == pytest.approx(whole.changes)
+    key, columns = ("stage", "ciclo", "fecha", "grado", "destino"), sorted(done.state.columns)
+    rows = lambda d: sorted((r for r in d.state.select(*columns).collect()), key=lambda r: [str(r[k]) for k in key])
+    a, b = rows(done), rows(whole)
+    assert len(a) == len(b) > 6000
+    for x, y in zip(a, b, strict=True):
+        assert all(p == (pytest.approx(q) if isinstance(q, float) else q) for p, q in zip(x, y, strict=True))
+
+
+def test_coupled_events_of_repeated_and_missing_keys(spark, tmp_path):
+    """Many lines of a finish, null cycles and days, null weights: the rows of the SQL."""
+    draw = random.Random(5)
+    day = dt.datetime(1994, 1, 1)
+    rows = [(draw.choice([1, 2, 3, None]), draw.choice([day, day + dt.timedelta(days=1), day + dt.timedelta(days=300), None]), draw.choice([1, 2, 4]), draw.choice("ANR"), "O", float(draw.randrange(1, 50)), draw.choice([None, 1000.0, 2500.5]), draw.randrange(10) / 100, i, i) for i in range(400)]
+    rows += [(9, None, 1, "A", "O", 5.0, 100.0, 0.0, 900, 900)]
+    lines = spark.createDataFrame(rows, "l_suppkey long, l_shipdate timestamp, l_linenumber int, l_returnflag string, l_linestatus string, l_quantity double, l_extendedprice double, l_discount double, l_orderkey long, l_partkey long")
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = q_ml2.coupled_scoring(spark, f"file://{tmp_path}")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({registry.oracle_sql()['ml2_coupled_scoring']})").fetchall()
+    order = lambda rows: sorted((tuple(r) for r in rows), key=lambda r: [str(v) for v in r[:5]])
+    a, b = order(got.collect()), order(want)
+    assert len(a) == len(b) and {r[0] for r in a} == {coupled.VEG, coupled.HG, coupled.POST}
+    for x, y in zip(a, b, strict=True):
+        assert x[:5] == y[:5] and all(p == (pytest.approx(float(q), abs=1.01e-4) if isinstance(p, float) and q is not None else q) for p, q in zip(x[5:], y[5:], strict=True)), (x, y)
+
+
 def test_coupled_links_without_calendar_or_grades(spark):
     """A cycle without VEG keeps its calendar, a day without shares gets even ones, a POST row without a grade keeps its plan."""
     all_ = q_ml2._events(spark, DATA)
