@@ -58,8 +58,8 @@ def _planned(spark, sf):
     grades = row(stage=F.lit(HG), fecha=fecha, grado=grado, pred_factor=F.col("factor"), pred_share=F.col("grade_t") / F.col("day_t"), pred_peso=F.lit(1.0), tallos=F.col("grade_t"), peso_tallo=F.col("peso_g"), tallos_dia_ref=F.col("day_t"), factor_ref=F.col("factor"))
     post = row(stage=F.lit(POST), fecha=fecha, grado=grado, destino=F.col("destino"), pred_dh=5.0 + grado, tallos=F.col("finish_t"), peso_tallo=F.col("peso_g"))
     dated = fecha.isNotNull()
-    rows = F.array_compact(F.array(F.when(F.col("first_of_cycle"), veg), F.when((F.col("nth") == 1) & dated, grades), F.when(F.col("first_of_finish") & dated & grado.isNotNull(), post)))
-    return l.select("ciclo", F.inline(rows)), buckets
+    rows = F.array(F.when(F.col("first_of_cycle"), veg), F.when((F.col("nth") == 1) & dated, grades), F.when(F.col("first_of_finish") & dated & grado.isNotNull(), post))
+    return l.select("ciclo", F.inline(rows)).where("stage IS NOT NULL"), buckets
 
 
 def _references():

@@ -61,6 +61,7 @@ def test_coupled_rounds_hold_only_events_and_predictions(spark, tmp_path, monkey
     assert buckets == 12 and planned._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # of 6,000 lines
     done = coupled.score_coupled(planned, q_ml2.coupled_targets(), 2, 0.0, q_ml2._references(), buckets)
     (left,) = tmp_path.iterdir()
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535" and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"  # as before
     written = spark.read.parquet(f"file://{left}").columns
     assert sorted(written) == sorted(planned.columns) and not {*q_ml2._references()} & {*written} and len([*left.glob("part-*")]) > 4
     whole = coupled.score_coupled(planned.withColumns(q_ml2._references()), q_ml2.coupled_targets(), 2, 0.0)
